@@ -45,7 +45,7 @@ def read_json_payloads(
     field_path: Sequence[str] = ("data", "records"),
 ) -> DataFrame:
     """Landed API pages, one payload per file."""
-    pages = spark.read.option("wholetext", True).text(path)
+    pages = spark.read.text(path, wholetext=True)
     return explode_records(pages, schema, field_path)
 
 

@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from assaylake.queries import channels, medallion  # noqa: F401
+from assaylake.queries.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -2,6 +2,9 @@
 
 A span is ``struct<entity, start, end, score>`` with zero-based offsets, end exclusive. Positions come
 from cutting the whole text at a pattern and adding up the lengths of what lies between the hits.
+
+The expressions are written as SQL text: a detection has thousands of nodes, and handing Spark one
+string is far quicker than building it node by node. Inputs are therefore column names.
 """
 
 from __future__ import annotations
@@ -64,76 +67,68 @@ GOVERNMENT_IDS = ("PH_PHILSYS", "PH_TIN", "PH_SSS", "PH_GSIS")
 DEFAULT_ENTITIES = ("PERSON", "EMAIL_ADDRESS", "PHONE_NUMBER", "PH_PHONE") + GOVERNMENT_IDS
 
 
-def no_spans() -> Column:
-    return F.array().cast(SPANS_TYPE)
+_NONE = f"cast(array() as {SPANS_TYPE})"
+
+
+def _quoted(text: str) -> str:
+    """A raw string literal, so that patterns keep their backslashes."""
+    if "'" in text:
+        raise ValueError("patterns may not hold a single quote")
+    return f"r'{text}'"
 
 
-def _score(text: Column, start: Column, recognizer: Recognizer) -> Column:
+def _score(text: str, start: str, recognizer: Recognizer) -> str:
+    base = f"{recognizer.score}D"
     if not recognizer.context:
-        return F.lit(recognizer.score)
-    # `start` is zero based, so it is also the number of characters before the hit
-    before = F.substring(text, F.greatest(start - CONTEXT_CHARS + 1, F.lit(1)),
-                         F.least(start, F.lit(CONTEXT_CHARS)))
-    words = F.lower(F.regexp_extract(before, rf"(?:\w+\W+){{0,{CONTEXT_WORDS}}}\w*$", 0))
+        return base
     boosted = min(1.0, max(recognizer.score + BOOST, BOOST_FLOOR))
-    found = words.rlike("|".join(recognizer.context))
-    return F.when(found, F.lit(boosted)).otherwise(F.lit(recognizer.score))
+    # `start` is zero based, so it is also the number of characters before the hit
+    before = f"substring({text}, greatest({start} - {CONTEXT_CHARS - 1}, 1), least({start}, {CONTEXT_CHARS}))"
+    last_words = _quoted(rf"(?:\w+\W+){{0,{CONTEXT_WORDS}}}\w*$")
+    found = f"lower(regexp_extract({before}, {last_words}, 0)) rlike {_quoted('|'.join(recognizer.context))}"
+    return f"if({found}, {boosted}D, {base})"
 
 
-def pattern_spans(text: Column, recognizer: Recognizer) -> Column:
+def _hits(text: str, recognizer: Recognizer) -> str:
     """Every hit of one recognizer in the whole text."""
-    pattern = F.lit(recognizer.pattern)
-    pieces = F.arrays_zip(
-        F.split(text, recognizer.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
-    )
-    start_state = F.struct(F.lit(0).alias("at"), no_spans().alias("found"))
-
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.length(piece["hit"])
-        span = F.struct(
-            F.lit(recognizer.entity).alias("entity"), start.alias("start"), end.alias("end"),
-            _score(text, start, recognizer).alias("score"),
-        )
-        grown = F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
-        return F.when(piece["hit"].isNull(), state).otherwise(grown)
-
-    spans = F.aggregate(pieces, start_state, step, lambda state: state["found"])
-    worth_it = text.rlike(recognizer.needs) if recognizer.needs else F.lit(True)
-    return F.when(worth_it, spans).otherwise(no_spans())
-
-
-def merged(spans: Column) -> Column:
+    pattern = _quoted(recognizer.pattern)
+    start = "state.at + length(piece.`0`)"
+    end = f"{start} + length(piece.`1`)"
+    span = (f"named_struct('entity', '{recognizer.entity}', 'start', {start}, 'end', {end}, "
+            f"'score', {_score(text, start, recognizer)})")
+    spans = (
+        f"aggregate(arrays_zip(split({text}, {pattern}, -1), regexp_extract_all({text}, {pattern}, 0)), "
+        f"named_struct('at', 0, 'found', {_NONE}), "
+        f"(state, piece) -> if(piece.`1` is null, state, "
+        f"named_struct('at', {end}, 'found', concat(state.found, array({span})))), "
+        f"state -> state.found)")
+    return f"if({text} rlike {_quoted(recognizer.needs)}, {spans}, {_NONE})" if recognizer.needs else spans
+
+
+def _merged(spans: str) -> str:
     """Overlapping spans joined: the union of their range, the entity of the best score.
 
     On equal scores the earlier span wins.
     """
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), (-s["score"]).alias("rank"), s["end"].alias("end"),
-        s["entity"].alias("entity"), s["score"].alias("score"))))
-
-    def step(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        fresh = F.struct(s["entity"].alias("entity"), s["start"].alias("start"), s["end"].alias("end"),
-                         s["score"].alias("score"))
-        keep = last["score"] >= s["score"]
-        joined = F.struct(
-            F.when(keep, last["entity"]).otherwise(s["entity"]).alias("entity"),
-            last["start"].alias("start"),
-            F.greatest(last["end"], s["end"]).alias("end"),
-            F.greatest(last["score"], s["score"]).alias("score"),
-        )
-        overlaps = (F.size(done) > 0) & (s["start"] < last["end"])
-        head = F.slice(done, F.lit(1), F.size(done) - 1)
-        return F.when(overlaps, F.concat(head, F.array(joined))).otherwise(F.concat(done, F.array(fresh)))
-
-    folded = F.aggregate(ordered, no_spans(), step)
-    return F.when(F.size(spans) > 1, folded).otherwise(spans)
+    ordered = (f"array_sort(transform({spans}, s -> named_struct('start', s.start, 'rank', -s.score, "
+               f"'end', s.end, 'entity', s.entity, 'score', s.score)))")
+    fresh = "named_struct('entity', s.entity, 'start', s.start, 'end', s.end, 'score', s.score)"
+    last = "element_at(done, -1)"
+    joined = (f"named_struct('entity', if({last}.score >= s.score, {last}.entity, s.entity), 'start', {last}.start, "
+              f"'end', greatest({last}.end, s.end), 'score', greatest({last}.score, s.score))")
+    overlaps = f"(size(done) > 0 and s.start < {last}.end)"
+    step = (f"(done, s) -> if({overlaps}, concat(slice(done, 1, size(done) - 1), array({joined})), "
+            f"concat(done, array({fresh})))")
+    return f"if(size({spans}) > 1, aggregate({ordered}, {_NONE}, {step}), {spans})"
+
+
+def merged(spans: str) -> Column:
+    """The spans of a column with overlapping ones joined."""
+    return F.expr(_merged(f"`{spans}`"))
 
 
 def detected(
-    text: Column,
+    text: str,
     entities: Sequence[str] = DEFAULT_ENTITIES,
     threshold: float = 0.4,
     recognizers: Sequence[Recognizer] = DEFAULT_RECOGNIZERS,
@@ -142,25 +137,27 @@ def detected(
     wanted = [r for r in recognizers if r.entity in entities
               and (r.score >= threshold or (r.context and max(r.score + BOOST, BOOST_FLOOR) >= threshold))]
     if not wanted:
-        return no_spans()
-    found = F.concat(*[pattern_spans(text, r) for r in wanted])
+        return F.expr(_NONE)
+    column = f"`{text}`"
+    found = f"concat({', '.join(_hits(column, r) for r in wanted)})"
     if any(r.score < threshold for r in wanted):
-        found = F.filter(found, lambda s: s["score"] >= threshold)
+        found = f"filter({found}, s -> s.score >= {threshold}D)"
+    # naming the unmerged spans once keeps them from being worked out for each mention
+    found = f"transform(array({found}), hits -> {_merged('hits')})[0]"
     # most text holds neither a digit group, an @ nor a title: one cheap look settles it
     needs = [r.needs for r in wanted]
-    gate = text.rlike("|".join(needs)) if all(needs) else text.isNotNull()
-    return F.coalesce(F.when(gate, found), no_spans())
+    gate = f"{column} rlike {_quoted('|'.join(needs))}" if all(needs) else f"{column} is not null"
+    return F.expr(f"if(coalesce({gate}, false), {found}, {_NONE})")
 
 
-def replaced(text: Column, spans: Column) -> Column:
+def replaced(text: str, spans: str, only: Sequence[str] | None = None) -> Column:
     """The text with each span replaced by ``<ENTITY>``. Spans must be merged and in order."""
-    start_state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(state: Column, s: Column) -> Column:
-        kept = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        tag = F.concat(F.lit("<"), s["entity"], F.lit(">"))
-        return F.struct(F.concat(state["out"], kept, tag).alias("out"), s["end"].alias("at"))
-
-    done = F.aggregate(spans, start_state, step,
-                       lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    column, chosen = f"`{text}`", f"`{spans}`"
+    if only is not None:
+        names = ", ".join(f"'{e}'" for e in only)
+        chosen = f"filter({chosen}, s -> s.entity in ({names}))"
+    kept = f"substring({column}, state.at + 1, s.start - state.at)"
+    done = (f"aggregate({chosen}, named_struct('out', '', 'at', 0), "
+            f"(state, s) -> named_struct('out', concat(state.out, {kept}, '<', s.entity, '>'), 'at', s.end), "
+            f"state -> concat(state.out, substring({column}, state.at + 1, length({column}))))")
+    return F.expr(f"if(size(`{spans}`) > 0, {done}, {column})")

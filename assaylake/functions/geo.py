@@ -242,10 +242,11 @@ def area(shape: Column) -> Column:
 
 
 def is_sliver(shape: Column, ratio: float = 0.01) -> Column:
-    """True for a polygon whose area is tiny against its squared perimeter."""
-    around = perimeter(shape)
-    return F.coalesce((shape["kind"].isin("Polygon", "MultiPolygon")) & (around > 0)
-                      & (area(shape) / (around * around) < ratio), F.lit(False))
+    """True for a polygon whose area is tiny against its squared perimeter. No area at all is a
+    problem of its own."""
+    around, inside = perimeter(shape), area(shape)
+    return F.coalesce(shape["kind"].isin("Polygon", "MultiPolygon") & (inside > 0)
+                      & (inside / (around * around) < ratio), F.lit(False))
 
 
 EARTH_RADIUS = 6378137.0

@@ -86,7 +86,8 @@ def overlapping_extents(df: DataFrame, extent: Sequence[str] = EXTENT) -> DataFr
     # the levels in use are a few dozen whole numbers at most, whatever the number of rows
     in_use = shapes.groupBy("own").agg(F.count("*").alias("n")).agg(F.collect_list("own").alias("l")).scalar()
     placed = _cells(shapes.withColumn("at", F.col("own")), F.pow(F.lit(2.0), F.col("at")))
-    seekers = shapes.withColumn("at", F.explode(F.filter(in_use, lambda v: v >= F.col("own"))))
+    seekers = shapes.withColumn("levels", in_use).withColumn(
+        "at", F.explode(F.array_intersect(F.sequence("own", F.array_max("levels")), "levels"))).drop("levels")
     seekers = _cells(seekers, F.pow(F.lit(2.0), F.col("at")))
 
     finer = seekers.alias("a").join(placed.alias("b"), _meets("a", "b"), "left_semi")

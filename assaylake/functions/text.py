@@ -35,8 +35,9 @@ def empty_to_null(c: Column) -> Column:
 def us_date_to_iso(c: Column) -> Column:
     """``M/D/YYYY`` text as ISO text. Anything unreadable passes through trimmed."""
     text = stripped(c)
-    shaped = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), text)
-    return F.coalesce(F.date_format(F.try_to_date(shaped, "M/d/yyyy"), "yyyy-MM-dd"), text)
+    turned = F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
+    shaped = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), turned)
+    return F.coalesce(shaped.try_cast("date").cast("string"), text)
 
 
 def currency_to_double(c: Column, parentheses_negative: bool = False) -> Column:
@@ -52,14 +53,14 @@ def epoch_days_to_date(c: Column) -> Column:
     """Days since 1970-01-01, or an ISO date, as a date."""
     text = c.cast("string")
     days = F.when(text.rlike(r"^-?\d+$"), text).try_cast("int")
-    iso = F.try_to_date(F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text), "yyyy-M-d")
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text).try_cast("date")
     return F.coalesce(F.date_add(F.lit("1970-01-01").cast("date"), days), iso)
 
 
 def iso_to_date(c: Column) -> Column:
     """ISO date text as a date; anything else is null."""
     text = c.cast("string")
-    return F.try_to_date(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text), "yyyy-MM-dd")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text).try_cast("date")
 
 
 def iso_to_timestamp(c: Column) -> Column:

@@ -72,7 +72,7 @@ def decoded_dates(df: DataFrame, contract: Contract) -> DataFrame:
     for f in contract.fields:
         if f.dtype == "date" and f.name in df.columns:
             text = F.col(f.name).cast("string")
-            decoded = F.date_format(epoch_days_to_date(text), "yyyy-MM-dd")
+            decoded = epoch_days_to_date(text).cast("string")
             columns[f.name] = F.when(text.rlike(r"^-?\d+$"), decoded).otherwise(text)
     return df.withColumns(columns) if columns else df
 

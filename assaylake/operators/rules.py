@@ -74,13 +74,23 @@ def _typed(f: Field) -> Column:
     return c
 
 
+_TEXT = "_text_"
+
+
 def typed_view(df: DataFrame, contract: Contract) -> DataFrame:
-    """Text columns as their declared types for rule evaluation. Already typed columns stay."""
+    """Text columns as their declared types, the text beside them. Already typed columns stay.
+
+    Each text is read once; the rules on its values and the rule on its type share the outcome.
+    """
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({
-        f.name: _typed(f) for f in contract.fields
-        if f.name in kinds and isinstance(kinds[f.name], T.StringType) and f.dtype != "string"
-    })
+    fields = [f for f in contract.fields if f.name in kinds and f.dtype in ("float", "integer", "date")]
+    kept = df.withColumns({f"{_TEXT}{f.name}": F.col(f"`{f.name}`").cast("string") for f in fields}) if fields else df
+    text = [f for f in fields if isinstance(kinds[f.name], T.StringType)]
+    return kept.withColumns({f.name: _typed(f) for f in text}) if text else kept
+
+
+def without_text(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(_TEXT)])
 
 
 @rule_kind("not_null")
@@ -155,9 +165,8 @@ def compile_rules(specs: Iterable[RuleSpec]) -> list[Rule]:
 
 
 def readable(f: Field, severity: str = "hard") -> Rule:
-    """Fails where text is present but is not of the declared type. Runs on untyped columns."""
-    c = F.col(f"`{f.name}`")
-    return Rule("type", f.name, severity, has_text(c) & _typed(f).isNull())
+    """Fails where text is present but is not of the declared type."""
+    return Rule("type", f.name, severity, has_text(F.col(f"`{_TEXT}{f.name}`")) & F.col(f"`{f.name}`").isNull())
 
 
 def contract_rules(contract: Contract, columns: Sequence[str], strict: bool = False) -> list[Rule]:
@@ -191,6 +200,11 @@ def contract_rules(contract: Contract, columns: Sequence[str], strict: bool = Fa
     return out
 
 
+def judged(df: DataFrame, contract: Contract, strict: bool = False) -> tuple[DataFrame, list[Rule]]:
+    """Staged text ready for evaluation, with the rules of its contract."""
+    return typed_view(df, contract), contract_rules(contract, df.columns, strict)
+
+
 # --- evaluation ------------------------------------------------------------------------------------
 
 def flagged(df: DataFrame, rules: Sequence[Rule], into: str = FAILURES) -> DataFrame:

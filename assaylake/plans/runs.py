@@ -64,24 +64,9 @@ _TESTS = {
 def validate_batch(staged: DataFrame, contract: Contract, strict: bool = False) -> tuple[DataFrame, DataFrame, list]:
     """Report, rule results and compiled rules of staged rows."""
     canonical.check_columns(staged, contract)
-    text = canonical.only_canonical(staged, contract)
-    compiled = rules.contract_rules(contract, text.columns, strict)
-    # the type rules look at the text itself, the others at the typed view
-    typed = _with_types(text, contract, compiled)
-    return (rules.report(*typed, contract.dataset), rules.rule_results(*typed, contract.unique_fields[0]
-            if contract.unique_fields else None), compiled)
-
-
-def _with_types(text: DataFrame, contract: Contract, compiled: list) -> tuple[DataFrame, list]:
-    """Type rules need the text and the rest need typed values, so their outcome is kept as a column."""
-    kept, out = {}, []
-    for i, rule in enumerate(compiled):
-        if rule.name == "type":
-            kept[f"_t{i}"] = rule.fails
-            out.append(rules.Rule(rule.name, rule.column, rule.severity, F.col(f"_t{i}"), (), None, rule.tolerance_pct))
-        else:
-            out.append(rule)
-    return rules.typed_view(text.withColumns(kept) if kept else text, contract), out
+    rows, compiled = rules.judged(canonical.only_canonical(staged, contract), contract, strict)
+    key = contract.unique_fields[0] if contract.unique_fields else None
+    return rules.report(rows, compiled, contract.dataset), rules.rule_results(rows, compiled, key), compiled
 
 
 def run_dataset(

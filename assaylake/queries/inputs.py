@@ -10,6 +10,7 @@ from assaylake.functions.transforms import CURRENCY_TO_FLOAT, DATE_US_TO_ISO
 from assaylake.contract import Alias
 from assaylake.plans import medallion
 from assaylake.queries.registry import table
+from assaylake.session import spread_small
 
 RUN = "run-1"
 
@@ -47,7 +48,7 @@ SUBMISSION_ALIASES = (
 
 def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders the way a regional office would send them: US dates, currency text."""
-    o = table(spark, sf_dir, "orders")
+    o = spread_small(table(spark, sf_dir, "orders"))
     key, start = F.col("o_orderkey"), F.col("o_orderdate")
     return o.select(
         F.concat(F.lit("P-"), F.col("o_custkey")).alias("Proj_ID"),
@@ -63,7 +64,7 @@ def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their customers as rows of the project staging table, all text."""
-    o = table(spark, sf_dir, "orders").join(
+    o = spread_small(table(spark, sf_dir, "orders")).join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     key, start = F.col("o_orderkey"), F.col("o_orderdate")
     return o.select(
@@ -101,7 +102,7 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as equipment records of a supplier, all text."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_small(table(spark, sf_dir, "lineitem"))
     when, key = F.col("l_shipdate").cast("date"), F.col("l_orderkey")
     return li.select(
         F.concat_ws("-", F.lit("E"), "l_partkey", "l_suppkey").alias("equipment_id"), F.lit("PCAARRD").alias("agency"),

@@ -11,6 +11,7 @@ from assaylake.operators.keys import duplicated_rows
 from assaylake.plans import medallion
 from assaylake.queries import inputs
 from assaylake.queries.registry import joined, query, table
+from assaylake.session import spread_small
 from assaylake.sources import config_tables
 from assaylake.sinks import staging
 
@@ -34,7 +35,7 @@ LINES = Contract(
 
 def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as text with missing, unreadable, repeated and contradictory values."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_small(table(spark, sf_dir, "lineitem"))
     part, supp, order = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey")
     shipped = F.col("l_shipdate").cast("date")
     return li.select(
@@ -71,10 +72,7 @@ checks as (
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[rules.Rule]]:
-    from assaylake.plans.runs import _with_types
-
-    text = defective_lines(spark, sf_dir)
-    return _with_types(text, LINES, rules.contract_rules(LINES, text.columns))
+    return rules.judged(defective_lines(spark, sf_dir), LINES)
 
 
 @query("validate_row_failures", "with " + _DEFECTS + """
@@ -141,7 +139,7 @@ select case when (f1 or f2 or f3 or f4 or f5 or f8 or f10 or f11) then 'quaranti
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that break a hard rule go to quarantine; soft ones are promoted with their flags."""
     rows, compiled = _judged(spark, sf_dir)
-    text = rules.flagged(rows, compiled)
+    text = rules.without_text(rules.flagged(rows, compiled))
     clean, broken = rules.split(text, labels=rules.hard_labels(compiled))
     amount = F.sum(F.col("allocated").cast("decimal(18,2)")).cast("double").alias("allocated")
     return clean.withColumn("part", F.lit("promote")).unionByName(broken.withColumn("part", F.lit("quarantine"))).groupBy("part").agg(

@@ -77,8 +77,7 @@ def test_bad_batch_row_by_row(spark, tmp_path):
     assert by_rule[("pair_above", "end_date")]["severity"] == "soft"
     strict = validate_batch(staged, PROJECT_MONITORING, strict=True)[1]
     assert {r["severity"] for r in strict.collect()} == {"hard"}
-    flagged = rules.flagged(rules.typed_view(canonical.only_canonical(staged, PROJECT_MONITORING), PROJECT_MONITORING),
-                            [r for r in compiled if r.name != "type"])
+    flagged = rules.flagged(*rules.judged(canonical.only_canonical(staged, PROJECT_MONITORING), PROJECT_MONITORING))
     clean, broken = rules.split(flagged)
     assert [r["project_id"] for r in clean.collect()] == ["B-1"] and broken.count() == 5
 

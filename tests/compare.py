@@ -25,6 +25,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_SAME = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}
+
+
 def _plain(rows, names):
     order = sorted(range(len(names)), key=lambda i: names[i])
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
@@ -46,13 +49,10 @@ def differences(df, con, sql: str) -> str | None:
     for a, b in zip(got, want):
         if a != b or [_kind(x) for x in a] != [_kind(x) for x in b]:
             return f"{a} against {b}"
-    kinds = {n: str(t) for n, t in zip(names, con.execute(f"describe {sql}").fetchall())}
-    wide = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    for n, described in kinds.items():
-        mine, theirs = wide[n], eval(described)[1] if described.startswith("(") else described
-        same = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}
-        if same.get(mine) != theirs:
-            return f"type of {n}: {mine} against {theirs}"
+    theirs = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    for f in df.schema.fields:
+        if _SAME.get(f.dataType.simpleString()) != theirs[f.name]:
+            return f"type of {f.name}: {f.dataType.simpleString()} against {theirs[f.name]}"
     return None
 
 

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.plans.medallion import PASS
 
 
 def violations(silver: DataFrame, digits: int = 2) -> DataFrame:
-    """Rows per violation with their share of all rows. One scan, one aggregate."""
+    """Rows per violation with their share of all rows. One scan: the total is summed over the
+    counts, of which there are as many as kinds of flag."""
     per_flag = silver.groupBy("quality_flag").agg(F.count("*").alias("violation_count"))
-    total = silver.agg(F.count("*").alias("n")).scalar()
-    return per_flag.filter(F.col("quality_flag") != PASS).withColumn(
-        "pct_of_total", F.round(F.col("violation_count") * 100.0 / total, digits))
+    total = F.sum("violation_count").over(Window.partitionBy(F.lit(0)))
+    shared = per_flag.withColumn("pct_of_total", F.round(F.col("violation_count") * 100.0 / total, digits))
+    return shared.filter(F.col("quality_flag") != PASS)
 
 
 def violating_rows(silver: DataFrame, top: int) -> DataFrame:
@@ -60,19 +62,43 @@ def run_statistics(runs: DataFrame, since: Column, dataset: str, status: str, at
         F.count("*").alias("job_count"), F.avg(seconds).alias("avg_duration"))
 
 
+POINTS = (0.5, 0.95, 0.99)
+
+
+def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, points: Sequence[float] = POINTS) -> DataFrame:
+    """Interpolated percentiles per group, exact, as columns ``q0, q1, ..``.
+
+    Equal values are counted first; positions then come from a running total over the distinct
+    values, so no group is held in memory.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*groups).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    totals = counted.groupBy(*groups).agg(F.sum("_c").alias("_n"))
+    placed = counted.withColumn("_upto", upto).join(totals, list(groups))
+    at = {f"q{i}": (F.col("_n") - 1) * F.lit(float(p)) for i, p in enumerate(points)}
+    ends = [F.min(F.when(F.col("_upto") > edge(pos), F.col("_v"))).alias(f"_{side}{name}")
+            for name, pos in at.items() for side, edge in (("lo", F.floor), ("hi", F.ceil))]
+    cut = placed.groupBy(*groups, "_n").agg(*ends)
+    return cut.select(*groups, *[
+        (F.col(f"_lo{name}") + (F.col(f"_hi{name}") - F.col(f"_lo{name}")) * (pos - F.floor(pos))).cast("double").alias(name)
+        for name, pos in at.items()])
+
+
 def duration_metrics(
     runs: DataFrame, groups: list[str], seconds: str, succeeded: Column, sla_seconds: float, exact: bool = False,
 ) -> DataFrame:
     """p50, p95 and p99 of durations, the success rate and the share within the time promised.
 
-    Percentiles are sketches unless ``exact``: an exact one keeps every distinct value of a group.
+    Percentiles are sketches unless ``exact``.
     """
-    pick = F.percentile if exact else F.percentile_approx
-    points = [F.lit(p) for p in (0.5, 0.95, 0.99)]
-    quantiles = pick(seconds, F.array(*points))
-    return runs.groupBy(*groups).agg(
-        F.count("*").alias("runs"), quantiles.alias("_q"),
-        F.avg(F.when(succeeded, 1.0).otherwise(0.0)).alias("success_rate"),
-        F.avg(F.when(F.col(seconds) <= sla_seconds, 1.0).otherwise(0.0)).alias("sla_rate"),
-    ).select(*groups, "runs", F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"),
-             F.col("_q")[2].alias("p99"), "success_rate", "sla_rate")
+    rates = [
+        F.count("*").alias("runs"), F.avg(F.when(succeeded, 1.0).otherwise(0.0)).alias("success_rate"),
+        F.avg(F.when(F.col(seconds) <= sla_seconds, 1.0).otherwise(0.0)).alias("sla_rate")]
+    if exact:
+        out = runs.groupBy(*groups).agg(*rates).join(exact_percentiles(runs, groups, seconds), groups, "left")
+    else:
+        sketch = F.percentile_approx(seconds, F.array(*[F.lit(p) for p in POINTS]))
+        out = runs.groupBy(*groups).agg(*rates, sketch.alias("_q"))
+        out = out.withColumns({f"q{i}": F.col("_q")[i] for i in range(len(POINTS))})
+    return out.select(*groups, "runs", *[F.col(f"q{i}").alias(n) for i, n in enumerate(("p50", "p95", "p99"))],
+                      "success_rate", "sla_rate")

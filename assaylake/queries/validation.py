@@ -249,7 +249,7 @@ from sources s join registry r using (dataset_id) join newest n using (dataset_i
 def config_resolved_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active sources of active datasets with the mappings of the newest active schema, none kept as none."""
     out = config_tables.source_mappings(configuration(spark, sf_dir))
-    return out.select("dataset_name", "schema_version", "source_id", "priority", F.size("mappings").cast("bigint").alias("mapping_count"))
+    return out.groupBy("dataset_name", "schema_version", "source_id", "priority").agg(F.count("mapping_id").alias("mapping_count"))
 
 
 @query("rules_from_table", "with " + _CONFIG + """

@@ -115,5 +115,10 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str, keys: Sequence[str]) -> None:
-    """A Gold table partitioned by one column and sorted inside its files."""
-    df.sortWithinPartitions(partition, *keys).write.mode("overwrite").partitionBy(partition).parquet(path)
+    """A Gold table partitioned by one column and sorted inside its files.
+
+    Rows are ranged by the keys too, so that a partition with a large share of the rows is written by
+    several tasks and a small one by one.
+    """
+    ranged = df.repartitionByRange(partition, *keys).sortWithinPartitions(partition, *keys)
+    ranged.write.mode("overwrite").partitionBy(partition).parquet(path)

@@ -121,7 +121,7 @@ def archive_layer(df: DataFrame, root: str, layer: str, batch_id: str, name: str
     """
     if "geom" in df.columns:
         df = df.withColumn("bbox", geo.bounds(F.col("geom")))
-        df = df.sortWithinPartitions("bbox.xmin", "bbox.ymin")
+        df = df.repartitionByRange("bbox.xmin", "bbox.ymin").sortWithinPartitions("bbox.xmin", "bbox.ymin")
     path = os.path.join(root, name)
     stamped = df.withColumns({"layer": F.lit(layer), "batch": F.lit(safe_id_text(batch_id))})
     (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -36,17 +36,11 @@ def current_schemas(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def source_mappings(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every active source with its column mappings; a source without any keeps an empty list.
-
-    The list is the declared mapping of one source: at most one entry per column of its contract.
-    """
+    """Every active source with its column mappings, one per row; a source without any keeps one
+    row whose mapping is null."""
     resolved = current_schemas(tables).select("dataset_id", "dataset_name", "schema_id", "schema_version")
     sources = tables["ingestion_source"].filter(F.col("status") == "active").drop("status")
-    grouped = tables["field_mapping"].groupBy("schema_id", "source_id").agg(F.array_sort(F.collect_list(
-        F.struct("mapping_id", "raw_field", "canonical_field", "transform"))).alias("mappings"))
-    joined = resolved.join(sources, "dataset_id").join(grouped, ["schema_id", "source_id"], "left")
-    empty = F.array().cast("array<struct<mapping_id:bigint,raw_field:string,canonical_field:string,transform:string>>")
-    return joined.withColumn("mappings", F.coalesce("mappings", empty))
+    return resolved.join(sources, "dataset_id").join(tables["field_mapping"], ["schema_id", "source_id"], "left")
 
 
 def active_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -89,13 +83,18 @@ def contract_from_tables(tables: Mapping[str, DataFrame], dataset: str) -> Contr
         raise KeyError(f"dataset {dataset!r} has no active registry entry and schema")
     schema = found[0]
     rows = (source_mappings(tables).filter(F.col("dataset_name") == dataset)
-            .orderBy("priority", "source_id").collect())
-    sources = []
+            .orderBy("priority", "source_id", "mapping_id").collect())
+    found_sources, aliases = {}, {}
     for row in rows:
+        found_sources[row["source_id"]] = row
+        if row["mapping_id"] is not None:
+            aliases.setdefault(row["source_id"], []).append(Alias(row["raw_field"], row["canonical_field"], row["transform"]))
+    sources = []
+    for source_id, row in found_sources.items():
         options = _parsed(row["config"], {})
         constants = {k: options[k] for k in ("agency", "region") if options.get(k)}
-        aliases = tuple(Alias(m["raw_field"], m["canonical_field"], m["transform"]) for m in row["mappings"])
-        sources.append(Source(row["source_id"], row["source_type"], constants, options, aliases, row["priority"]))
+        sources.append(Source(source_id, row["source_type"], constants, options,
+                              tuple(aliases.get(source_id, ())), row["priority"]))
     rules = tuple(
         stored_rule(r["rule_id"], r["rule_type"], r["field_name"], r["severity"], r["rule_config"])
         for r in active_rules(tables).filter(F.col("dataset_name") == dataset).orderBy("rule_id").collect()

@@ -179,3 +179,22 @@ def run_layer(spark: SparkSession, features: DataFrame, config: Mapping[str, Any
     exposed = layers.exposed_columns(config) or [a["name"] for a in config["attributes"] if a["name"] not in policy.columns]
     view = versions.serving_view(serving, exposed, list(policy.columns))
     return LayerRun(summary, loaded, serving, view, store.read(f"{layer}_vault"), guard.findings)
+
+
+def layer_checks(serving: DataFrame, view: DataFrame, vault: DataFrame, config: Mapping[str, Any],
+                 expected_rows: int, expected_vault_rows: int, known: list[str]) -> DataFrame:
+    """What must hold after a load, one row per check: rows, vault rows, exposed columns, no leaks."""
+    spark = serving.sparkSession
+    exposed = layers.exposed_columns(config) or []
+    text = [c for c in pii.text_columns(serving) if c not in (config.get("pii") or {}).get("skip_columns", ())]
+    only_exposed = [c for c in view.columns if c != "geom"] == list(exposed)
+    counts = serving.agg((F.count("*") == expected_rows).alias("passed")).withColumn("check", F.lit("serving_rows"))
+    sealed = vault.agg((F.count("*") == expected_vault_rows).alias("passed")).withColumn("check", F.lit("vault_rows"))
+    cipher = vault.agg(F.coalesce(F.bool_and(F.col("ciphertext").startswith("vault:v")), F.lit(True)).alias("passed")).withColumn(
+        "check", F.lit("vault_is_ciphertext"))
+    columns = spark.createDataFrame([(only_exposed, "exposed_columns")], "passed boolean, check string")
+    leaked = pii.leaks(serving, known, text).agg((F.coalesce(F.sum("cells"), F.lit(0)) == 0).alias("passed")).withColumn(
+        "check", F.lit("no_known_value"))
+    scanned = pii.rescanned(serving, [c for c in text if c != config["unique_key"]]).agg(
+        (F.count("*") == 0).alias("passed")).withColumn("check", F.lit("second_scan_is_clean"))
+    return reduce(lambda a, b: a.unionByName(b), [counts, sealed, cipher, columns, leaked, scanned]).select("check", "passed")

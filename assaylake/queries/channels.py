@@ -10,7 +10,7 @@ from assaylake.functions.text import currency_to_double, epoch_days_to_date
 from assaylake.operators import canonical, cdc, joins
 from assaylake.queries.inputs import SUBMISSION_ALIASES, SUBMISSIONS, raw_submissions
 from assaylake.queries.registry import day, dbl, query, stamp, table
-from assaylake.session import scratch_dir
+from assaylake.session import scratch_dir, spread_small
 from assaylake.sources import files, records
 
 _CANONICAL_SQL = "with " + SUBMISSIONS + """
@@ -135,7 +135,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Deletes carry a before image, every seventh event uses the alternative names, purchases have no
     operation, and every thirteenth value is a tombstone.
     """
-    e = table(spark, sf_dir, "events")
+    e = spread_small(table(spark, sf_dir, "events"))
     image = F.struct(F.col("user_id").cast("string").alias("user_id"), F.col("event_type").alias("kind"),
                      F.col("event_id").cast("string").alias("event_id"))
     op = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "c").when(

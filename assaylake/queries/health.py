@@ -12,6 +12,7 @@ from assaylake.plans import reports
 from assaylake.queries import inputs
 from assaylake.queries.registry import day, dbl, query, stamp, table
 from assaylake.queries.validation import _ANY, _DEFECTS, _judged
+from assaylake.session import spread_small
 from assaylake.sinks import logs, staging
 from assaylake.sources import tables
 from assaylake.streaming import changes
@@ -19,7 +20,7 @@ from assaylake.streaming import changes
 
 def gappy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with values missing here and there."""
-    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    o, key = spread_small(table(spark, sf_dir, "orders")), F.col("o_orderkey")
     return o.select("o_orderkey", "o_custkey", F.when(key % 9 != 0, F.col("o_orderstatus")).alias("status"),
                     F.when(key % 4 != 0, F.col("o_totalprice").cast("decimal(18,2)")).alias("price"), F.col("o_orderdate").cast("date").alias("ordered"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from assaylake.contract import Contract
 from assaylake.functions.text import row_digest, safe_id_text
 from assaylake.operators.canonical import conformed
+from assaylake.sources.files import SOURCE_OBJECT
 from assaylake.sources.tables import STATUS
 
 STAGING_COLUMNS = (STATUS, "_source_id", "_batch_id", "_ingested_at")
@@ -28,10 +29,16 @@ def now_text() -> str:
 
 
 def write_staged(df: DataFrame, root: str, dataset: str, source_id: str, agency: str, run_date: str,
-                 batch_id: str) -> str:
-    """Write canonical rows under ``agency/dataset/run_date/batch``; a rerun replaces its own batch."""
+                 batch_id: str, by_file: bool = False) -> str:
+    """Write canonical rows under ``agency/dataset/run_date/batch``; a rerun replaces its own batch.
+
+    Rows of all files stay together with their file's name; ``by_file`` gives each file a partition.
+    """
     path = os.path.join(root, safe_id_text(agency), dataset, run_date, safe_id_text(batch_id), f"source={source_id}")
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if by_file:
+        writer = writer.option("partitionOverwriteMode", "static").partitionBy(SOURCE_OBJECT)
+    writer.parquet(path)
     return path
 
 

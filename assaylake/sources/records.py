@@ -64,6 +64,17 @@ def read_protocol_log(spark: SparkSession, path: str, schema: T.StructType | Seq
     return protocol_records(spark.read.text(path), schema)
 
 
+class NoRecords(ValueError):
+    """A channel that must deliver something delivered nothing."""
+
+
+def required(df: DataFrame, what: str) -> DataFrame:
+    """The rows, unless there are none. Stops at the first row found."""
+    if df.isEmpty():
+        raise NoRecords(f"no records received from {what}")
+    return df
+
+
 def change_schema(row: T.StructType | Sequence[str]) -> T.StructType:
     """The change-event envelope, with the alternative key names some producers use."""
     image = _as_struct(row)

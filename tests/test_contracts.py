@@ -126,6 +126,27 @@ def test_channels(spark, tmp_path):
     assert [tuple(r) for r in records.protocol_records(log, ["a", "b"]).collect()] == [("1", "x")]
 
 
+def test_empty_channel_and_file_partitions(spark, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv", GOOD_A)
+    write_csv(tmp_path / "in" / "b.csv", GOOD_A[:1])
+    raw = files.read_csv_folder(spark, str(tmp_path / "in"), CSV_COLUMNS)
+    rows = canonical.canonicalized(raw, PROJECT_MONITORING, PROJECT_MONITORING.source("regional_files"), [files.SOURCE_OBJECT])
+    path = staging.write_staged(rows, str(tmp_path / "out"), "d", "s", "A", "2026-01-01", "b", by_file=True)
+    per_file = spark.read.parquet(path).groupBy(files.SOURCE_OBJECT).count()
+    assert sorted(r["count"] for r in per_file.collect()) == [1, 3]
+    assert records.required(rows, "files") is rows
+    with pytest.raises(records.NoRecords):
+        records.required(rows.limit(0), "files")
+
+
+def test_staging_table_in_the_catalog(spark):
+    name = "staging_things_raw"
+    staging.create_staging_table(spark, name, PROJECT_MONITORING)
+    staging.create_staging_table(spark, name, PROJECT_MONITORING)
+    assert spark.table(name).columns == [*PROJECT_MONITORING.names, *staging.STAGING_COLUMNS]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_staging_and_logs(spark, root):
     df = spark.createDataFrame([("1", ""), ("2", "x")], "id string, agency string")
     contract = contract_from_mapping(SCHEMA, ALIASING, QUALITY)

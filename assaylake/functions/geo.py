@@ -9,13 +9,18 @@ from __future__ import annotations
 
 import math
 import struct
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# the two helpers below travel with the query, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KINDS = ("Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon")
 
 _PARTS = T.ArrayType(T.ArrayType(T.DoubleType()))

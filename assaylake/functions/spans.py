@@ -35,19 +35,22 @@ class Recognizer:
     score: float
     context: tuple[str, ...] = ()
     needs: str | None = None  # a cheap pattern every hit contains, checked before the costly one
+    look: str | None = None  # a cheaper one still, shared by many recognizers; needs stands in for it
 
 
+_DIGITS = r"\d{3}"
+
 # Patterns, base scores and context words of the regional identifiers.
 REGIONAL_RECOGNIZERS = (
     Recognizer("PH_PHONE", "ph_mobile", r"(?:\+63|0063|0)[\s-]?9\d{2}[\s-]?\d{3}[\s-]?\d{4}", 0.7,
-               ("mobile", "cell", "phone", "contact", "call", "viber"), r"\d{3}"),
+               ("mobile", "cell", "phone", "contact", "call", "viber"), r"\d{3}", _DIGITS),
     Recognizer("PH_PHONE", "ph_metro_manila", r"(?:\(0?2\)|\b02)[\s-]?\d{4}[\s-]?\d{4}", 0.6,
-               ("landline", "phone", "tel", "contact", "call"), r"\d{4}"),
+               ("landline", "phone", "tel", "contact", "call"), r"\d{4}", _DIGITS),
     Recognizer("PH_PHILSYS", "philsys", r"\b\d{4}-\d{4}-\d{4}(?:-\d{4})?\b", 0.6,
-               ("philsys", "national id", "psn", "pcn"), r"\d{4}-\d{4}"),
-    Recognizer("PH_TIN", "tin", r"\b\d{3}-\d{3}-\d{3}(?:-\d{3,5})?\b", 0.6, ("tin", "tax"), r"\d{3}-\d{3}"),
-    Recognizer("PH_SSS", "sss", r"\b\d{2}-\d{7}-\d\b", 0.6, ("sss",), r"\d{7}"),
-    Recognizer("PH_GSIS", "gsis", r"\b\d{11}\b", 0.2, ("gsis", "bp number", "crn"), r"\d{11}"),
+               ("philsys", "national id", "psn", "pcn"), r"\d{4}-\d{4}", _DIGITS),
+    Recognizer("PH_TIN", "tin", r"\b\d{3}-\d{3}-\d{3}(?:-\d{3,5})?\b", 0.6, ("tin", "tax"), r"\d{3}-\d{3}", _DIGITS),
+    Recognizer("PH_SSS", "sss", r"\b\d{2}-\d{7}-\d\b", 0.6, ("sss",), r"\d{7}", _DIGITS),
+    Recognizer("PH_GSIS", "gsis", r"\b\d{11}\b", 0.2, ("gsis", "bp number", "crn"), r"\d{11}", _DIGITS),
 )
 
 # Stand-ins for a language model's generic recognizers: e-mail, international phone numbers and
@@ -55,7 +58,7 @@ REGIONAL_RECOGNIZERS = (
 GENERIC_RECOGNIZERS = (
     Recognizer("EMAIL_ADDRESS", "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 1.0, (), "@"),
     Recognizer("PHONE_NUMBER", "intl_phone", r"(?:\+\d{1,3}[\s-])?\(\d{3}\)[\s-]?\d{3}[\s-]\d{4}\b", 0.4,
-               ("phone", "number", "telephone", "cell", "mobile", "call"), r"\(\d{3}\)"),
+               ("phone", "number", "telephone", "cell", "mobile", "call"), r"\(\d{3}\)", _DIGITS),
     Recognizer("PERSON", "titled_name",
                r"\b(?:Engr|Dr|Mr|Mrs|Ms|Atty|Prof|Hon)\.?\s(?:[A-Z]\.\s)?[A-Z][a-z]+"
                r"(?:\s(?:de|dela|del|la|los|san|[A-Z][a-z]+)){0,3}\b", 0.6, (),
@@ -77,6 +80,11 @@ def _quoted(text: str) -> str:
     return f"r'{text}'"
 
 
+def _has(text: str, look: str) -> str:
+    plain = look.isalnum() or look == "@"
+    return f"contains({text}, '{look}')" if plain else f"{text} rlike {_quoted(look)}"
+
+
 def _score(text: str, start: str, recognizer: Recognizer) -> str:
     base = f"{recognizer.score}D"
     if not recognizer.context:
@@ -102,7 +110,7 @@ def _hits(text: str, recognizer: Recognizer) -> str:
         f"(state, piece) -> if(piece.`1` is null, state, "
         f"named_struct('at', {end}, 'found', concat(state.found, array({span})))), "
         f"state -> state.found)")
-    return f"if({text} rlike {_quoted(recognizer.needs)}, {spans}, {_NONE})" if recognizer.needs else spans
+    return f"if({_has(text, recognizer.needs)}, {spans}, {_NONE})" if recognizer.needs else spans
 
 
 def _merged(spans: str) -> str:
@@ -144,9 +152,9 @@ def detected(
         found = f"filter({found}, s -> s.score >= {threshold}D)"
     # naming the unmerged spans once keeps them from being worked out for each mention
     found = f"transform(array({found}), hits -> {_merged('hits')})[0]"
-    # most text holds neither a digit group, an @ nor a title: one cheap look settles it
-    needs = [r.needs for r in wanted]
-    gate = f"{column} rlike {_quoted('|'.join(needs))}" if all(needs) else f"{column} is not null"
+    # most text holds neither three digits in a row, an @ nor a title: a few cheap looks settle it
+    looks = dict.fromkeys(r.look or r.needs for r in wanted)
+    gate = " or ".join(_has(column, look) for look in looks) if all(looks) else f"{column} is not null"
     return F.expr(f"if(coalesce({gate}, false), {found}, {_NONE})")
 
 

@@ -80,6 +80,17 @@ def _quoted(text: str) -> str:
     return f"r'{text}'"
 
 
+def column(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A plain string as SQL text."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _has(text: str, look: str) -> str:
     plain = look.isalnum() or look == "@"
     return f"contains({text}, '{look}')" if plain else f"{text} rlike {_quoted(look)}"
@@ -102,7 +113,7 @@ def _hits(text: str, recognizer: Recognizer) -> str:
     pattern = _quoted(recognizer.pattern)
     start = "state.at + length(piece.`0`)"
     end = f"{start} + length(piece.`1`)"
-    span = (f"named_struct('entity', '{recognizer.entity}', 'start', {start}, 'end', {end}, "
+    span = (f"named_struct('entity', {literal(recognizer.entity)}, 'start', {start}, 'end', {end}, "
             f"'score', {_score(text, start, recognizer)})")
     spans = (
         f"aggregate(arrays_zip(split({text}, {pattern}, -1), regexp_extract_all({text}, {pattern}, 0)), "
@@ -132,7 +143,7 @@ def _merged(spans: str) -> str:
 
 def merged(spans: str) -> Column:
     """The spans of a column with overlapping ones joined."""
-    return F.expr(_merged(f"`{spans}`"))
+    return F.expr(_merged(column(spans)))
 
 
 def detected(
@@ -146,26 +157,25 @@ def detected(
               and (r.score >= threshold or (r.context and max(r.score + BOOST, BOOST_FLOOR) >= threshold))]
     if not wanted:
         return F.expr(_NONE)
-    column = f"`{text}`"
-    found = f"concat({', '.join(_hits(column, r) for r in wanted)})"
+    source = column(text)
+    found = f"concat({', '.join(_hits(source, r) for r in wanted)})"
     if any(r.score < threshold for r in wanted):
         found = f"filter({found}, s -> s.score >= {threshold}D)"
     # naming the unmerged spans once keeps them from being worked out for each mention
     found = f"transform(array({found}), hits -> {_merged('hits')})[0]"
     # most text holds neither three digits in a row, an @ nor a title: a few cheap looks settle it
     looks = dict.fromkeys(r.look or r.needs for r in wanted)
-    gate = " or ".join(_has(column, look) for look in looks) if all(looks) else f"{column} is not null"
+    gate = " or ".join(_has(source, look) for look in looks) if all(looks) else f"{source} is not null"
     return F.expr(f"if(coalesce({gate}, false), {found}, {_NONE})")
 
 
 def replaced(text: str, spans: str, only: Sequence[str] | None = None) -> Column:
     """The text with each span replaced by ``<ENTITY>``. Spans must be merged and in order."""
-    column, chosen = f"`{text}`", f"`{spans}`"
+    source, chosen = column(text), column(spans)
     if only is not None:
-        names = ", ".join(f"'{e}'" for e in only)
-        chosen = f"filter({chosen}, s -> s.entity in ({names}))"
-    kept = f"substring({column}, state.at + 1, s.start - state.at)"
+        chosen = f"filter({chosen}, s -> s.entity in ({', '.join(literal(e) for e in only)}))"
+    kept = f"substring({source}, state.at + 1, s.start - state.at)"
     done = (f"aggregate({chosen}, named_struct('out', '', 'at', 0), "
             f"(state, s) -> named_struct('out', concat(state.out, {kept}, '<', s.entity, '>'), 'at', s.end), "
-            f"state -> concat(state.out, substring({column}, state.at + 1, length({column}))))")
-    return F.expr(f"if(size(`{spans}`) > 0, {done}, {column})")
+            f"state -> concat(state.out, substring({source}, state.at + 1, length({source}))))")
+    return F.expr(f"if(size({column(spans)}) > 0, {done}, {source})")

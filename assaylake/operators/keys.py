@@ -33,19 +33,41 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(present).groupBy(*keys).agg(F.count("*").alias("copies"))
 
 
+_HOT_SHARE = 1000  # a key with more than one row in a thousand is hot, so there are under a thousand
+_SALTS = 64
+
+
+def _splits_skew(df: DataFrame) -> bool:
+    """Whether Spark itself splits a hot partition of a join at run time."""
+    conf = df.sparkSession.conf
+    return all(conf.get(f"spark.sql.adaptive.{name}", "false") == "true" for name in ("enabled", "skewJoin.enabled"))
+
+
 def with_copies(df: DataFrame, keys: Sequence[str], into: str = "_copies") -> DataFrame:
     """Every row with the number of rows that share its key; 0 for rows without a key.
 
-    The counted side has one row per repeated key, so a hot key is only heavy on the row side, which
-    adaptive execution splits. Rows without a key get a random-looking second join part: they match
-    nothing and must not meet in one partition.
+    The counted side has one row per repeated key, so a hot key is heavy on the row side only.
+    Adaptive execution splits it there; where that is switched off, keys that hold more than a
+    thousandth of the rows are salted. Rows without a key match nothing and are always spread.
     """
-    repeated = key_counts(df, keys).filter(F.col("copies") > 1)
-    repeated = repeated.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                               F.lit(0).cast("int").alias("_ks"), F.col("copies").alias(into))
+    counts = key_counts(df, keys)
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1023)).cast("int") + 1
-    salted = df.withColumn("_salt", F.when(keyed, F.lit(0).cast("int")).otherwise(spread))
+    repeated = counts.filter(F.col("copies") > 1)
+    if _splits_skew(df):
+        repeated, settled = repeated.withColumn("_ks", F.lit(0)), keyed
+    else:
+        total = counts.agg(F.sum("copies")).scalar()
+        hot = counts.filter(F.col("copies") * _HOT_SHARE > total).agg(F.collect_set(F.xxhash64(*keys)).alias("hot")).scalar()
+        is_hot = F.array_contains(hot, F.xxhash64(*keys))
+        every = F.array(*[F.lit(i) for i in range(_SALTS)])
+        repeated = repeated.withColumn("_h", is_hot)
+        repeated = repeated.withColumn("_ks", F.explode(F.when(F.col("_h"), every).otherwise(F.array(F.lit(0)))))
+        settled = keyed & ~is_hot
+    repeated = repeated.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_ks", F.col("copies").alias(into))
+
+    # the partition number keeps equal rows apart; both parts are the same when a task is run again
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.lit(_SALTS)).cast("int")
+    salted = df.withColumn("_salt", F.when(settled, F.lit(0)).otherwise(spread))
     on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)] + [F.col("_salt") == F.col("_ks")]
     joined = salted.join(repeated, reduce(lambda a, b: a & b, on), "left")
     return joined.select(*df.columns, F.coalesce(into, F.when(keyed, F.lit(1)).otherwise(F.lit(0))).alias(into))

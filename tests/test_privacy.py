@@ -200,6 +200,12 @@ def test_spans_against_python(spark):
     assert [s[0] for s in got[3]] == ["PH_GSIS"]  # only the one named right before it reaches the threshold
 
 
+def test_odd_column_names(spark, ring):
+    df = spark.createDataFrame([("1", "mail a@b.example.org")], ["id", "it's `odd`"])
+    out = pii.protect(df, pii.Policy(), "id", ring)
+    assert out.serving.first()[1] == "mail <EMAIL_ADDRESS>" and out.findings.first()["column"] == "it's `odd`"
+
+
 def test_masks(spark):
     cases = ["juan@example.org", "@x.org", "Juan", "", "0917 123 4567", "12", "123", "1234", "no digits"]
     df = spark.createDataFrame([(c,) for c in cases], "t string")

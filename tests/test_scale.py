@@ -3,6 +3,7 @@
 import io
 from contextlib import redirect_stdout
 
+import pytest
 from pyspark.sql import functions as F
 
 from assaylake.operators import rules
@@ -44,8 +45,33 @@ def test_rows_without_a_key_do_not_meet(spark):
     assert {(r["k"] == "hot", r["k"] is None, r["_copies"]): r["count"] for r in df.groupBy("k", "_copies").count().groupBy(
         "k", "_copies").agg(F.sum("count").alias("count")).filter("k is null or k = 'hot'").collect()} == {
         (True, False, 10000): 10000, (False, True, 0): 10000}
-    # they carry distinct join parts, so a hash exchange spreads them
-    assert "_salt" in plan(df)
+    # neither the hot key nor the rows without one gather in one place
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        places = with_copies(hot(spark).repartition(8), ["k"]).withColumn("p", F.spark_partition_id())
+        used = {r["k"]: r["n"] for r in places.filter("k is null or k = 'hot'").groupBy("k").agg(F.count_distinct("p").alias("n")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert used[None] >= 6 and used["hot"] >= 6
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_equal_rows_stay_whole(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        equal_rows(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def equal_rows(spark):
+    same = spark.range(20000).select(F.lit("x").alias("k"), F.lit(1).alias("v")).repartition(8)
+    out = with_copies(same, ["k"]).groupBy("_copies").count().collect()
+    assert [(r["_copies"], r["count"]) for r in out] == [(20000, 20000)]
+    two = with_copies(hot(spark).withColumn("w", F.col("v") % 2), ["k", "w"])
+    assert two.filter("k = 'hot'").select("_copies").distinct().first()[0] == 5000 and two.count() == 30000
 
 
 def test_report_needs_no_join(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assaylake.llm import licenses, mixing
 from assaylake.llm.decontaminate import contaminated
 from assaylake.llm.minhash import near_duplicates
+from assaylake.llm.phrases import repeat_counts
 from assaylake.llm.tokencount import load_vocabulary, token_counts
 from assaylake.llm.topk import top_k
 from assaylake.llm.toxicity import toxicity
@@ -72,3 +73,8 @@ def op8(spark, sf_dir):
     import public_tokenizers
 
     return token_counts(table(spark, sf_dir, "documents"), load_vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query("op10_substring_dedup")
+def op10(spark, sf_dir):
+    return repeat_counts(table(spark, sf_dir, "documents"))

@@ -83,13 +83,13 @@ def segments(hasher: Hasher, starts: np.ndarray, ends: np.ndarray, window: int,
     """Runs of windows that share an anchor.
 
     ``starts`` and ``ends`` bound the documents of the batch. Returns arrays, one item per run: the document's
-    number in the batch, the first and last window start, and the hash of the anchor.
+    number in the batch, the first and last window start, the place of the anchor and its hash.
     """
     room = np.maximum(ends - starts - window + 1, 0)
     total = int(room.sum())
     if not total:
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
+        return none, none, none, none, np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(starts)), room)
     at = np.arange(total) - np.repeat(np.cumsum(room) - room, room) + np.repeat(starts, room)
     hashes = hasher.grams(gram)
@@ -100,4 +100,4 @@ def segments(hasher: Hasher, starts: np.ndarray, ends: np.ndarray, window: int,
     new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], total) - 1
-    return owner[first], at[first], at[last], hashes[anchor[first]]
+    return owner[first], at[first], at[last], anchor[first], hashes[anchor[first]]

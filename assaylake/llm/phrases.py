@@ -54,7 +54,7 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 part = data[offsets[first]:offsets[last]]
                 words = words_of(part, own)
                 hasher = Hasher(word_hashes(part, words, powers), powers)
-                row, lo, hi, anchor = segments(hasher, words.first, words.last, window, gram)
+                row, lo, hi, _, anchor = segments(hasher, words.first, words.last, window, gram)
                 content = hasher.spans(lo, hi + window)
                 at = pa.array(first + row)
                 yield pa.RecordBatch.from_arrays(

@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import licenses, mixing
+from assaylake.llm import licenses, mixing, phrases, suffixes
 from assaylake.llm.decontaminate import contaminated
 from assaylake.llm.minhash import near_duplicates
-from assaylake.llm.phrases import repeat_counts
 from assaylake.llm.tokencount import load_vocabulary, token_counts
 from assaylake.llm.topk import top_k
 from assaylake.llm.toxicity import toxicity
@@ -75,6 +74,11 @@ def op8(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), load_vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
 
 
+@query("op9_suffix_array_dedup")
+def op9(spark, sf_dir):
+    return suffixes.repeat_counts(table(spark, sf_dir, "documents"))
+
+
 @query("op10_substring_dedup")
 def op10(spark, sf_dir):
-    return repeat_counts(table(spark, sf_dir, "documents"))
+    return phrases.repeat_counts(table(spark, sf_dir, "documents"))

@@ -101,3 +101,13 @@ def segments(hasher: Hasher, starts: np.ndarray, ends: np.ndarray, window: int,
     first = np.flatnonzero(new)
     last = np.append(first[1:], total) - 1
     return owner[first], at[first], at[last], anchor[first], hashes[anchor[first]]
+
+
+def equal_runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last item of each run of items that agree in all columns."""
+    n = len(columns[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    begin = np.flatnonzero(new)
+    return begin, np.append(begin, n)[1:] - 1

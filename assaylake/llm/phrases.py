@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.anchors import Hasher, Powers, segments
+from assaylake.llm.anchors import Hasher, Powers, equal_runs, segments
 from assaylake.llm.shared import stored
 from assaylake.llm.words import chunks, text_bytes, word_hashes, words_of
 
@@ -44,7 +44,10 @@ HOT = 1000
 
 
 def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, content, doc_id, digest, lo, n): a document's windows by anchor; ``content`` is a hash of the words."""
+    """(anchor, content, doc_id, digest, lo, n, last): a document's windows by anchor; ``content`` is a hash of the words.
+
+    Equal segments that follow each other, as in a repeated line, are one row, from ``lo`` to ``last``.
+    """
     def run(batches):
         powers = Powers()
         for batch in batches:
@@ -56,14 +59,16 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 hasher = Hasher(word_hashes(part, words, powers), powers)
                 row, lo, hi, _, anchor = segments(hasher, words.first, words.last, window, gram)
                 content = hasher.spans(lo, hi + window)
-                at = pa.array(first + row)
+                begin, end = equal_runs(row, content, anchor)
+                base = words.first[row[begin]]
+                at = pa.array(first + row[begin])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array((lo - words.first[row]).astype(np.int32)), pa.array((hi - lo + window).astype(np.int32))],
-                    ["anchor", "content", "doc_id", "digest", "lo", "n"])
+                    [pa.array(anchor[begin].view(np.int64)), pa.array(content[begin].view(np.int64)), batch.column(0).take(at),
+                     batch.column(1).take(at), *[pa.array(x.astype(np.int32)) for x in (lo[begin] - base, (hi - lo + window)[begin], lo[end] - base)]],
+                    ["anchor", "content", "doc_id", "digest", "lo", "n", "last"])
 
     return docs.where("doc_id is not null").select("doc_id", "digest", "text").mapInArrow(
-        run, "anchor long, content long, doc_id long, digest long, lo int, n int")
+        run, "anchor long, content long, doc_id long, digest long, lo int, n int, last int")
 
 
 def _cut(needed: DataFrame, window: int, hot: int) -> DataFrame:
@@ -174,10 +179,15 @@ def _add(out, row, start, last, owner, window):
 
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, hot: int = HOT,
                    shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
-    """(doc_id, digest, spans): word ranges that go, as (first word, number of words); ``docs`` has digest."""
+    """(doc_id, digest, spans): word ranges that go, as (first word, number of words).
+
+    ``docs`` has text, and doc_id and digest, a hash of the text, to tell texts apart.
+    """
     known = stored(_segments(docs, window, gram), "segments")
     several = known.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    known = stored(known.join(several.select("anchor"), "anchor", "left_semi"), "recurring-segments")
+    # written, so that a frequent anchor's rows can be split when they are joined
+    several = stored(several.select("anchor"), "recurring-anchors")
+    known = stored(known.join(several, "anchor", "left_semi"), "recurring-segments")
     distinct = known.groupBy("anchor", "content").agg(
         F.min(F.struct("doc_id", "digest", "lo", "n")).alias("first"), F.max("doc_id").alias("last"))
     distinct = stored(distinct, "distinct-segments")
@@ -194,15 +204,14 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, h
     shards = max(1, -(-cut.count() // shard_segments))
     found = _search(cut.withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards))), window, AUTOMATON_SEGMENTS)
     phrases = stored(plain.unionAll(found), "phrases")
-    # only segments of later documents lose words
-    at = known.select("anchor", "content", "doc_id", "digest", "lo").join(phrases, ["anchor", "content"]).where(
-        F.col("doc_id") > F.col("owner"))
+    # only segments of later documents lose words; a row of several equal segments is taken apart where they lose some
+    at = known.select("anchor", "content", "doc_id", "digest", "lo", "last", F.col("n").alias("size")).join(phrases, ["anchor", "content"])
+    whole = F.col("n") == F.col("size")
+    begin = F.when(whole, F.array("lo")).otherwise(F.sequence("lo", "last", F.col("size") - window + 1))
+    at = at.where(F.col("doc_id") > F.col("owner")).select(
+        "doc_id", "digest", F.explode(begin).alias("begin"), "at", (F.col("n") + F.when(whole, F.col("last") - F.col("lo")).otherwise(0)).alias("n"))
     return at.groupBy("doc_id", "digest").agg(
-        F.collect_set(F.struct((F.col("lo") + F.col("at")).alias("first"), F.col("n").alias("n"))).alias("spans"))
-
-
-def with_digest(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("digest", F.xxhash64("text"))
+        F.collect_set(F.struct((F.col("begin") + F.col("at")).alias("first"), "n")).alias("spans"))
 
 
 def kept_mask(count: int, spans) -> np.ndarray:
@@ -226,11 +235,10 @@ def repeat_counts(docs: DataFrame, **options) -> DataFrame:
 
 def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
     names = docs.columns
-    own = with_digest(docs.withColumn("doc_id", F.col("doc_id").cast("long"))) if "digest" not in names else None
-    if own is None:
-        raise ValueError("documents must not have a column named digest")
-    spans = stored(repeated_spans(own, **options), "spans")
-    joined = own.join(spans, ["doc_id", "digest"], "left").select(*names, "spans")
+    own = docs.select("*", F.col("doc_id").cast("long").alias("_phrase_doc"), F.xxhash64("text").alias("_phrase_digest"))
+    spans = repeated_spans(own.select(F.col("_phrase_doc").alias("doc_id"), F.col("_phrase_digest").alias("digest"), "text"), **options)
+    spans = stored(spans, "spans").toDF("_phrase_doc", "_phrase_digest", "_phrase_spans")
+    joined = own.join(spans, ["_phrase_doc", "_phrase_digest"], "left").select(*names, "_phrase_spans")
     at = names.index("text")
 
     def cut(data: bytes, spans):

@@ -19,7 +19,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataFrame:
-    """The smallest id reachable from each linked id: (id, component).
+    """The smallest id reachable from each linked id, but for those that are it: (id, component).
 
     ``links`` has the columns (a, b). Every round lets each id take the smallest id among its neighbours
     (large star), then hangs those on the smallest of their own (small star); the number of links never

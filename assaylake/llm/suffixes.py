@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.anchors import Hasher, Powers, segments
+from assaylake.llm.anchors import Hasher, Powers, equal_runs, segments
 from assaylake.llm.shared import stored
 from assaylake.llm.sortmerge import MARK, adjacent
 from assaylake.llm.words import byte_symbols, chunks, text_bytes
@@ -54,10 +54,7 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 hasher = Hasher(byte_symbols(data[offsets[first]:offsets[last]]), powers)
                 row, lo, hi, at, anchor = segments(hasher, own[:-1], own[1:], window, gram)
                 content = hasher.spans(lo, hi + window)
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (content[1:] != content[:-1]) | (anchor[1:] != anchor[:-1])
-                begin = np.flatnonzero(new)
-                end = np.append(begin[1:], len(row)) - 1
+                begin, end = equal_runs(row, content, anchor)
                 base = own[row[begin]]
                 places = (lo[begin] - base, (hi - lo + window)[begin], (at - lo)[begin], end - begin + 1, lo[end] - base)
                 document = pa.array(first + row[begin])
@@ -181,7 +178,8 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -
     if window > 500:
         raise ValueError("windows of more than 500 bytes need wider window numbers")
     known = stored(_segments(docs, window, gram), "segments")
-    several = known.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
+    # written, so that a frequent anchor's rows can be split when they are joined
+    several = stored(known.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor"), "recurring-anchors")
     known = stored(known.join(several, "anchor", "left_semi"), "recurring-segments")
     variants = known.groupBy("anchor", "content").agg(
         F.sum("times").alias("count"), F.min(F.struct("doc", "digest", "lo", "n", "off")).alias("first"))

@@ -116,7 +116,7 @@ def license_scan(files: DataFrame, templates=TEMPLATES, *, least: float = LEAST,
 
 #: Directories by source and language; every tenth and hundredth document lies one or two levels higher.
 PATH_SQL = ("concat_ws('/', coalesce(source, 'none'), CASE WHEN doc_id % 100 = 0 THEN NULL ELSE coalesce(lang, 'none') END, "
-            "CASE WHEN doc_id % 10 = 0 THEN NULL ELSE concat('d', CAST(doc_id % 1000 AS STRING)) END, concat(CAST(doc_id AS STRING), '.txt'))")
+            "CASE WHEN doc_id % 10 = 0 THEN NULL ELSE 'd' || CAST(doc_id % 1000 AS STRING) END, CAST(doc_id AS STRING) || '.txt')")
 
 
 def documents_as_files(docs: DataFrame) -> DataFrame:

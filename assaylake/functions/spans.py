@@ -22,7 +22,6 @@ SPANS_TYPE = f"array<{SPAN_TYPE}>"
 BOOST = 0.35
 BOOST_FLOOR = 0.4
 CONTEXT_WORDS = 5
-CONTEXT_CHARS = 256
 
 
 @dataclass(frozen=True)
@@ -101,10 +100,11 @@ def _score(text: str, start: str, recognizer: Recognizer) -> str:
     if not recognizer.context:
         return base
     boosted = min(1.0, max(recognizer.score + BOOST, BOOST_FLOOR))
-    # `start` is zero based, so it is also the number of characters before the hit
-    before = f"substring({text}, greatest({start} - {CONTEXT_CHARS - 1}, 1), least({start}, {CONTEXT_CHARS}))"
-    last_words = _quoted(rf"(?:\w+\W+){{0,{CONTEXT_WORDS}}}\w*$")
-    found = f"lower(regexp_extract({before}, {last_words}, 0)) rlike {_quoted('|'.join(recognizer.context))}"
+    # `start` is zero based, so it is also the number of characters before the hit; read backwards, the last words
+    # come first, however long they are and wherever the hit lies
+    before = f"reverse(left({text}, {start}))"
+    last_words = _quoted(rf"^\w*(?:\W+\w+){{0,{CONTEXT_WORDS}}}")
+    found = f"lower(reverse(regexp_extract({before}, {last_words}, 0))) rlike {_quoted('|'.join(recognizer.context))}"
     return f"if({found}, {boosted}D, {base})"
 
 

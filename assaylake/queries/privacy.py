@@ -12,7 +12,6 @@ from assaylake.operators import pii
 from assaylake.operators.joins import round_trip_mismatches
 from assaylake.queries import inputs
 from assaylake.queries.registry import day, dbl, query, table
-from assaylake.session import spread_small
 
 # Keys of the registered queries only; real runs bring their own.
 _HMAC = b"query hmac key"
@@ -24,7 +23,7 @@ def keys(spark: SparkSession, newest: int = 1) -> KeyRing:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _sql_text(value: str) -> str:
@@ -50,7 +49,7 @@ placed as (
   from spots),
 scored as (
   select id, entity, s, s + n as e,
-         case when ctx is not null and regexp_matches(lower(regexp_extract(substr(t, greatest(s - {sp.CONTEXT_CHARS} + 1, 1), least(s, {sp.CONTEXT_CHARS})),
+         case when ctx is not null and regexp_matches(lower(regexp_extract(substr(t, 1, s),
               '(?:\\w+\\W+){{0,{sp.CONTEXT_WORDS}}}\\w*$')), ctx) then boosted else base end as score
   from placed),
 kept as (select * from scored where score >= {threshold}),
@@ -109,6 +108,25 @@ def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("s.score", 3).alias("score"))
 
 
+_FAR = (300, 5000)  # letters of a word between a context word and its number
+
+
+@query("pii_far_context", f"""
+with documents_far as (
+  select doc_id, 'gsis ' || repeat('x', case when doc_id % 2 = 0 then {_FAR[0]} else {_FAR[1]} end) || ' ' || lpad(cast(doc_id as varchar), 11, '0')
+         || case when doc_id % 3 = 0 then ' a b c d e f ' || lpad(cast(doc_id + 1 as varchar), 11, '0') else '' end || ' ' || text as text from documents),
+""" + hits_sql([r for r in sp.DEFAULT_RECOGNIZERS if r.entity == "PH_GSIS"], source="documents_far") + """
+select id as doc_id, cast(s as bigint) as start_at, round(score, 3) as score from spans""")
+def pii_far_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers whose context word lies within five words but hundreds or thousands of letters before; without one there is no finding."""
+    key = F.col("doc_id")
+    far = F.when(key % 2 == 0, F.lit(_FAR[0])).otherwise(F.lit(_FAR[1]))
+    second = F.when(key % 3 == 0, F.concat(F.lit(" a b c d e f "), F.lpad((key + 1).cast("string"), 11, "0"))).otherwise("")
+    text = F.concat(F.lit("gsis "), F.repeat(F.lit("x"), far), F.lit(" "), F.lpad(key.cast("string"), 11, "0"), second, F.lit(" "), F.col("text"))
+    found = documents(spark, sf_dir).select("doc_id", text.alias("text")).select("doc_id", F.explode(sp.detected("text", ["PH_GSIS"])).alias("s"))
+    return found.select("doc_id", F.col("s.start").cast("bigint").alias("start_at"), F.round("s.score", 3).alias("score"))
+
+
 @query("pii_findings", "with " + hits_sql(sp.DEFAULT_RECOGNIZERS) + """
 select 'text' as "column", entity, count(*) as "count", round(min(score), 3) as min_score, round(max(score), 3) as max_score, 'replace_in_text' as treatment
 from spans group by 2""")
@@ -139,7 +157,7 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tin = F.concat_ws("-", F.lpad((key % 1000).cast("string"), 3, "0"), F.lit("456"), F.lit("789"))
     remark = F.when(key % 4 == 0, F.concat(F.lit("Call "), phone, F.lit(" about it"))).when(
         key % 4 == 1, F.concat(F.lit("Write to "), mail, F.lit(", TIN "), tin)).when(key % 4 == 2, "No contact recorded").otherwise("")
-    return spread_small(table(spark, sf_dir, "customer")).select(
+    return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("f"), key).alias("record"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("person"),
         phone.alias("phone"), mail.alias("mail"), remark.alias("remarks"))
 
@@ -186,14 +204,19 @@ def pii_vault_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("pii_vault_mismatches", _VAULT + """, originals as (select record as record_id, 'person' as column_name, case when k % 50 = 0 then upper(person) else person end as value from contacts)
-select v.record_id, v.column_name, v.value as "left", o.value as "right" from vault v join originals o using (record_id, column_name) where v.value <> o.value""")
+select v.record_id, v.column_name, v.value as "left", o.value as "right" from vault v join originals o using (record_id, column_name) where v.value <> o.value and v.record_id not like '%7'
+union all select v.record_id, v.column_name, v.value, null from vault v join originals o using (record_id, column_name) where v.record_id like '%7'
+union all select record_id || '#', column_name, null, null from originals where record_id like '%7'""")
 def pii_vault_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decrypted vault against originals of which some were changed."""
+    """Decrypted vault against originals of which some were changed, some are missing, and some are null where the vault has no row."""
     rows = contacts(spark, sf_dir)
     guard = pii.protect(rows, CONTACT_POLICY, "record", keys(spark), check_ids=False)
     number = F.substring("record", 2, 20).cast("bigint")
     originals = rows.select(F.col("record").alias("record_id"), F.lit("person").alias("column_name"),
                             F.when(number % 50 == 0, F.upper("person")).otherwise(F.col("person")).alias("value"))
+    some = F.col("record_id").endswith("7")
+    extra = originals.filter(some).select(F.concat("record_id", F.lit("#")).alias("record_id"), "column_name", F.lit(None).cast("string").alias("value"))
+    originals = originals.filter(~some).unionByName(extra)
     revealed = pii.revealed(guard.vault, keys(spark), columns=["person"])
     return round_trip_mismatches(revealed, originals, ["record_id", "column_name"], "value")
 

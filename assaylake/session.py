@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "assaylake", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,13 +43,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="assaylake-")
     return os.path.join(base, "assaylake", f"{name}-{uuid.uuid4().hex}")
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives in fewer splits than there are cores.
-
-    One compressed file is one task, which starves work that is heavy per row. Inputs with enough
-    splits - any large table - come back unchanged, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores * 2) if df.rdd.getNumPartitions() < cores else df

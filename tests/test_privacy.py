@@ -39,11 +39,11 @@ def test_serving_copy(people, guard):
     assert not [s for s in SECRETS if s in blob]
     for before in people.collect():
         assert all(rows[before["feature_id"]][c] == before[c] for c in ("name", "address", "region"))
-    assert rows["f1"]["contact_person"] == rows["f3"]["contact_person"] != rows["f2"]["contact_person"]
-    assert rows["f1"]["contact_email"] == "j***@example.org" and rows["f1"]["contact_phone"] == "**** *** *567"
-    assert rows["f1"]["remarks"] == "Call <PERSON> at <PH_PHONE> about the generator"
-    assert rows["f2"]["remarks"] == "Contact <EMAIL_ADDRESS>, TIN <PH_TIN>"
-    assert rows["f4"]["remarks"] == ""
+    assert rows["k10"]["contact_person"] == rows["k30"]["contact_person"] != rows["k20"]["contact_person"]
+    assert rows["k10"]["contact_email"] == "c***@mail.example.com" and rows["k10"]["contact_phone"] == "**** *** *788"
+    assert rows["k10"]["remarks"] == "Ask for <PERSON>, mobile <PH_PHONE>, before noon"
+    assert rows["k20"]["remarks"] == "Write to <EMAIL_ADDRESS>; his TIN <PH_TIN>"
+    assert rows["k40"]["remarks"] == ""
 
 
 def test_pseudonym_is_a_keyed_hash(people, ring):
@@ -64,11 +64,11 @@ def test_vault(people, guard, ring):
     for row in people.collect():
         for c in ("contact_person", "contact_phone", "contact_email"):
             assert open_[(row["feature_id"], c)] == row[c]
-    assert open_[("f1", "remarks")] == PEOPLE[0][-1]
-    assert open_[("f2", "remarks")] == "Contact maria.santos@example.org, TIN <PH_TIN>"
-    assert ("f4", "remarks") not in open_
-    some = pii.revealed_by_record(guard.vault, ring, ["f1"], ["contact_email"]).collect()
-    assert [(r["record_id"], r["contacts"]) for r in some] == [("f1", {"contact_email": "juan.delacruz@example.org"})]
+    assert open_[("k10", "remarks")] == PEOPLE[0][-1]
+    assert open_[("k20", "remarks")] == "Write to belen@office.example.net; his TIN <PH_TIN>"
+    assert ("k40", "remarks") not in open_
+    some = pii.revealed_by_record(guard.vault, ring, ["k10"], ["contact_email"]).collect()
+    assert [(r["record_id"], r["contacts"]) for r in some] == [("k10", {"contact_email": "c.abad@mail.example.com"})]
 
 
 def test_findings_hold_no_text(guard):
@@ -117,9 +117,9 @@ def test_rotation_and_erasure(spark, guard):
     fresh = pii.rotated(guard.vault, newer)
     assert {r["key_version"] for r in fresh.collect()} == {2}
     only_new = KeyRing(spark, HMAC, {2: b"fedcba9876543210"})
-    assert pii.revealed(fresh, only_new, ["f1"], ["contact_person"]).first()["value"] == "Juan dela Cruz"
-    gone = pii.erased(guard.vault, spark.createDataFrame([("f1",)], "id string"))
-    assert gone.filter("record_id = 'f1'").count() == 0 and gone.count() == 11
+    assert pii.revealed(fresh, only_new, ["k10"], ["contact_person"]).first()["value"] == "Corazon Abad"
+    gone = pii.erased(guard.vault, spark.createDataFrame([("k10",)], "id string"))
+    assert gone.filter("record_id = 'k10'").count() == 0 and gone.count() == 11
     assert fresh.select(key_version(F.col("ciphertext"))).distinct().count() == 1
 
 
@@ -147,7 +147,7 @@ def test_vault_false_redact_and_declared_only(people, ring):
     out = pii.protect(people, policy, "feature_id", ring)
     assert {r[0] for r in out.serving.select("contact_person").collect()} == {"[REDACTED]"}
     assert {r["column_name"] for r in out.vault.collect()} == {"contact_email"}
-    assert out.serving.filter("feature_id = 'f1'").first()["remarks"] == PEOPLE[0][-1]
+    assert out.serving.filter("feature_id = 'k10'").first()["remarks"] == PEOPLE[0][-1]
     with pytest.raises(ValueError):
         pii.protect(people, pii.policy_from({"columns": {"nope": {"serving": "mask"}}}), "feature_id", ring)
     with pytest.raises(ValueError):
@@ -156,12 +156,12 @@ def test_vault_false_redact_and_declared_only(people, ring):
 
 def test_pluggable_analyzer(people, ring):
     def analyze(text):
-        return [("PERSON", m.start(), m.end(), 0.9) for m in re.finditer("generator|Contact", text)] + [("PERSON", 0, 4, 0.1)]
+        return [("PERSON", m.start(), m.end(), 0.9) for m in re.finditer("noon|Write", text)] + [("PERSON", 0, 4, 0.1)]
 
     policy = pii.policy_from({"skip_columns": ["name", "address"], "columns": {}})
     out = pii.protect(people, policy, "feature_id", ring, pii.udf_detector(analyze, policy))
     rows = {r["feature_id"]: r["remarks"] for r in out.serving.collect()}
-    assert rows["f1"].endswith("about the <PERSON>") and rows["f2"].startswith("<PERSON> maria")
+    assert rows["k10"].endswith("before <PERSON>") and rows["k20"].startswith("<PERSON> to belen")
 
 
 def _merged_by_hand(spans):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,6 +18,7 @@ from assaylake.sources.records import parse_changes
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EPOCH = "_epoch"
+RUN = "_run"  # never looks like a number or a date, so it is read back as text
 
 
 def file_changes(spark: SparkSession, folder: str, row: T.StructType | Sequence[str], files_per_batch: int = 1000) -> DataFrame:
@@ -37,69 +39,81 @@ def for_table(events: DataFrame, table: str) -> DataFrame:
     return events.filter(F.coalesce(F.col("source.table"), F.col("table")) == table)
 
 
+_PUBLISHED = f"version bigint, location string, {RUN} string, upto bigint"
+
+
 class StateTable:
     """Current state of a change stream, as a log of changed keys with snapshots.
 
-    Every micro batch writes one row per key it touched into its own partition, so the cost of a
-    batch follows its size and a retried batch replaces itself. Deletes stay in the log as rows: a
-    late older event cannot bring a key back. ``compact`` folds the log into a snapshot.
+    Every micro batch writes one row per key it touched into a partition of its run and epoch, so the cost of a
+    batch follows its size, a retried batch replaces itself, and a stream that starts over with a new checkpoint
+    leaves what older runs wrote. Deletes stay in the log as rows: a late older event cannot bring a key back.
+    ``compact`` folds the log into a snapshot; from then on reads skip the partitions it covers.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], ties: Sequence[str] = ()) -> None:
         self._spark = spark
+        self._root = root
         self._log = os.path.join(root, "log")
-        self._snapshots = os.path.join(root, "snapshots")
+        self._published = os.path.join(root, "published")
         self._keys = list(keys)
         self._ties = list(ties)
 
     def newest(self, rows: DataFrame) -> DataFrame:
         return latest_by(rows, self._keys, ["_operation_timestamp"], self._ties)
 
-    def absorb(self, batch: DataFrame, epoch: int) -> None:
+    def absorb(self, batch: DataFrame, epoch: int, run: str = "run-0") -> None:
         """Write one micro batch, reduced to its newest event per key. Safe to repeat."""
-        (self.newest(batch).withColumn(EPOCH, F.lit(epoch)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(EPOCH).parquet(self._log))
+        (self.newest(batch).withColumns({RUN: F.lit(run), EPOCH: F.lit(epoch)}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(RUN, EPOCH).parquet(self._log))
 
-    def _last_snapshot(self) -> tuple[int, str] | None:
+    def _snapshot(self) -> tuple[int, str, dict[str, int]] | None:
+        """Number and place of the newest snapshot, and up to which epoch of each run it reaches."""
         try:
-            listing = self._spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-                "pathGlobFilter", "_SUCCESS").load(self._snapshots)
-            row = listing.select(F.regexp_extract("path", r"/upto=(\d+)/", 1).cast("bigint").alias("upto")).agg(
-                F.max("upto")).first()
+            published = self._spark.read.schema(_PUBLISHED).parquet(self._published)
         except AnalysisException:
             return None
-        return None if row[0] is None else (row[0], os.path.join(self._snapshots, f"upto={row[0]}"))
+        rows = published.filter(F.col("version") == published.agg(F.max("version")).scalar()).collect()  # a row for each run
+        return (rows[0]["version"], rows[0]["location"], {r[RUN]: r["upto"] for r in rows}) if rows else None
 
     def with_deletes(self) -> DataFrame:
         """The newest event of every key, deletes included."""
         log = self._spark.read.parquet(self._log)
-        snapshot = self._last_snapshot()
-        if snapshot is not None:
-            upto, path = snapshot
-            log = log.filter(F.col(EPOCH) > upto).drop(EPOCH).unionByName(self._spark.read.parquet(path))
-        else:
-            log = log.drop(EPOCH)
-        return self.newest(log)
+        snapshot = self._snapshot()
+        if snapshot is None:
+            return self.newest(log.drop(RUN, EPOCH))
+        _, location, reach = snapshot
+        for run, upto in reach.items():
+            log = log.filter((F.col(RUN) != run) | (F.col(EPOCH) > upto))
+        return self.newest(log.drop(RUN, EPOCH).unionByName(self._spark.read.parquet(location)))
 
     def current(self) -> DataFrame:
         return without_deleted(self.with_deletes())
 
     def compact(self) -> int | None:
-        """Fold the log into a snapshot. Readers use it once it is complete; the log stays."""
-        upto = self._spark.read.parquet(self._log).agg(F.max(EPOCH)).first()[0]
-        last = self._last_snapshot()
-        if upto is None or (last and last[0] >= upto):
+        """Fold the log into a snapshot and publish it; returns its number. The log stays."""
+        reach = {r[RUN]: r["upto"] for r in self._spark.read.parquet(self._log).groupBy(RUN).agg(F.max(EPOCH).alias("upto")).collect()}
+        last = self._snapshot()
+        if not reach or (last and last[2] == reach):
             return last[0] if last else None
-        self.with_deletes().write.mode("overwrite").parquet(os.path.join(self._snapshots, f"upto={upto}"))
-        return upto
+        version = last[0] + 1 if last else 1
+        location = os.path.join(self._root, "snapshots", f"v{version}-{uuid.uuid4().hex}")
+        self.with_deletes().write.parquet(location)
+        rows = [(version, location, run, upto) for run, upto in reach.items()]
+        self._spark.createDataFrame(rows, _PUBLISHED).coalesce(1).write.mode("append").parquet(self._published)
+        return version
 
 
 def run_state(events: DataFrame, columns: Sequence[str], state: StateTable, checkpoint: str,
               every: str | None = None) -> StreamingQuery:
-    """Keep a state table up to date. Without ``every`` it takes what is there and stops."""
+    """Keep a state table up to date. Without ``every`` it takes what is there and stops.
+
+    Epochs are kept apart by run; a batch that is repeated after a restart is there twice, which changes no state.
+    """
+    run = f"run-{uuid.uuid4().hex}"
     rows = change_rows(events, columns)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, epoch: state.absorb(batch, epoch))
+        lambda batch, epoch: state.absorb(batch, epoch, run))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 

@@ -1,8 +1,12 @@
 import json
 import os
+import re
+
+import pytest
 
 from pyspark.sql import functions as F
 
+from assaylake.sources import records
 from assaylake.streaming import changes
 
 COLUMNS = ["k", "v"]
@@ -44,6 +48,20 @@ def test_state_over_several_runs(spark, root):
     assert spark.read.parquet(root + "/state/log").filter("_epoch = 77").count() == 1
 
 
+def test_a_new_checkpoint_keeps_older_runs_and_snapshots_are_read(spark, root):
+    state = changes.StateTable(spark, root + "/state", ["k"])
+    feed(root + "/in", "1.json", [event("c", "a", 1, "a1"), event("c", "b", 1, "b1")])
+    assert step(spark, root, state) == {"a": "a1", "b": "b1"}
+    assert state.compact() == 1
+    feed(root + "/later", "1.json", [event("c", "c", 2, "c2"), event("u", "b", 3, "b3")])
+    changes.run_state(changes.file_changes(spark, root + "/later", COLUMNS), COLUMNS, state, root + "/other").awaitTermination()
+    assert {r["k"]: r["v"] for r in state.current().collect()} == {"a": "a1", "b": "b3", "c": "c2"}
+    # the first run's only epoch is in the snapshot, so its partition is skipped
+    plan = state.current()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\n]*_epoch#\d+", plan)
+    assert state.compact() == 2
+
+
 def test_events_of_one_table(spark):
     raw = spark.createDataFrame([(event("c", "a", 1, "x"),), (json.dumps({"op": "c", "after": {"k": "b"}, "table": "u"}),)], "value string")
     parsed = changes.parse_changes(raw, COLUMNS)
@@ -62,3 +80,16 @@ def test_landing_values(spark):
     assert row["key"] == "d" and json.loads(row["value"]) == {"dataset": "d", "rows": 3}
     counted = changes.windowed_counts(spark.createDataFrame([("2026-01-01 00:01:00", "c")], "t string, op string").withColumn("t", F.to_timestamp("t")), "t", "op")
     assert counted.first()["n"] == 1
+
+
+def test_broken_events_end_the_query_unless_kept(spark):
+    raw = spark.createDataFrame([(event("c", "a", 1, "x"),), ("{broken",), ("[1]",), (json.dumps({"op": "c", "after": {"k": "b"}, "ts_ms": "2026-01-01T00:00:00Z"}),), (None,)], "value string")
+    kept = changes.parse_changes(raw, COLUMNS, on_broken="keep").collect()
+    assert [r["_broken"] is None for r in kept] == [True, False, False, False] and kept[0]["after"]["k"] == "a" and kept[1]["after"] is None
+    with pytest.raises(Exception, match="broken change event"):
+        changes.parse_changes(raw, COLUMNS).collect()
+    pages = spark.createDataFrame([('{"data": {"records": [{"k": "a"}]}}',), ('[{"k": "b"}]',), ('{"data": {"records": [{"k": "c"',), ('{"items": []}',)], "value string")
+    rows = records.explode_records(pages, COLUMNS, on_broken="keep").collect()
+    assert sorted(r["k"] for r in rows if r["_broken"] is None) == ["a", "b"] and sum(r["_broken"] is not None for r in rows) == 2
+    with pytest.raises(Exception, match="broken payload"):
+        records.explode_records(pages, COLUMNS).collect()

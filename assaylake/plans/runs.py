@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
@@ -37,6 +37,8 @@ class DatasetRun:
     silver: DataFrame
     gold: DataFrame
     tests: DataFrame = field(repr=False)
+    vault: DataFrame | None = None  # of a run under a privacy policy
+    findings: DataFrame | None = None
 
 
 Silver = Callable[[DataFrame, SparkSession], DataFrame]
@@ -75,7 +77,8 @@ def run_dataset(
 ) -> DatasetRun:
     """Stage, validate, promote and build one dataset from the raw rows of its channels.
 
-    A privacy policy is applied after validation and before anything is promoted or quarantined.
+    Under a privacy policy rows are validated as they come in and protected before anything is written: no table, landing
+    or quarantine folder holds readable values. The vault is published together with Bronze.
     """
     run_id = run_id or staging.new_batch_id(contract.dataset)
     stamp = staging.now_text()
@@ -83,17 +86,25 @@ def run_dataset(
     execution, runlog = uuid.uuid4().hex, os.path.join(root, "run_log")
     logs.append_run(logs.run_entry(spark, execution, contract.dataset, run_id, run_id, "running"), runlog)
     try:
-        staged, manifests = _stage(spark, contract, channels, root, run_id, run_date)
-        report, results, _ = validate_batch(staged.drop("_source_id"), contract, strict)
+        guard = None
+        if policy is not None:
+            # read twice, once to be judged and once to be protected; nothing readable is written
+            incoming = canonical.union_channels([rows.withColumn("_source_id", F.lit(s)) for s, rows in channels.items()])
+            report, results, _ = validate_batch(incoming.drop("_source_id"), contract, strict)
+            guard = pii.protect(incoming, policy, contract.unique_fields[0], keys, check_ids=False).stored(
+                os.path.join(root, "protected", contract.dataset, uuid.uuid4().hex))
+            channels = {s: guard.serving.filter(F.col("_source_id") == s).drop("_source_id") for s in channels}
+        ready, manifests = _stage(spark, contract, channels, root, run_id, run_date)
+        if policy is None:
+            report, results, _ = validate_batch(ready.drop("_source_id"), contract, strict)
         summary = report.first().asDict()
-        ready = _protected(staged, contract, policy, keys)
         if not summary["hard_rule_pass"]:
             failed = [f"{r['rule']}:{r['column']}" for r in rules.failed_rules(results).collect()]
             folder = staging.quarantined(ready, root, contract.dataset, run_id, "hard validation failed", results)
             raise BatchRejected(contract.dataset, folder, failed)
         table = os.path.join(root, "staging", f"{contract.dataset}_raw")
         staging.append_staging(staging.stamped(ready, contract, run_id, F.col("_source_id"), stamp), table)
-        run = _build(spark, contract, table, root, run_id, summary, results, manifests)
+        run = _build(spark, contract, table, root, run_id, summary, results, manifests, guard)
     except Exception as error:
         logs.append_run(logs.run_entry(spark, execution, contract.dataset, run_id, run_id, "failed", type(error).__name__), runlog)
         raise
@@ -116,26 +127,27 @@ def _stage(spark, contract, channels, root, run_id, run_date) -> tuple[DataFrame
     return canonical.union_channels(frames), reduce(DataFrame.unionByName, manifests)
 
 
-def _protected(staged: DataFrame, contract: Contract, policy, keys) -> DataFrame:
-    if policy is None:
-        return staged
-    return pii.protect(staged, policy, contract.unique_fields[0], keys, check_ids=False).serving
-
-
-def _build(spark, contract, table, root, run_id, summary, results, manifests) -> DatasetRun:
+def _build(spark, contract, table, root, run_id, summary, results, manifests, guard) -> DatasetRun:
     if contract.dataset not in _MODELS:
         raise KeyError(f"no models for dataset {contract.dataset!r}; register them with register_models")
     store = versions.VersionedTables(spark, os.path.join(root, "tables"))
     names = {layer: f"{layer}_{contract.dataset}" for layer in ("bronze", "silver", "gold")}
-    bronze = medallion.bronze(spark.read.parquet(table), contract, run_id)
-    store.replace(names["bronze"], bronze, run_id)
+    bronze = medallion.bronze(staging.read_staging(spark, table), contract, run_id)
+    vault_name = f"{names['bronze']}_vault"
+    if guard is None:
+        store.replace(names["bronze"], bronze, run_id)
+    else:
+        sealed = guard.vault.withColumn("batch_id", F.lit(run_id))
+        held = store.read(vault_name).filter(F.col("batch_id") != run_id) if store.current(vault_name) else sealed.limit(0)
+        store.replace_all({names["bronze"]: bronze, vault_name: held.unionByName(sealed)}, run_id)
     silver, gold = _MODELS[contract.dataset]
     store.replace(names["silver"], silver(store.read(names["bronze"]), spark), run_id)
     store.replace(names["gold"], gold(store.read(names["silver"])), run_id)
     built = {layer: store.read(name) for layer, name in names.items()}
     checks = _TESTS.get(contract.dataset, ())
     tests = rules.model_tests({n: medallion.MODEL_TESTS[n] for n in checks}, dict(zip(checks, built.values())))
-    return DatasetRun(summary, results, manifests, tests=tests, **built)
+    hidden = {} if guard is None else {"vault": store.read(vault_name), "findings": guard.findings}
+    return DatasetRun(summary, results, manifests, tests=tests, **built, **hidden)
 
 
 # --- layers ----------------------------------------------------------------------------------------
@@ -162,8 +174,9 @@ def run_layer(spark: SparkSession, features: DataFrame, config: Mapping[str, Any
     summary = report.first().asDict()
     policy = pii.policy_from(config.get("pii"))
     if not summary["hard_rule_pass"]:
-        safe = pii.protect(features, policy, key, keys, check_ids=False) if key in features.columns else None
-        rows = safe.serving if safe is not None else features.select("geom")
+        # without its key a layer is protected under a number of its own, so that its attributes are kept
+        named = features if key in features.columns else features.withColumn(key, F.monotonically_increasing_id().cast("string"))
+        rows = pii.protect(named, _held_columns(policy, named), key, keys, check_ids=False).serving
         failed = [f"{r['rule']}:{r['column']}" for r in rules.failed_rules(results).collect()]
         # sample ids are keys, not personal data: the key column may not be a privacy column
         folder = staging.quarantined(rows, root, layer, run_id, "hard validation failed", results)
@@ -181,6 +194,11 @@ def run_layer(spark: SparkSession, features: DataFrame, config: Mapping[str, Any
     return LayerRun(summary, loaded, serving, view, store.read(f"{layer}_vault"), guard.findings)
 
 
+def _held_columns(policy: pii.Policy, df: DataFrame) -> pii.Policy:
+    """The policy for the columns that are there; a batch is often rejected because some are not."""
+    return replace(policy, columns={c: t for c, t in policy.columns.items() if c in df.columns})
+
+
 def layer_checks(serving: DataFrame, view: DataFrame, vault: DataFrame, config: Mapping[str, Any],
                  expected_rows: int, expected_vault_rows: int, known: list[str]) -> DataFrame:
     """What must hold after a load, one row per check: rows, vault rows, exposed columns, no leaks."""

@@ -51,9 +51,10 @@ def box(xmin: Column, ymin: Column, xmax: Column, ymax: Column, srid: int = 4326
 
 
 def point_from_wkt(wkt: Column, srid: int = 4326) -> Column:
-    """``POINT (x y)`` text as a point shape."""
-    number = r"(-?\d+(?:\.\d+)?)"
-    pattern = rf"(?i)^\s*POINT\s*\(\s*{number}\s+{number}\s*\)\s*$"
+    """``POINT (x y)`` text as a point shape; heights and measures (``POINT Z``, ``M``, ``ZM``) are left out."""
+    number = r"([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)"
+    more = r"(?:\s+[^\s()]+){0,2}"
+    pattern = rf"(?i)^\s*POINT\s*(?:ZM|Z|M)?\s*\(\s*{number}\s+{number}{more}\s*\)\s*$"
     return point(F.regexp_extract(wkt, pattern, 1).try_cast("double"),
                  F.regexp_extract(wkt, pattern, 2).try_cast("double"), srid)
 
@@ -61,10 +62,11 @@ def point_from_wkt(wkt: Column, srid: int = 4326) -> Column:
 def wkb_kind(wkb: Column) -> Column:
     """Geometry kind from the WKB header alone."""
     order = F.hex(F.substring(wkb, 1, 1))
-    first = F.hex(F.substring(wkb, 2, 1))
-    last = F.hex(F.substring(wkb, 5, 1))
-    code = F.conv(F.when(order == "01", first).otherwise(last), 16, 10).cast("int")
-    return F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.when(code.between(1, len(KINDS)), code))
+    # the two low bytes hold the kind, with the thousands of ISO heights and measures
+    little = F.concat(F.hex(F.substring(wkb, 3, 1)), F.hex(F.substring(wkb, 2, 1)))
+    big = F.hex(F.substring(wkb, 4, 2))
+    code = F.conv(F.when(order == "01", little).otherwise(big), 16, 10).cast("int") % 1000
+    return F.get(F.array(*[F.lit(k) for k in KINDS]), code - 1)  # null for codes without a kind
 
 
 def _read_wkb(data: bytes, at: int = 0) -> tuple[str, int | None, list, list, int]:
@@ -75,8 +77,12 @@ def _read_wkb(data: bytes, at: int = 0) -> tuple[str, int | None, list, list, in
     if code & 0x20000000:
         (srid,) = struct.unpack_from(end + "I", data, at)
         at += 4
-    dims = 2 + bool(code & 0x80000000) + bool(code & 0x40000000)
-    kind = KINDS[(code & 0xFF) - 1]
+    # flags of EWKB, or thousands of ISO WKB: 1 for heights, 2 for measures, 3 for both
+    iso, number = divmod(code & 0xFFFF, 1000)
+    dims = 2 + bool(code & 0x80000000 or iso in (1, 3)) + bool(code & 0x40000000 or iso in (2, 3))
+    if iso > 3 or not 1 <= number <= len(KINDS):
+        raise ValueError(f"unknown geometry code {code}")
+    kind = KINDS[number - 1]
     xs: list = []
     ys: list = []
 

@@ -32,15 +32,22 @@ def with_lookup(df: DataFrame, dim: DataFrame, left: str, right: str, value: str
 
 
 def round_trip_mismatches(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Keys whose value differs between two sides or exists on one side only.
+    """Keys whose values differ between two sides or exist on one side only; ``left`` and ``right`` are the largest.
 
-    Both sides are stacked and grouped, which needs one shuffle and no outer join.
+    Rows and nulls are counted too, and values are summed up by hash: a null against no row, or two values against
+    one, are differences. Both sides are stacked and grouped, which needs one shuffle and no outer join.
     """
     sides = [side.select(*keys, F.col(value).alias("_v"), F.lit(i).alias("_side"))
              for i, side in enumerate((left, right))]
+    def only(side: int, c: Column) -> Column:
+        return F.when(F.col("_side") == side, c)
+
+    digest = F.xxhash64("_v").cast("decimal(38,0)")
     grouped = sides[0].unionByName(sides[1]).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_side") == i, F.col("_v"))).alias(n) for i, n in enumerate(("left", "right"))])
-    return grouped.filter(~F.col("left").eqNullSafe(F.col("right")))
+        *[F.max(only(i, F.col("_v"))).alias(n) for i, n in enumerate(("left", "right"))],
+        *[F.struct(F.count(only(i, F.lit(1))), F.count(only(i, F.col("_v"))), F.sum(only(i, digest))).alias(f"_{i}") for i in (0, 1)])
+    same = F.col("left").eqNullSafe(F.col("right")) & F.col("_0").eqNullSafe(F.col("_1"))
+    return grouped.filter(~same).drop("_0", "_1")
 
 
 def _cell_range(low: Column, high: Column, size: Column) -> Column:

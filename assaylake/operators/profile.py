@@ -62,13 +62,14 @@ def headline(df: DataFrame, stamp: str, now: Column, failures: str | None = None
 
 
 def drift(before: DataFrame, after: DataFrame, null_pct: float = 5.0, duplicate_growth: float = 1.5) -> DataFrame:
-    """Alerts from two profiles: more nulls than allowed, or repeated values grown beyond a factor."""
+    """Alerts from two profiles: more nulls than allowed, repeated values grown beyond a factor, or a column that one lacks."""
     def side(p: DataFrame, tag: str) -> DataFrame:
         repeated = F.col("row_count") - F.col("null_count") - F.col("distinct_count")
         return p.select("column", F.col("null_pct").alias(f"null_{tag}"), repeated.alias(f"dup_{tag}"))
 
-    both = side(before, "before").join(side(after, "after"), "column")
+    both = side(before, "before").join(side(after, "after"), "column", "full")
     alerts = F.array_compact(F.array(
+        F.when(F.col("dup_after").isNull(), F.lit("column_removed")), F.when(F.col("dup_before").isNull(), F.lit("column_added")),
         F.when((F.col("null_after") > null_pct) & (F.col("null_after") > F.col("null_before")), F.lit("high_null_rate")),
         F.when(F.col("dup_after") > F.col("dup_before") * duplicate_growth, F.lit("duplicate_increase"))))
     return both.select("*", F.explode(alerts).alias("alert"))

@@ -27,8 +27,9 @@ FAILURES = "row_failures"
 class Rule:
     """A compiled rule.
 
-    Exactly one of ``fails`` (a row predicate), ``unique`` (key columns) and ``holds`` (decided
-    from the schema) is set. A rule succeeds while its failing share is at most ``tolerance_pct``.
+    Exactly one of ``fails`` (a row predicate), ``unique`` (key columns), ``holds`` (decided
+    from the schema) and ``filled`` (the table has rows) is set. A rule succeeds while its failing share is
+    at most ``tolerance_pct``.
     """
 
     name: str
@@ -37,6 +38,7 @@ class Rule:
     fails: Column | None = None
     unique: tuple[str, ...] = ()
     holds: bool | None = None
+    filled: bool = False
     tolerance_pct: float = 0.0
 
     @property
@@ -262,8 +264,12 @@ def _counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             *[F.sum(f"c{i}").alias(f"c{i}") for i in fails],
             F.sum(F.when(repeated, F.col("n")).otherwise(0)).alias(f"c{first}"))
     zero = F.lit(0).cast("bigint")
-    counts = [F.coalesce(f"c{i}", zero).alias(f"c{i}") if r.holds is None else
-              F.lit(0 if r.holds else 1).cast("bigint").alias(f"c{i}") for i, r in enumerate(rules)]
+    def count(i: int, r: Rule) -> Column:
+        if r.filled:
+            return F.when(F.coalesce("rows", zero) == 0, 1).otherwise(0).cast("bigint")
+        return F.coalesce(f"c{i}", zero) if r.holds is None else F.lit(0 if r.holds else 1).cast("bigint")
+
+    counts = [count(i, r).alias(f"c{i}") for i, r in enumerate(rules)]
     return out.select(F.coalesce("rows", zero).alias("rows"), F.coalesce("flagged", zero).alias("flagged"), *counts)
 
 
@@ -288,6 +294,8 @@ def _samples(df: DataFrame, rules: Sequence[Rule], key: str) -> DataFrame:
 
 
 def _succeeds(rule: Rule, failed: Column, rows: Column) -> Column:
+    if rule.filled:
+        return failed == 0
     share = F.coalesce(failed * 100.0 / F.nullif(rows, F.lit(0)), F.lit(0.0))
     return (failed == 0) | (share <= rule.tolerance_pct)
 

@@ -72,7 +72,7 @@ def _rule_sql(rule: str, column: str, flag: str, severity: str = "hard", limit:
 
 
 @query("geo_rule_results", "with " + _SITES + " union all ".join([
-    _rule_sql("geometry_type", "geom", "false"), _rule_sql("null_or_empty_geometry", "geom", "missing", limit="5"),
+    _rule_sql("not_empty", "*", "false"), _rule_sql("geometry_type", "geom", "false"), _rule_sql("null_or_empty_geometry", "geom", "missing", limit="5"),
     _rule_sql("invalid_geometries", "geom", "false", "soft"), _rule_sql("repair_threshold", "geom", "false"),
     _rule_sql("bbox", "geom", "outside"), _rule_sql("unique_key_present", "site_id", "no_key"), _rule_sql("unique_key_unique", "site_id", "twice"),
     _rule_sql("required_columns", "*", "false"), _rule_sql("required_values", "site_id", "no_key"), _rule_sql("required_values", "site_name", "no_name"),
@@ -83,6 +83,32 @@ def geo_rule_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("rule", "column", "severity", "failed_count", F.col("success").cast("bigint").alias("success"), joined("sample_ids").alias("sample_ids"))
 
 
+@query("empty_layer_report", """
+select 'not_empty' as rule, 'hard' as severity, count(*) as failed_layers, cast(0 as bigint) as passed, cast(1 as bigint) as hard_failures
+from (select count(*) as n from customer where c_custkey < 0) where n = 0""")
+def empty_layer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer without rows fails, and the rule that says so is named."""
+    report, results = layers.validate_layer(sites(spark, sf_dir).filter("false"), LAYER)
+    summary = report.select(F.col("hard_rule_pass").cast("bigint").alias("passed"), "hard_failures")
+    named = results.filter((F.col("severity") == "hard") & ~F.col("success")).groupBy("rule", "severity").agg(F.count("*").alias("failed_layers"))
+    return named.select("rule", "severity", "failed_layers", summary.select("passed").scalar().alias("passed"),
+                        summary.select("hard_failures").scalar().alias("hard_failures"))
+
+
+@query("wkb_layer", """
+select c_custkey, case when c_custkey % 4 < 3 then 'Point' end as kind, case when c_custkey % 4 < 3 then 2.0::double end as x,
+       case when c_custkey % 4 < 3 then 0.5::double end as y from customer""")
+def wkb_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points as bytes built by expression: plain, ISO with height, ISO with height and measure, and bytes that are no shape."""
+    kind = F.col("c_custkey") % 4
+    head = F.when(kind == 0, "0101000000").when(kind == 1, "01E9030000").otherwise("01B90B0000")
+    more = F.repeat(F.lit("0000000000000000"), F.when(kind == 0, 0).when(kind == 1, 1).otherwise(2))
+    # 2.0 and 0.5, least byte first
+    data = F.unhex(F.when(kind == 3, "01FF").otherwise(F.concat(head, F.lit("0000000000000040"), F.lit("000000000000E03F"), more)))
+    g = geo.from_wkb(data)
+    return table(spark, sf_dir, "customer").select("c_custkey", geo.wkb_kind(data).alias("kind"), g["xs"][0][0].alias("x"), g["ys"][0][0].alias("y"))
+
+
 @query("geo_bbox_rules", f"""
 with p as (select c_custkey, (c_custkey * 37 % 1300) / 100.0::double + 115.0::double as lon, (c_custkey * 53 % 2000) / 100.0::double + 3.0::double as lat from customer)
 select c_custkey, lon, lat, cast(lon < {BOX[0]}::double or lon > {BOX[2]}::double or lat < {BOX[1]}::double or lat > {BOX[3]}::double as bigint) as outside,
@@ -156,14 +182,17 @@ def geo_polygon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("geo_from_wkt", """
-select c_custkey, (c_custkey * 37 % 1300) / 100.0::double + 115.0::double as lon, (c_custkey * 53 % 2000) / 100.0::double + 3.0::double as lat from customer where c_custkey % 5 <> 0
+select c_custkey, round((c_custkey * 37 % 1300) / 100.0::double + 115.0::double, 6) as lon, round((c_custkey * 53 % 2000) / 100.0::double + 3.0::double, 6) as lat from customer where c_custkey % 5 <> 0
 union all select c_custkey, null, null from customer where c_custkey % 5 = 0""")
 def geo_from_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points written as text and read back; anything else is no shape."""
     key = F.col("c_custkey")
-    text = F.when(key % 5 == 0, "LINESTRING (0 0, 1 1)").otherwise(F.concat(F.lit("POINT ("), _lon(key), F.lit(" "), _lat(key), F.lit(")")))
+    plain = F.concat_ws(" ", _lon(key), _lat(key))
+    text = F.when(key % 5 == 0, "LINESTRING (0 0, 1 1)").when(key % 5 == 1, F.concat(F.lit("POINT ("), plain, F.lit(")"))).when(
+        key % 5 == 2, F.concat(F.lit("point Z( +"), plain, F.lit(" 1e2)"))).otherwise(
+        F.concat(F.lit("POINT ("), _lon(key) * 10, F.lit("e-1 "), _lat(key), F.lit(")")))
     g = geo.point_from_wkt(text)
-    return table(spark, sf_dir, "customer").select("c_custkey", g["xs"][0][0].alias("lon"), g["ys"][0][0].alias("lat"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.round(g["xs"][0][0], 6).alias("lon"), F.round(g["ys"][0][0], 6).alias("lat"))
 
 
 @query("serving_view", """
@@ -183,8 +212,8 @@ def geo_archive_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer").select("c_custkey", geo.point(_lon(key), _lat(key)).alias("geom"))
-    path = versions.archive_layer(rows, scratch_dir(spark, "archive"), "sites", "run 1+0")
-    return versions.inside_box(archived_layer(spark, path, "sites", "run 1+0"), (118.0, 10.0, 121.0, 14.0)).select("c_custkey")
+    path = versions.archive_layer(rows, scratch_dir(spark, "archive"), "sites", "007")
+    return versions.inside_box(archived_layer(spark, path, "sites", "007"), (118.0, 10.0, 121.0, 14.0)).select("c_custkey")
 
 
 @query("layer_manifest", "with " + _SITES + """

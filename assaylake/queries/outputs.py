@@ -107,15 +107,15 @@ def catalog_dataset_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("staging_append", "with " + inputs.BRONZE + """
 select project_id, strftime(start_date, '%Y-%m-%d') as start_date, cast(budget_allocated_php as varchar) as budget_allocated_php, 'pass' as status, 'orders' as source_id,
-       case when project_title like '%7' then 'b2' else 'b1' end as batch_id from bronze""")
+       case when project_title like '%7' then '2026-01-01' else '007' end as batch_id from bronze""")
 def staging_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two validated batches appended, one of them twice: a retry adds nothing."""
+    """Two validated batches appended, one of them twice: a retry adds nothing, and ids that look like numbers or dates stay text."""
     staged = inputs.staged_projects(spark, sf_dir).filter(F.col("_validation_status") == "pass").drop("_validation_status", "_ingested_at")
     path = os.path.join(scratch_dir(spark, "staging"), "raw")
     second = F.col("project_title").endswith("7")
-    for batch, rows in (("b1", staged.filter(~second)), ("b2", staged.filter(second)), ("b2", staged.filter(second))):
+    for batch, rows in (("007", staged.filter(~second)), ("2026-01-01", staged.filter(second)), ("2026-01-01", staged.filter(second))):
         staging.append_staging(staging.stamped(rows, PROJECT_MONITORING, batch, "orders", "2026-01-01T00:00:00+00:00"), path)
-    return spark.read.parquet(path).select("project_id", "start_date", "budget_allocated_php", F.col("_validation_status").alias("status"),
+    return staging.read_staging(spark, path).select("project_id", "start_date", "budget_allocated_php", F.col("_validation_status").alias("status"),
                                            F.col("_source_id").alias("source_id"), F.col("_batch_id").alias("batch_id"))
 
 
@@ -138,14 +138,17 @@ def layer_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cdc_stream_state", _STATE_SQL)
 def cdc_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same change events as a file stream in several micro batches, folded into a state table."""
+    """The same change events as file streams under two checkpoints, a snapshot between them, folded into one state table."""
     root = scratch_dir(spark, "changes")
-    change_log(spark, sf_dir).filter(F.col("value").isNotNull()).repartition(6).write.text(os.path.join(root, "in"))
+    log = change_log(spark, sf_dir).filter(F.col("value").isNotNull())
     state = changes.StateTable(spark, os.path.join(root, "state"), ["user_id"])
-    events = changes.file_changes(spark, os.path.join(root, "in"), CHANGE_COLUMNS, files_per_batch=2)
-    run = changes.run_state(events, CHANGE_COLUMNS, state, os.path.join(root, "checkpoint"))
-    run.awaitTermination()
-    state.compact()
+    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part, rows in (("first", log.filter(early)), ("second", log.filter(~early))):
+        rows.repartition(4).write.text(os.path.join(root, part))
+        events = changes.file_changes(spark, os.path.join(root, part), CHANGE_COLUMNS, files_per_batch=2)
+        changes.run_state(events, CHANGE_COLUMNS, state, os.path.join(root, f"checkpoint-{part}")).awaitTermination()
+        if part == "first":
+            state.compact()
     return _state_columns(state.current())
 
 

@@ -83,6 +83,12 @@ def append_staging(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_id").parquet(path)
 
 
+def read_staging(spark, path: str) -> DataFrame:
+    """The staging table, all text: a batch named ``007`` or ``2026-01-01`` keeps its name."""
+    names = spark.read.parquet(path).columns
+    return spark.read.schema(", ".join(f"`{n}` string" for n in names)).parquet(path)
+
+
 def create_staging_table(spark, name: str, contract: Contract) -> None:
     """The staging table of a dataset in the session catalog, if it is not there yet."""
     columns = ", ".join(f"`{c}` STRING" for c in [*contract.names, *STAGING_COLUMNS])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from assaylake.functions import geo
 from assaylake.functions.text import checked_name, safe_id_text
 from assaylake.sources.files import latest_complete_batch
+from assaylake.sources.tables import archived_layer
 
 _VERSIONS = "table string, version bigint, batch_id string, columns string, row_count bigint, location string, published_at timestamp"
 
@@ -65,20 +66,21 @@ class VersionedTables:
         """Replace several tables together: all are written and checked before any is published.
 
         The rows that publish them go out in one append, so readers see all or none. Changed
-        columns - names or order - are refused unless ``evolve``.
+        columns - names, order or types - are refused unless ``evolve``.
         """
+        kinds = {t: ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema) for t, df in frames.items()}
         current = {t: self.current(t) for t in frames}
         for table, df in frames.items():
             old = current[table]
-            if old is not None and not evolve and old["columns"] != ",".join(df.columns):
-                raise LoadRefused(f"the columns of {table} changed from {old['columns']} to {','.join(df.columns)}")
+            if old is not None and not evolve and old["columns"] != kinds[table]:
+                raise LoadRefused(f"the columns of {table} changed from {old['columns']} to {kinds[table]}")
         rows, done = [], {}
         for table, df in frames.items():
             version = (current[table]["version"] if current[table] else 0) + 1
             location = os.path.join(self._root, table, f"v{version}-{uuid.uuid4().hex}")
             df.write.mode("error").parquet(location)
             count = self._spark.read.parquet(location).count()
-            rows.append((table, version, batch_id, ",".join(df.columns), count, location))
+            rows.append((table, version, batch_id, kinds[table], count, location))
             done[table] = {"table": table, "version": version, "rows": count, "batch_id": batch_id}
         entries = self._spark.createDataFrame(
             rows, "table string, version bigint, batch_id string, columns string, row_count bigint, location string")
@@ -156,7 +158,6 @@ def rebuild_layer(tables: VersionedTables, spark: SparkSession, root: str, layer
     batch = newest["batch"]
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(os.path.join(root, name)).filter(
-            (F.col("layer") == layer) & (F.col("batch") == batch)).drop("layer", "batch")
+        return archived_layer(spark, os.path.join(root, name), layer, batch)
 
     return load_layer(tables, read("layer").drop("bbox"), read("vault"), layer, batch)

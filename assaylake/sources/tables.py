@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake.functions import geo
 from assaylake.functions.text import safe_id_text
@@ -41,10 +42,17 @@ def inline_dimension(spark: SparkSession, rows: Sequence[tuple], schema: str) ->
 
 def archived_layer(spark: SparkSession, root: str, layer: str, batch_id: str) -> DataFrame:
     """One archived batch of a layer. Both filters prune partitions."""
-    return spark.read.parquet(root).filter(
+    return archive_rows(spark, root).filter(
         (F.col("layer") == layer) & (F.col("batch") == safe_id_text(batch_id))).drop("layer", "batch")
 
 
+def archive_rows(spark: SparkSession, root: str) -> DataFrame:
+    """All archived rows; layer and batch are read as the text they were written as."""
+    found = spark.read.parquet(root).schema
+    declared = T.StructType([T.StructField(f.name, T.StringType() if f.name in ("layer", "batch") else f.dataType) for f in found])
+    return spark.read.schema(declared).parquet(root)
+
+
 def as_of(df: DataFrame, stamp: str, at) -> DataFrame:
     """Snapshot rows as they stood at a moment: the newest snapshot not after it.
 

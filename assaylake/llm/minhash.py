@@ -8,20 +8,20 @@
   the ``m`` keys left to either, so only that prefix is posted and the frequent keys are skipped; the rest
   of the collisions are counted by comparing the two signatures.
 * Pairs above the match threshold are confirmed on full sets, with integer arithmetic.
-* A posting list is not paired in full. First each member meets the list's pivot, its most central member;
-  links found join groups. Then only members in different groups are paired, and only if shingles that occur
-  elsewhere could make the pair similar enough; that bound is exact.
+* A posting list is not paired in full. Each member meets the list's pivot, its most central member, and links found
+  join groups. Members of a list that are still in different groups, and that hold enough shingles which occur
+  elsewhere, are then compared inside tasks, large lists in blocks; only pairs that may be linked become rows.
 
-With the defaults a pair of similarity 0.85 falls under the match threshold with a chance of about 2e-8; all
-else is exact. The result does not depend on the partitioning. Repeated document ids are not expected; rows
-with equal ids count as one class only if their texts agree.
+With the defaults a pair of similarity 0.85 falls under the match threshold with a chance of about 4e-8; all
+else is exact. The result does not depend on the partitioning. Equal rows are fine; ids shared by different texts
+put those into one group.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.llm.anchors import Hasher, Powers, mixed
@@ -31,6 +31,8 @@ from assaylake.llm.words import chunks, text_bytes, word_hashes, words_of
 WIDTH = 3
 COORDINATES = 40
 MATCHES = 20
+BLOCK = 2000  # members of a list that meet in one task
+TASK_ROWS = 4_000
 
 
 def shingle_sets(column, width: int, powers: Powers):
@@ -106,16 +108,16 @@ def _sets(texts: DataFrame, width: int, spare: list[str]) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose full sets are similar enough.
+    """(u, v, linked): pairs compared on full sets, in whole numbers.
 
-    ``u``'s text travels to ``v``; a hub ``v`` is split by adaptive execution since either side may be.
+    A document in many pairs is split by adaptive execution, as either side of the joins may be.
     """
     sets = _sets(texts, width, ["doc_id"])
     both = (pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("left")), "u")
             .join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("right")), "v"))
     shared = F.size(F.array_intersect("left", "right"))
     both = both.select("u", "v", shared.alias("shared"), (F.size("left") + F.size("right")).alias("sizes"))
-    return both.where(F.col("shared") * 100 >= percent * (F.col("sizes") - F.col("shared"))).select("u", "v")
+    return both.select("u", "v", (F.col("shared") * 100 >= percent * (F.col("sizes") - F.col("shared"))).alias("linked"))
 
 
 def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = 85,
@@ -164,37 +166,111 @@ def _class_groups(spark: SparkSession, docs: DataFrame, signed: DataFrame, class
         equal = F.aggregate(F.zip_with("left", "right", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
         return both.where(equal >= matches).select("u", "v")
 
+    def grouped(linked):
+        found = components(spark, linked.select(F.col("u").alias("a"), F.col("v").alias("b")))
+        return stored(found.select(F.col("id").alias("u"), "component"), "groups")
+
     # every list's members against its most central one
-    pivot = lists.groupBy("key").agg(F.max(F.struct("m", F.negative("u").alias("minus"))).alias("top"))
-    pairs = (lists.join(pivot, "key").where(F.col("u") != -F.col("top.minus"))
-             .select("u", (-F.col("top.minus")).alias("v")).distinct())
-    tried = stored(collide(pairs), "pivot-pairs")
-    links = stored(_confirmed(tried, texts, width, percent), "pivot-links")
-    groups = components(spark, links.select(F.col("u").alias("a"), F.col("v").alias("b")))
-    groups = stored(groups.select(F.col("id").alias("u"), "component"), "pivot-groups")
+    top = lists.groupBy("key").agg(F.max(F.struct("m", F.negative("u").alias("minus"))).alias("top"))
+    pairs = lists.join(top, "key").select("u", (-F.col("top.minus")).alias("v")).where("u <> v").distinct()
+    tried = stored(_confirmed(collide(pairs), texts, width, percent), "pivot-pairs")
+    links = tried.where("linked").select("u", "v")
+    groups = grouped(links)
 
     # what is left: members of one list in different groups
-    held = lists.join(groups, "u", "left").select(
-        "key", "u", "n_shingles", F.coalesce("component", "u").alias("component"))
-    open_keys = (held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                 .where("low <> high").select("key"))
-    held = stored(held.join(open_keys, "key", "left_semi"), "open-lists")
-    # shingles that no other document of an open list holds cannot be shared
-    open_texts = texts.join(held.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    spread = _sets(open_texts, width, ["doc_id"]).select(F.col("doc_id").alias("u"), F.explode("shingles").alias("shingle"))
+    held = lists.join(groups, "u", "left").select("key", "u", "n_shingles", F.coalesce("component", "u").alias("component"))
+    held = stored(_open(held), "open-lists")
+    # shingles that no other such document holds cannot be shared
+    sets = stored(_sets(texts.join(held.select(F.col("u").alias("doc_id")).distinct(), "doc_id", "left_semi"), width, ["doc_id"])
+                  .withColumnRenamed("doc_id", "u"), "open-sets")
+    spread = sets.select("u", F.explode("shingles").alias("shingle"))
     shared = spread.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     most = spread.join(shared, "shingle", "left_semi").groupBy("u").agg(F.count("*").alias("most"))
-    most = most.join(held.select("u", "n_shingles").distinct(), "u").where(
-        F.col("most") * 100 >= percent * F.col("n_shingles")).select("u", "most")
-    able = stored(held.join(most, "u"), "able")
-    left = able.select("key", "u", "component", F.col("most").alias("mu"), F.col("n_shingles").alias("nu"))
-    right = able.select("key", F.col("u").alias("v"), F.col("component").alias("other"), F.col("most").alias("mv"),
-                        F.col("n_shingles").alias("nv"))
-    bound = F.least("mu", "mv")
-    rest = (left.join(right, "key").where("u < v and component <> other")
-            .where(bound * 100 >= percent * (F.col("nu") + F.col("nv") - bound)).select("u", "v").distinct()
-            .join(tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti"))
-    more = _confirmed(collide(rest), texts, width, percent)
-    linked = stored(links.unionAll(more), "links")
-    return components(spark, linked.select(F.col("u").alias("a"), F.col("v").alias("b"))).select(
-        F.col("id").alias("u"), "component")
+    able = most.join(sets.select("u", F.size("shingles").alias("n")), "u").where(F.col("most") * 100 >= percent * F.col("n"))
+    held = stored(_open(held.join(able.select("u"), "u", "left_semi")), "able-lists")
+    near = stored(_compared(held, sets, percent), "near-pairs")
+    more = _confirmed(near, texts, width, percent).where("linked").select("u", "v")
+    return grouped(stored(links.unionAll(more), "all-links"))
+
+
+def _open(lists: DataFrame) -> DataFrame:
+    """Those lists whose members are in different groups."""
+    keys = lists.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return lists.join(keys.where("low <> high").select("key"), "key", "left_semi")
+
+
+def _compared(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): pairs of one list in different groups whose sets, by 32-bit shingle hashes, may be similar enough.
+
+    Lists are compared inside tasks, so only such pairs become rows. A list of more than ``BLOCK`` members is cut into
+    blocks that meet two at a time. A pair in several lists is looked at in the one with the smallest key.
+    """
+    sizes = lists.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    keys = lists.groupBy("u").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    small = sets.select("u", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("shingles")).join(keys, "u")
+    block = F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int")
+    rows = lists.join(sizes, "key").select("key", "u", "component", block.alias("block"), F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    rows = rows.select("key", "u", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    tasks = max(1, -(-rows.count() // TASK_ROWS))
+    rows = rows.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)).cast("int")).join(small, "u")
+
+    def run(table: pa.Table) -> pa.Table:
+        order = table.select(["key", "i", "j"]).to_pandas().sort_values(["key", "i", "j"], kind="stable")
+        cut = np.flatnonzero((order.diff() != 0).any(axis=1).to_numpy())
+        index = order.index.to_numpy()
+        ids, groups = (np.asarray(table.column(c)) for c in ("u", "component"))
+        blocks = np.asarray(table.column("block"))
+        shingles, own_keys = table.column("shingles").combine_chunks(), table.column("keys").combine_chunks()
+        out = [[], []]
+        for begin, end in zip(cut, np.append(cut[1:], len(index))):
+            at = index[begin:end]
+            key = int(order["key"].iloc[begin])
+            cross = int(order["i"].iloc[begin]) != int(order["j"].iloc[begin])
+            members = [np.asarray(shingles[int(k)].values) for k in at]
+            before = [np.asarray(own_keys[int(k)].values) for k in at]
+            before = [k[:np.searchsorted(k, key)] for k in before]
+            for x, y in pairs_in_list(members, before, ids[at], groups[at], blocks[at] if cross else None, percent):
+                out[0].append(ids[at[x]])
+                out[1].append(ids[at[y]])
+        return pa.table([pa.array(c, pa.int64()) for c in out], ["u", "v"])
+
+    return rows.groupBy("task").applyInArrow(run, "u long, v long")
+
+
+def _postings(lists: list[np.ndarray]):
+    """Where each value occurs: a function from a value list to counts for each list."""
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+
+    def counts(values: np.ndarray) -> np.ndarray:
+        first, last = np.searchsorted(flat, values, "left"), np.searchsorted(flat, values, "right")
+        size = last - first
+        at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return np.bincount(owner[at], minlength=len(lists))
+
+    return counts
+
+
+def pairs_in_list(members, before, ids, groups, blocks, percent: int):
+    """Pairs of members in different groups that may be similar enough and share no earlier list."""
+    size = np.array([len(m) for m in members])
+    overlap, earlier = _postings(members), _postings(before)
+    for x in range(len(members) - 1):
+        other = np.zeros(len(members), bool)
+        other[x + 1:] = True
+        other &= (groups != groups[x]) & (ids != ids[x])
+        if blocks is not None:
+            other &= blocks != blocks[x]
+        other &= np.minimum(size, size[x]) * 100 >= percent * np.maximum(size, size[x]) - 200
+        if not other.any():
+            continue
+        other &= earlier(before[x]) == 0
+        if not other.any():
+            continue
+        shared = overlap(members[x])
+        # hashes of 32 bits may merge shingles; two to spare
+        for y in np.flatnonzero(other & ((shared + 2) * 100 >= percent * (size + size[x] - shared - 2))):
+            yield x, int(y)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from assaylake.llm.anchors import Hasher, Powers, equal_runs, segments
 from assaylake.llm.shared import stored
-from assaylake.llm.words import chunks, text_bytes, word_hashes, words_of
+from assaylake.llm.words import chunks, slices, text_bytes, word_hashes, words_of
 
 # executors run these helpers without this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,7 +74,7 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
 def _cut(needed: DataFrame, window: int, hot: int) -> DataFrame:
     """The words of the distinct segments that must be searched: (shard_key, anchor, content, base, owner, words)."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = [[] for _ in range(6)]
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = text.encode("utf-8")
@@ -249,7 +249,7 @@ def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 texts = []
                 for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
                     if text and spans:
@@ -271,7 +271,7 @@ def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
         return joined.mapInArrow(run, kinds)
 
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = [[], [], []]
             for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
                 parts = (text or "").encode("utf-8").split()

@@ -28,6 +28,7 @@ def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataF
     """
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                    .where("a <> b").distinct(), "links")
+    seen = _digest(edges)
     for _ in range(rounds):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
@@ -38,13 +39,12 @@ def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataF
         small = (small.select(F.col("b").alias("a"), F.col("low").alias("b"))
                  .unionAll(low.select("a", F.col("low").alias("b"))))
         after = stored(small.where("a <> b").distinct(), "small-star")
-        if not _changed(edges, after):
+        before, seen = seen, _digest(after)
+        if before == seen:
             return after.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component")
         edges = after
     raise RuntimeError(f"links have not settled after {rounds} rounds")
 
 
-def _changed(before: DataFrame, after: DataFrame) -> bool:
-    def digest(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return digest(before) != digest(after)
+def _digest(links: DataFrame):
+    return links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

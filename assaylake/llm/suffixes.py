@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from assaylake.llm.anchors import Hasher, Powers, equal_runs, segments
 from assaylake.llm.shared import stored
 from assaylake.llm.sortmerge import MARK, adjacent
-from assaylake.llm.words import byte_symbols, chunks, text_bytes
+from assaylake.llm.words import byte_symbols, chunks, slices, text_bytes
 
 # executors run these helpers without this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -72,7 +72,7 @@ def _cut(needed: DataFrame) -> DataFrame:
     def run(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
         names = ["id", "anchor", "content", "n", "off", "whole", "bytes"]
-        for batch in batches:
+        for batch in slices(batches):
             out = [[] for _ in names]
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = text.encode("utf-8")
@@ -89,7 +89,7 @@ def _cut(needed: DataFrame) -> DataFrame:
 def _strings(cut: DataFrame, leftwards: bool) -> DataFrame:
     """(id, string): to the right from the anchor, mark, leftwards from it - or the other way round behind the anchor's hash."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2000):
             strings = []
             for anchor, off, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 right, left = data[off:], data[:off][::-1]
@@ -118,7 +118,7 @@ def _settled(variants: DataFrame, window: int) -> DataFrame:
     def run(batches):
         names = ["id", "anchor", "content", "low", "high", "sure", "open"]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pair), pa.list_(pair))
-        for batch in batches:
+        for batch in slices(batches, 2000):
             out = [[] for _ in names]
             for id_, anchor, content, n, off, whole, shares in zip(*(c.to_pylist() for c in batch.columns)):
                 least, most = off - (n - window), off
@@ -155,7 +155,7 @@ def _settled(variants: DataFrame, window: int) -> DataFrame:
 def _open_windows(cut: DataFrame, window: int) -> DataFrame:
     """(id, string) of single windows; the id holds variant and distance, and ends the string."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2000):
             ids, strings = [], []
             for id_, off, data, low, high in zip(*(c.to_pylist() for c in batch.columns)):
                 for o in range(low, high + 1):
@@ -240,7 +240,7 @@ def repeat_counts(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) ->
     spans = stored(repeated_spans(rows, window=window, gram=gram), "spans")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = [[] for _ in range(4)]
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = text.encode("utf-8")

@@ -54,6 +54,13 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def slices(batches, rows: int = 256):
+    """Smaller batches, for steps that make Python objects of every row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 @dataclass
 class Words:
     """Words of some documents: byte ranges, and the first and one past the last word of each document."""

@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labels outside the fold held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, toxicity.third(F.col("doc_id")) != 1)
-    return toxicity.scored(docs, model).where(F.col("score") < toxicity.THRESHOLD).select(docs.columns)
+    return toxicity.scored(docs, model, "_toxicity_score").where(F.col("_toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = near_duplicates(docs, width=WIDTH, percent=PERCENT, matches=MATCHES).where("kept and doc_id is not null")
     named = docs.where("doc_id is not null").join(kept.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left_semi")
     # equal ids share a partition after the join, so this shuffles nothing
-    named = named.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    named = named.withColumn("_near_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_near_text"]).drop("_near_text")
     return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
@@ -55,15 +55,18 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     key = F.xxhash64("doc_id", "text")  # tells rows apart where ids are null
     found = stored(contaminated(docs.select(key.alias("doc_id"), "text"), benchmark), "contaminated")
-    return docs.withColumn("_key", key).join(found.select(F.col("doc_id").alias("_key")), "_key", "left_anti").select(docs.columns)
+    return docs.withColumn("_leak_key", key).join(found.select(F.col("doc_id").alias("_leak_key")), "_leak_key", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics get their weights, with their ``probability``."""
+    """Documents drawn so that sources, languages and topics get their weights, with their ``probability``.
+
+    A column of that name is replaced.
+    """
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
     weighted = mixing.mixed(docs, dimensions, mixing.tokens_of(F.col("text")), mixing.POWERS, share=mixing.SHARE)
-    drawn = weighted.where(mixing.spread(F.col("doc_id")) < F.col("_probability"))
-    return drawn.select(*docs.columns, F.round("_probability", 6).alias("probability"))
+    drawn = weighted.where(mixing.spread(F.col("doc_id")) < F.col("_mix_probability"))
+    return drawn.select(*[c for c in docs.columns if c != "probability"], F.round("_mix_probability", 6).alias("probability"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -107,14 +107,14 @@ def silver_equipment(
 
 
 def portfolio_performance(silver: DataFrame, include_flagged: bool = True) -> DataFrame:
-    """Budget and utilization by agency, program, region, quarter and status."""
+    """Budget and utilization by agency, program, region, quarter and status. Silver holds each project once."""
     rows = silver if include_flagged else silver.filter(F.col("quality_flag") == PASS)
     allocated, utilized = F.sum("budget_allocated_php"), F.sum("budget_utilized_php")
     return rows.groupBy(
         "agency", "program_area", "region_code", "region_name", quarter_start(F.col("start_date")).alias("quarter"),
         "status",
     ).agg(
-        F.count_distinct("project_id").alias("project_count"),
+        F.count("project_id").alias("project_count"),
         allocated.alias("total_budget_allocated_php"), utilized.alias("total_budget_utilized_php"),
         percent(utilized, allocated).alias("utilization_rate_pct"),
     )
@@ -131,8 +131,8 @@ def portfolio_detail(silver: DataFrame, passing_only: bool = True) -> DataFrame:
     return rows.groupBy(
         quarter_label(F.col("start_date")).alias("quarter"), "agency", "program_area", "region_code", "status",
     ).agg(
-        F.count_distinct("project_id").alias("project_count"),
-        F.count_distinct(F.when(F.col("quality_flag") != PASS, F.col("project_id"))).alias("quality_issues"),
+        F.count("project_id").alias("project_count"),
+        F.count(F.when(F.col("quality_flag") != PASS, F.col("project_id"))).alias("quality_issues"),
         allocated.alias("total_budget_allocated_php"), utilized.alias("total_budget_utilized_php"),
         percent(utilized, allocated).alias("utilization_rate_pct"),
         F.min("start_date").alias("earliest_start"), F.max("end_date").alias("latest_end"),
@@ -142,7 +142,7 @@ def portfolio_detail(silver: DataFrame, passing_only: bool = True) -> DataFrame:
 def equipment_summary(silver: DataFrame) -> DataFrame:
     """Count, total and average cost by agency, category and condition."""
     return silver.groupBy("agency", "equipment_category", "condition_status").agg(
-        F.count_distinct("equipment_id").alias("equipment_count"),
+        F.count("equipment_id").alias("equipment_count"),
         F.sum("acquisition_cost_php").alias("total_acquisition_cost_php"),
         F.round(F.avg("acquisition_cost_php"), 2).alias("avg_acquisition_cost_php"),
     )

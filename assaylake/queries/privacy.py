@@ -12,6 +12,7 @@ from assaylake.operators import pii
 from assaylake.operators.joins import round_trip_mismatches
 from assaylake.queries import inputs
 from assaylake.queries.registry import day, dbl, query, table
+from assaylake.session import scratch_dir
 
 # Keys of the registered queries only; real runs bring their own.
 _HMAC = b"query hmac key"
@@ -317,6 +318,27 @@ def tabular_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("project_id", day("start_date").alias("start_date"), dbl("budget_allocated_php").alias("budget_allocated_php"), "principal_investigator")
 
 
+def _hidden_projects(spark: SparkSession, sf_dir: str):
+    """Project rows that passed, protected and written the way a run does it."""
+    policy = pii.policy_from({"scan": "declared_only", "columns": {"principal_investigator": {"serving": "pseudonymize"}}})
+    rows = inputs.staged_projects(spark, sf_dir).filter(F.col("_validation_status") == "pass")
+    return pii.protect(rows, policy, "project_id", keys(spark), check_ids=False).stored(scratch_dir(spark, "protected"))
+
+
+@query("tabular_pii_vault", "with " + inputs.BRONZE + """
+select project_id as record_id, 'principal_investigator' as column_name, principal_investigator as value from bronze""")
+def tabular_pii_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run hid, revealed again from its vault."""
+    return pii.revealed(_hidden_projects(spark, sf_dir).vault, keys(spark)).select("record_id", "column_name", "value")
+
+
+@query("tabular_pii_findings", "with " + inputs.BRONZE + """
+select 'principal_investigator' as "column", 'declared' as entity, count(*) as "count", 'pseudonymize' as treatment from bronze""")
+def tabular_pii_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings a run keeps: counts per column, never the text."""
+    return _hidden_projects(spark, sf_dir).findings.select("column", "entity", "count", "treatment")
+
+
 @query("content_digests", "select doc_id, sha256(text) as sha256, substr(sha256(text), 1, 16) as short from documents")
 def content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assaylake.functions.text import content_sha256

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,12 @@ def newest_file(listing: DataFrame) -> DataFrame:
     )
 
 
+def candidates(listing: DataFrame) -> DataFrame:
+    """All files of a listing, the newest first, ties by path; ``rank`` 1 is what ``newest_file`` takes."""
+    newest_first = Window.orderBy(F.desc("modified"), F.desc("path"))  # a listing is one row a file, not data
+    return listing.withColumn("rank", F.row_number().over(newest_first).cast("bigint")).orderBy("rank")
+
+
 def _text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 

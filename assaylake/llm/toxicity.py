@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS = 20
 GRAMS = (4, 5)
 TRAINING_ROWS = 20_000
-FEATURES = 30_000
+FEATURES = 4_000
 THRESHOLD = 0.7
 
 
@@ -122,7 +122,7 @@ def _fit(toxic: np.ndarray, found: np.ndarray, bound: np.ndarray, ratios: np.nda
          ridge: float = 1e-4):
     """Logistic regression on scaled features, by accelerated gradient steps."""
     n = len(toxic)
-    row = np.repeat(np.arange(n), np.diff(bound))
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(bound))
     value = ratios[found]
     squares = np.bincount(row, value * value, n)
     rate = 4.0 / (float(squares.mean()) * 4 + 1.0)
@@ -171,8 +171,8 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, *, rows: int = TRAI
     return Model(buckets, weights, bias)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a last column ``score``: 0 to 1, higher where toxic is likelier."""
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a last column ``name``: 0 to 1, higher where toxic is likelier."""
     names = docs.columns
     at = names.index("text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -184,9 +184,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             for owner, found, first, last in features_of(batch.column(at), powers, slots):
                 score[first:last] += np.bincount(owner, model.weights[found], last - first)
             score = 1 / (1 + np.exp(-np.clip(score, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*names, name])
 
-    return docs.mapInArrow(run, f"{kinds}, score double")
+    return docs.mapInArrow(run, f"{kinds}, `{name}` double")
 
 
 def third(doc_id: Column) -> Column:

@@ -9,13 +9,16 @@
 
 A null is a value of its own in every dimension. Target values that the corpus lacks count for nothing, corpus
 values without a target are not drawn; cells without tokens get probability 0. An empty corpus gives no rows.
-Cells are a table of their own; it is broadcast up to ``BROADCAST_CELLS`` rows and joined by key beyond.
+Up to ``SMALL_CELLS`` cells - a few dozen bytes each, however large the corpus - are fitted as arrays on the driver and broadcast;
+beyond that the same steps run as joins and sums over the table of cells, and documents join it by key.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ from assaylake.llm.shared import stored
 
 ROUNDS = 10
 TOLERANCE = 1e-9
-BROADCAST_CELLS = 100_000
+SMALL_CELLS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -95,29 +98,81 @@ def calibrated(cells: DataFrame, budget: float, steps: int = 200) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(1.0), F.col("gain") * F.lit(factor))).drop("gain")
 
 
+def fitted_small(cells: pd.DataFrame, aims: dict[str, pd.Series], rounds: int = ROUNDS) -> np.ndarray:
+    """The weights of ``fitted`` for cells held as arrays; ``aims``: share by value."""
+    tokens = cells["tokens"].to_numpy(float)
+    weight = tokens / max(tokens.sum(), 1.0)
+    codes, shares = {}, {}
+    for name, aim in aims.items():
+        codes[name], values = pd.factorize(cells[name])
+        share = aim.reindex(values).fillna(0.0).to_numpy(float)
+        share = np.where(np.bincount(codes[name], tokens, len(values)) > 0, share, 0.0)
+        shares[name] = share / (share.sum() or 1.0)
+    for _ in range(rounds):
+        before = weight
+        for name, code in codes.items():
+            held = np.bincount(code, weight, len(shares[name]))
+            weight = weight * np.divide(shares[name], held, out=np.zeros(len(held)), where=held > 0)[code]
+        some = weight > 0
+        if not some.any() or (np.abs(weight - before)[some] / weight[some]).max() < TOLERANCE:
+            break
+    return weight
+
+
+def calibrated_small(tokens: np.ndarray, weight: np.ndarray, budget: float) -> np.ndarray:
+    """The probabilities of ``calibrated`` for arrays."""
+    gain = np.divide(weight, tokens, out=np.zeros(len(weight)), where=tokens > 0)
+    factor = 0.0
+    while True:
+        full = gain * factor >= 1
+        rest = weight[~full].sum()
+        after = max(factor, (budget - tokens[full].sum()) / rest) if rest else factor
+        if after <= factor * (1 + 1e-15):
+            return np.minimum(1.0, gain * factor)
+        factor = after
+
+
+def tempered_small(cells: pd.DataFrame, dimension: str, power: float) -> pd.Series:
+    sums = cells.groupby(dimension)["tokens"].sum()
+    return sums[sums > 0].astype(float) ** power
+
+
 def tokens_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def mixed(docs: DataFrame, dimensions: dict[str, Column], tokens: Column, powers: dict[str, float], *,
           share: float, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` with ``_tokens`` and ``_probability``; draw those with ``spread(doc_id) < _probability``.
+    """``docs`` with ``_mix_tokens`` and ``_mix_probability``; draw those with ``spread(doc_id) < _mix_probability``.
 
     ``dimensions`` are expressions on ``docs``, ``share`` is the part of all tokens to expect. A dimension without
     a table in ``targets`` (value, share) is tempered by its power.
     """
     names = list(dimensions)
-    keyed = docs.select("*", tokens.alias("_tokens"), *[key(c).alias(f"_{n}") for n, c in dimensions.items()])
-    cells = keyed.groupBy(*[F.col(f"_{n}").alias(n) for n in names]).agg(F.sum("_tokens").alias("tokens"))
+    keyed = docs.select("*", tokens.alias("_mix_tokens"), *[key(c).alias(f"_mix_{n}") for n, c in dimensions.items()])
+    cells = keyed.groupBy(*[F.col(f"_mix_{n}").alias(n) for n in names]).agg(F.sum("_mix_tokens").alias("tokens"))
     cells = stored(cells, "cells")
-    aims = {n: targets[n].select(key("value").alias("value"), "share") if targets and n in targets
-            else tempered(cells, n, powers[n]) for n in names}
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    done = stored(calibrated(fitted(cells, aims, rounds), share * total), "probabilities")
-    chances = done.select(*[F.col(n).alias(f"_{n}") for n in names], F.col("probability").alias("_probability"))
-    if done.count() <= BROADCAST_CELLS:  # a few dozen bytes each; beyond that, a join by key
-        chances = F.broadcast(chances)
-    return keyed.join(chances, [f"_{n}" for n in names]).drop(*[f"_{n}" for n in names])
+    given = {n: targets[n].select(key("value").alias("value"), "share") for n in names if targets and n in targets}
+    if cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS:
+        here = cells.toPandas()
+        aims = {}
+        for n in names:
+            if n in given:
+                have = given[n].join(cells.select(F.col(n).alias("value")).distinct(), "value", "left_semi")
+                aims[n] = have.toPandas().groupby("value")["share"].sum()
+            else:
+                aims[n] = tempered_small(here, n, powers[n])
+        amounts = here["tokens"].to_numpy(float)
+        here["_mix_probability"] = calibrated_small(amounts, fitted_small(here, aims, rounds), share * amounts.sum())
+        rows = [tuple(map(str, r[:-1])) + (float(r[-1]),) for r in here[[*names, "_mix_probability"]].itertuples(index=False)]
+        chances = F.broadcast(docs.sparkSession.createDataFrame(
+            rows, ", ".join(f"`_mix_{n}` string" for n in names) + ", _mix_probability double"))
+    else:
+        aims = {n: given[n] if n in given else tempered(cells, n, powers[n]) for n in names}
+        total = cells.agg(F.sum("tokens")).first()[0] or 0
+        done = stored(calibrated(fitted(cells, aims, rounds), share * total), "probabilities")
+        chances = done.select(*[F.col(n).alias(f"_mix_{n}") for n in names], F.col("probability").alias("_mix_probability"))
+    return keyed.join(chances, [f"_mix_{n}" for n in names]).drop(*[f"_mix_{n}" for n in names])
 
 
 # ---- the mix that query and pipeline use
@@ -143,8 +198,8 @@ def sampled_mix(docs: DataFrame, share: float = SHARE) -> DataFrame:
     narrow = stored(docs.select("doc_id", "source", "lang", topic_of(F.col("text")).alias("topic"),
                                 tokens_of(F.col("text")).alias("n_tokens")), "mix")
     out = mixed(narrow, {n: F.col(n) for n in POWERS}, F.col("n_tokens"), POWERS, share=share)
-    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("_probability", 6).alias("probability"),
-                      (spread(F.col("doc_id")) < F.col("_probability")).alias("sampled"))
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("_mix_probability", 6).alias("probability"),
+                      (spread(F.col("doc_id")) < F.col("_mix_probability")).alias("sampled"))
 
 
 def _sql() -> str:

@@ -29,7 +29,7 @@ from assaylake.llm.shared import stored
 # executors run these helpers without this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr"))
+RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SEEDS = ("adult", "ads", "bets", "casino", "pills", "poker", "porn", "spam", "viagra")
 LONGEST_WORD = 20
 

@@ -84,3 +84,10 @@ def test_expressions_on_their_own(spark):
 
     rows = spark.createDataFrame([("x://Q/a",)], "url string").select(host_of(F.col("url")), path_of(F.col("url"))).first()
     assert tuple(rows) == ("q", "/a")
+
+
+def test_the_rule_of_org_ends_with_a_slash(spark):
+    urls = ["http://x.org/fr/", "http://x.org/fr/a", "http://x.org/fr", "http://x.org/free", "http://x.org/fr2/a", "http://b.net/"]
+    got = url_verdicts(pages(spark, list(enumerate(urls)))).collect()
+    assert {r["page_id"]: r["rule"] for r in got} == {0: "org/fr/", 1: "org/fr/", 2: None, 3: None, 4: None, 5: "net/"}
+    assert all((r["score"] is None) == (r["rule"] is not None) for r in got)

@@ -1,11 +1,14 @@
-"""Benchmark decontamination: rare word n-grams as seeds, then Smith-Waterman alignment.
-
-* Words are runs outside ``\\x20\\x09-\\x0D``, A-Z lower-cased. How many documents hold each n-gram of the items is counted over
-  the whole corpus. In every ``stride`` consecutive n-grams of an item the rarest becomes a seed, so an item keeps
-  seeds throughout however often it has leaked; an item shorter than an n-gram is its own seed.
-* Seeds found in a document are grouped by item and diagonal; the stretch around a group with enough seeds is
-  aligned with the item (match 2, other word -1, gap -1). The similarity is the score over that of a perfect copy.
-* A pair of document and item comes back if the similarity reaches ``least``: an exact copy has 1.0.
+"""Benchmark decontamination: word n-grams as seeds, then Smith-Waterman alignment.
+
+* Words are runs outside ``\\x20\\x09-\\x0D``, A-Z lower-cased. Every n-gram of an item is a seed; items of up to
+  ten words have pairs and of up to five single words instead.
+* Around each seed in a document lies a stretch that holds any alignment through it which reaches ``least``: the gaps
+  such an alignment can afford bound it. A stretch that shares too few words with the item cannot reach ``least`` and is
+  left out; overlapping ones are joined and aligned with the item (match 2, other word -1, gap -1). The similarity is
+  the score over that of a perfect copy.
+* A pair of document and item comes back if the similarity reaches ``least``: an exact copy has 1.0. At 0.6
+  every accepted copy of up to ten words holds a seed, and so does a longer one edited by substitutions alone; a longer
+  one with gaps is missed where it keeps no n-gram whole.
 
 Items are taken in slices of at most ``slice_grams`` n-grams: what travels to the tasks has that bound, and a larger
 benchmark takes more passes over the documents. Documents are read whole and never shuffled. Null and empty texts match
@@ -15,6 +18,7 @@ nothing; equal rows give equal results, once each; items with equal texts are bo
 from __future__ import annotations
 
 import sys
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +33,7 @@ from assaylake.llm.words import chunks, text_bytes, word_hashes, words_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GRAM = 3
-STRIDE = 4
 LEAST = 0.6
-LEAST_SEEDS = 2
 SLICE_GRAMS = 1 << 20
 _FILTER_BITS = 22
 
@@ -67,8 +69,13 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
+def seed_size(count: int, gram: int) -> int:
+    """Words of a seed of an item of ``count`` words: few enough that substitutions up to the least similarity leave one whole."""
+    return min(gram, 1 if count <= 5 else 2 if count <= 10 else gram)
+
+
 def _grams(words: np.ndarray, size: int, powers: Powers) -> np.ndarray:
-    return Hasher(words, powers).grams(min(size, len(words))) if len(words) else np.zeros(0, np.uint64)
+    return Hasher(words, powers).grams(seed_size(len(words), size)) if len(words) else np.zeros(0, np.uint64)
 
 
 def _document_grams(column, sizes: list[int], powers: Powers):
@@ -89,25 +96,6 @@ def _inside(at: np.ndarray, size: int, words) -> tuple[np.ndarray, np.ndarray]:
     return owner, at + size <= words.last[np.minimum(owner, len(words.last) - 1)]
 
 
-def _holders(docs: DataFrame, lookup: Lookup, sizes: list[int]) -> DataFrame:
-    """(number, n): in how many documents each known n-gram occurs."""
-    def run(batches):
-        powers = Powers()
-        counts = np.zeros(len(lookup.known), np.int64)
-        for batch in batches:
-            for _, words, _, grams in _document_grams(batch.column(0), sizes, powers):
-                pairs = []
-                for size, hashes in grams:
-                    at, number = lookup(hashes)
-                    owner, whole = _inside(at, size, words)
-                    pairs.append((owner[whole] << 32) | number[whole])
-                counts += np.bincount(np.unique(np.concatenate(pairs)) & 0xFFFFFFFF, minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["number", "n"])
-
-    return docs.select("text").mapInArrow(run, "number long, n long").groupBy("number").agg(F.sum("n").alias("n"))
-
-
 def aligned(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment: score, and the first and one past the last word of the passage in it."""
     step = np.arange(len(item) + 1)
@@ -135,8 +123,8 @@ def aligned(passage: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, gram: int = GRAM, stride: int = STRIDE,
-                 least: float = LEAST, slice_grams: int = SLICE_GRAMS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, gram: int = GRAM, least: float = LEAST,
+                 slice_grams: int = SLICE_GRAMS) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, last_word): documents with a copy of an item, and where it is."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -148,35 +136,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, gram: int = GRAM, str
         held.append((row["item_id"], row["text"]))
         size += len(row["text"])
         if size >= slice_grams:
-            found = found.unionAll(_slice(docs, held, gram, stride, least, schema))
+            found = found.unionAll(_slice(docs, held, gram, least, schema))
             held, size = [], 0
-    return found.unionAll(_slice(docs, held, gram, stride, least, schema)) if held else found
+    return found.unionAll(_slice(docs, held, gram, least, schema)) if held else found
 
 
-def _slice(docs: DataFrame, items: list[tuple[int, str]], gram: int, stride: int, least: float, schema: str) -> DataFrame:
+def _slice(docs: DataFrame, items: list[tuple[int, str]], gram: int, least: float, schema: str) -> DataFrame:
     powers = Powers()
     words = item_words([text for _, text in items])
     grams = [_grams(w, gram, powers) for w in words]
-    sizes = sorted({min(gram, len(w)) for w in words if len(w)})
-    known = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
-    if not len(known):
+    sizes = sorted({seed_size(len(w), gram) for w in words if len(w)})
+    if not sizes:
         return docs.sparkSession.createDataFrame([], schema)
-    often = np.zeros(len(known), np.int64)
-    for row in _holders(docs, Lookup(known), sizes).collect():  # no more rows than the slice has n-grams
-        often[row["number"]] = row["n"]
     seeds: dict[int, list[tuple[int, int]]] = {}
     for k, own in enumerate(grams):
-        number = np.searchsorted(known, own)
-        for first in range(0, len(own), stride):
-            at = first + int(np.argmin(often[number[first:first + stride]]))
-            seeds.setdefault(int(own[at]), []).append((k, at))
-    return docs.mapInArrow(_finder(items, words, seeds, sizes, stride, least), schema)
+        for at, gram_hash in enumerate(own.tolist()):
+            seeds.setdefault(gram_hash, []).append((k, at))
+    return docs.mapInArrow(_finder(items, words, seeds, gram, least), schema)
 
 
-def _finder(items, words, seeds, sizes, stride, least):
+def _finder(items, words, seeds, gram, least):
     lookup = Lookup(np.array(sorted(seeds), np.uint64))
     places = [seeds[int(h)] for h in lookup.known]
-    wanted = [min(LEAST_SEEDS, max(1, -(-(len(w) - min(sizes[-1], len(w)) + 1) // stride))) for w in words]
+    taken = [seed_size(len(w), gram) for w in words]
+    sizes = sorted({size for size, w in zip(taken, words) if len(w)})
 
     def run(batches):
         powers = Powers()
@@ -187,10 +170,9 @@ def _finder(items, words, seeds, sizes, stride, least):
                 for size, gram_hashes in grams:
                     at, number = lookup(gram_hashes)
                     owner, whole = _inside(at, size, own)
-                    hits += [(int(o), k, int(a) - int(p), int(n)) for o, a, n in zip(owner[whole], at[whole], number[whole])
-                             for k, p in places[n] if min(sizes[-1], len(words[k])) == size]
-                hits.sort()
-                for row, item, score, begin, end in _groups(hits, own, hashes, words, wanted, least):
+                    hits += [(int(o), k, int(a) - p) for o, a, n in zip(owner[whole], at[whole], number[whole])
+                             for k, p in places[n] if taken[k] == size]
+                for row, item, score, begin, end in _groups(sorted(set(hits)), own, hashes, words, least):
                     out.append((batch.column(0)[first + row].as_py(), items[item][0], score, begin, end))
             columns = list(zip(*out)) if out else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
@@ -200,24 +182,34 @@ def _finder(items, words, seeds, sizes, stride, least):
     return run
 
 
-def _groups(hits, own, hashes, words, wanted, least):
-    """Alignments of groups of seeds on nearby diagonals; the best one of each document and item."""
+def _shared(stretch: np.ndarray, known: np.ndarray, counts: np.ndarray) -> int:
+    """How many words of an item (distinct ones, and how often it has each) a stretch can match at most."""
+    at = np.minimum(np.searchsorted(known, stretch), len(known) - 1)
+    return int(np.minimum(np.bincount(at[known[at] == stretch], minlength=len(known)), counts).sum())
+
+
+def _groups(hits, own, hashes, words, least):
+    """Alignments of the stretches around seeds (row, item, diagonal), in order; the best one of each document and item."""
     best: dict[tuple[int, int], tuple] = {}
-    begin = 0
-    while begin < len(hits):
-        row, item, diagonal, _ = hits[begin]
-        slack = max(4, len(words[item]) // 4)
-        end = begin + 1
-        while end < len(hits) and hits[end][:2] == (row, item) and hits[end][2] - hits[end - 1][2] <= slack:
-            end += 1
-        if len({h[3] for h in hits[begin:end]}) >= wanted[item]:
-            base = int(own.first[row])
-            low = max(base, diagonal - slack)
-            high = min(int(own.last[row]), hits[end - 1][2] + len(words[item]) + slack)
+    for (row, item), diagonals in groupby(hits, key=lambda h: h[:2]):
+        size = len(words[item])
+        known, counts = np.unique(words[item], return_counts=True)
+        enough = least * size - 1e-9
+        # gaps cost one each, and a perfect copy has no more than this to lose
+        slack = int(2 * size * (1 - least)) + 1
+        stretches: list[list[int]] = []
+        for _, _, diagonal in diagonals:
+            low, high = max(int(own.first[row]), diagonal - slack), min(int(own.last[row]), diagonal + size + slack)
+            if _shared(hashes[low:high], known, counts) < enough:
+                continue
+            if stretches and low <= stretches[-1][1]:
+                stretches[-1][1] = high
+            else:
+                stretches.append([low, high])
+        for low, high in stretches:
             score, a, b = aligned(hashes[low:high], words[item])
-            similarity = score / (2 * len(words[item]))
+            similarity = score / (2 * size)
             if similarity >= least and similarity > best.get((row, item), (0.0,))[0]:
-                best[row, item] = (similarity, low - base + a, low - base + b)
-        begin = end
+                best[row, item] = (similarity, low + a - int(own.first[row]), low + b - int(own.first[row]))
     for (row, item), (similarity, a, b) in best.items():
         yield row, item, similarity, a, b

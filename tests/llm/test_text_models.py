@@ -141,3 +141,31 @@ def test_decontamination_awkward_rows(spark):
     assert contaminated(no_docs(spark), benchmark).count() == 0
     assert contaminated(edge_docs(spark), benchmark.limit(0)).count() == 0
     assert contaminated(edge_docs(spark), benchmark.where(F.col("text") == "")).count() == 0
+
+
+def test_edited_copies_with_one_seed_left(spark):
+    rng = random.Random(10)
+    items = {k: [f"i{k}w{j}" for j in range(n)] for k, n in enumerate([7, 8, 10, 15, 15, 20, 20, 38])}
+    items[8] = ["again"] * 9  # one 3-gram over and over
+    texts, want = {}, set()
+    for i in range(180):
+        k = i % 9
+        copy = list(items[k])
+        for at in rng.sample(range(len(copy)), max(1, len(copy) // 5) if k < 8 else 0):
+            copy[at] = f"edited{i}x{at}"
+        if i >= 90:  # and words between
+            copy.insert(rng.randint(1, len(copy) - 1), f"between{i}")
+        texts[i] = " ".join([f"before{i}x{j}" for j in range(5)] + copy + [f"after{i}x{j}" for j in range(5)])
+        words = dict(enumerate(item_words([texts[i], " ".join(items[k])])))
+        if plain_alignment(words[0], words[1]) >= 0.6 * 2 * len(items[k]):
+            want.add((i, k))
+    benchmark = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(docs(spark, texts), benchmark).collect()}
+    assert len(want) > 150 and want == got
+
+
+def test_a_short_item_with_one_word_changed(spark):
+    item = [f"w{j}" for j in range(8)]
+    edited = " ".join([item[0], "other", *item[2:]])
+    got = contaminated(docs(spark, {1: edited, 2: " ".join(item)}), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert {(r["doc_id"], r["similarity"]) for r in got.collect()} == {(1, 13 / 16), (2, 1.0)}

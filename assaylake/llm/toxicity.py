@@ -6,7 +6,8 @@
   logistic regression is fitted on the scaled features.
 * Training rows: labelled, chosen by the caller's condition, at most ``rows`` of them (those with the smallest
   hash of ``doc_id``); the ``features`` n-grams that tell the classes apart best make up the model. Both bounds
-  are parameters, so sample and model have a fixed size at any corpus size and may pass through the driver.
+  are parameters, so sample and model have a fixed size at any corpus size and may pass through the driver. It holds
+  the features of the training rows as numbers of two bytes (four beyond 65,536 features) and unfolds some rows at a time.
 * Null texts count as empty; an empty text gets the score of a text without any known feature. Without rows of
   both classes every score is the share of toxic rows (0 without rows). Unlabelled and null labels train nothing.
 """
@@ -32,7 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BITS = 20
 GRAMS = (4, 5)
 TRAINING_ROWS = 20_000
-FEATURES = 4_000
+FEATURES = 30_000
+FIT_PAIRS = 1 << 20  # (row, feature) pairs unfolded at a time while fitting
 THRESHOLD = 0.7
 
 
@@ -104,35 +106,57 @@ def _class_counts(training: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _rows(training: DataFrame, slots: np.ndarray) -> DataFrame:
-    """(toxic, found): the features of each training row."""
+def _narrow(features: int) -> type:
+    return np.uint16 if features <= 1 << 16 else np.uint32
+
+
+def _rows(training: DataFrame, slots: np.ndarray, kind: type) -> DataFrame:
+    """(toxic, found): the features of each training row, as the bytes of numbers of type ``kind``."""
     def run(batches):
         powers = Powers()
         for batch in batches:
             for owner, found, first, last in features_of(batch.column(1), powers, slots):
-                bound = np.searchsorted(owner, np.arange(last - first + 1)).astype(np.int32)
+                bound = np.searchsorted(owner, np.arange(last - first + 1))
+                found = found.astype(kind)
+                lists = [found[a:b].tobytes() for a, b in zip(bound[:-1], bound[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.ListArray.from_arrays(bound, found.astype(np.int32))],
-                    ["toxic", "found"])
+                    [batch.column(0).slice(first, last - first), pa.array(lists, pa.binary())], ["toxic", "found"])
+
+    return training.select("toxic", "text").mapInArrow(run, "toxic int, found binary")
+
 
-    return training.select("toxic", "text").mapInArrow(run, "toxic int, found array<int>")
+def _turns(bound: np.ndarray, pairs: int):
+    """Ranges of rows with about ``pairs`` features each; a row stays whole."""
+    first = 0
+    while first < len(bound) - 1:
+        last = max(first + 1, int(np.searchsorted(bound, bound[first] + pairs, "right")) - 1)
+        yield first, last
+        first = last
 
 
 def _fit(toxic: np.ndarray, found: np.ndarray, bound: np.ndarray, ratios: np.ndarray, steps: int = 150,
-         ridge: float = 1e-4):
-    """Logistic regression on scaled features, by accelerated gradient steps."""
+         ridge: float = 1e-4, pairs: int = FIT_PAIRS):
+    """Logistic regression on scaled features, by accelerated gradient steps; row ``i`` has ``found[bound[i]:bound[i + 1]]``."""
     n = len(toxic)
-    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(bound))
-    value = ratios[found]
-    squares = np.bincount(row, value * value, n)
-    rate = 4.0 / (float(squares.mean()) * 4 + 1.0)
+    turns = list(_turns(bound, pairs))
+    counts = np.diff(bound)
+    squares = sum(float(np.square(ratios[found[bound[a]:bound[b]]]).sum()) for a, b in turns) / n
+    rate = 4.0 / (squares * 4 + 1.0)
     weights, bias = np.zeros(len(ratios)), float(np.log(toxic.mean() / (1 - toxic.mean())))
     ahead, ahead_bias = weights, bias
     for step in range(steps):
-        margin = np.bincount(row, value * ahead[found], n) + ahead_bias
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) / n
-        slope = np.bincount(found, value * error[row], len(ratios)) + ridge * ahead
-        after, after_bias = ahead - rate * slope, ahead_bias - rate * float(error.sum())
+        scaled, pulls, total = ratios * ahead, np.zeros(len(ratios)), 0.0
+        for a, b in turns:
+            own = found[bound[a]:bound[b]]
+            margin = np.full(b - a, ahead_bias)
+            some = np.flatnonzero(counts[a:b])
+            if len(some):
+                margin[some] += np.add.reduceat(scaled[own], bound[a:b][some] - bound[a])
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[a:b]) / n
+            pulls += np.bincount(own, np.repeat(error, counts[a:b]), len(ratios))
+            total += float(error.sum())
+        slope = ratios * pulls + ridge * ahead
+        after, after_bias = ahead - rate * slope, ahead_bias - rate * total
         pull = step / (step + 3)
         ahead, ahead_bias = after + pull * (after - weights), after_bias + pull * (after_bias - bias)
         weights, bias = after, after_bias
@@ -162,12 +186,12 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, *, rows: int = TRAI
     best = counts.select("bucket", ratio.alias("ratio"), gap.alias("gap")).orderBy(F.desc("gap"), "bucket").limit(features)
     best = best.toPandas().sort_values("bucket")
     buckets, ratios = best["bucket"].to_numpy(np.int64), best["ratio"].to_numpy()
-    table = _rows(training, Model(buckets, ratios, 0.0).table()).toArrow()
-    lists = table.column("found").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0)
-    bound = np.asarray(lists.offsets).astype(np.int64)
-    weights, bias = _fit(np.asarray(table.column("toxic")).astype(float), np.asarray(lists.flatten()), bound - bound[0], ratios)
+    kind = _narrow(len(buckets))
+    table = _rows(training, Model(buckets, ratios, 0.0).table(), kind).toArrow()
+    lists = table.column("found").chunks
+    found = np.concatenate([np.frombuffer(b"".join(x.to_pylist()), kind) for x in lists])
+    bound = np.cumsum([0, *(len(v) // kind().itemsize for x in lists for v in x.to_pylist())])
+    weights, bias = _fit(np.asarray(table.column("toxic")).astype(float), found, bound, ratios)
     return Model(buckets, weights, bias)
 
 

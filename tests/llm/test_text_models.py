@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assaylake.llm.decontaminate import aligned, contaminated, item_words
 from assaylake.llm.tokencount import Counter, load_vocabulary, token_counts
-from assaylake.llm.toxicity import toxicity
+from assaylake.llm.toxicity import _fit, toxicity, train
 from tests.llm.helpers import docs, edge_docs, edge_rows, no_docs
 
 
@@ -169,3 +169,28 @@ def test_a_short_item_with_one_word_changed(spark):
     edited = " ".join([item[0], "other", *item[2:]])
     got = contaminated(docs(spark, {1: edited, 2: " ".join(item)}), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
     assert {(r["doc_id"], r["similarity"]) for r in got.collect()} == {(1, 13 / 16), (2, 1.0)}
+
+
+def test_a_model_keeps_more_than_the_commonest_features(spark):
+    texts, labels = labelled(spark, 300)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = train(spark.createDataFrame(texts, "doc_id long, text string"), labels, F.lit(True))
+    assert 10_000 < len(model.buckets) == len(model.weights) <= 30_000
+
+
+def test_fitting_in_turns_is_fitting_at_once():
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(40) < share) for share in rng.choice([0, 0.1, 0.5], 60)]
+    bound = np.cumsum([0, *map(len, rows)])
+    toxic = (rng.random(60) < 0.4).astype(float)
+    found, ratios = np.concatenate(rows).astype(np.uint16), rng.normal(size=40)
+    once = _fit(toxic, found, bound, ratios)
+    turns = _fit(toxic, found, bound, ratios, pairs=7)
+    assert np.allclose(once[0], turns[0]) and np.isclose(once[1], turns[1])
+    # plain gradient steps over the whole matrix end at the same place
+    table = np.zeros((60, 40))
+    for i, row in enumerate(rows):
+        table[i, row] = ratios[row]
+    margin = table @ (once[0] / ratios) + once[1]
+    error = (1 / (1 + np.exp(-margin)) - toxic) / 60
+    assert np.abs(table.T @ error + 1e-4 * once[0] / ratios).max() < 0.01

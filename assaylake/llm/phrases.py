@@ -11,7 +11,8 @@ document with a smaller id; windows are judged on the input.
    shard compiles automata of its phrases, a bounded number at a time, and streams its segments through them. That
    finds every occurrence of every phrase, and so the smallest id it starts in. As a document's windows can only recur
    under their own anchor, a document visits just the shards of its anchors. An anchor with more than ``hot`` distinct
-   segments is dealt out window by window.
+   segments is dealt out window by window: each distinct window is searched once, with its smallest id, and its owner is
+   joined back to the segments that hold it.
 4. The phrases found lead back to all documents with such segments.
 
 Null ids and null or empty texts take no part and keep all words. Rows that agree in id and text get equal results; rows
@@ -72,10 +73,13 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _cut(needed: DataFrame, window: int, hot: int) -> DataFrame:
-    """The words of the distinct segments that must be searched: (shard_key, anchor, content, base, owner, words)."""
+    """The words of the distinct segments that must be searched: (shard_key, anchor, content, base, owner, words, single).
+
+    ``single`` rows are windows of hot anchors, with a hash of the window as ``shard_key``.
+    """
     def run(batches):
         for batch in slices(batches):
-            out = [[] for _ in range(6)]
+            out = [[] for _ in _CUT]
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = text.encode("utf-8")
                 words = words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)], np.int64))
@@ -86,19 +90,19 @@ def _cut(needed: DataFrame, window: int, hot: int) -> DataFrame:
                         a, b = words.start[lo + base], words.end[lo + base + size - 1]
                         cut = b" ".join(data[a:b].split())
                         key = w["anchor"] if w["variants"] <= hot else int.from_bytes(hashlib.blake2b(cut, digest_size=8).digest(), "little", signed=True)
-                        for column, value in zip(out, (key, w["anchor"], w["content"], base, w["owner"], cut.decode("utf-8"))):
+                        for column, value in zip(out, (key, w["anchor"], w["content"], base, w["owner"], cut.decode("utf-8"), w["variants"] > hot)):
                             column.append(value)
                         if len(out[0]) >= 2000:
                             yield _batch(out, _CUT)
-                            out = [[] for _ in range(6)]
+                            out = [[] for _ in _CUT]
             yield _batch(out, _CUT)
 
     return needed.select("text", "wanted").mapInArrow(
-        run, "shard_key long, anchor long, content long, base int, owner long, words string")
+        run, "shard_key long, anchor long, content long, base int, owner long, words string, single boolean")
 
 
-_CUT = (("shard_key", pa.int64()), ("anchor", pa.int64()), ("content", pa.int64()), ("base", pa.int32()), ("owner", pa.int64()), ("words", pa.string()))
-_FOUND = (("anchor", pa.int64()), ("content", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("owner", pa.int64()))
+_CUT = (("shard_key", pa.int64()), ("anchor", pa.int64()), ("content", pa.int64()), ("base", pa.int32()), ("owner", pa.int64()), ("words", pa.string()), ("single", pa.bool_()))
+_FOUND = (("anchor", pa.int64()), ("content", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("owner", pa.int64()), ("single", pa.bool_()))
 
 
 def _batch(columns, kinds) -> pa.RecordBatch:
@@ -136,9 +140,9 @@ def locate(phrases, texts, window: int):
 
 
 def _search(shards: DataFrame, window: int, many: int) -> DataFrame:
-    """(anchor, content, at, n, owner): runs of windows of a segment with the smallest id they start in."""
+    """(anchor, content, at, n, owner, single): runs of windows of a segment with the smallest id they start in."""
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(set(zip(*(table.column(c).to_pylist() for c in ("shard_key", "anchor", "content", "base", "owner", "words")))))
+        rows = sorted(set(zip(*(table.column(c).to_pylist() for c in ("shard_key", "anchor", "content", "base", "owner", "words", "single")))))
         out = [[] for _ in _FOUND]
         begin = 0
         while begin < len(rows):
@@ -169,11 +173,11 @@ def _search(shards: DataFrame, window: int, many: int) -> DataFrame:
             begin = end
         return pa.Table.from_batches([_batch(out, _FOUND)])
 
-    return shards.groupBy("shard").applyInArrow(run, "anchor long, content long, at int, n int, owner long")
+    return shards.groupBy("shard").applyInArrow(run, "anchor long, content long, at int, n int, owner long, single boolean")
 
 
 def _add(out, row, start, last, owner, window):
-    for column, value in zip(out, (row[1], row[2], row[3] + start, last - start + window, owner)):
+    for column, value in zip(out, (row[1], row[2], row[3] + start, last - start + window, owner, row[6])):
         column.append(value)
 
 
@@ -201,9 +205,17 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, h
     wanted = wanted.groupBy("doc_id", "digest").agg(F.collect_list("w").alias("wanted"))
     needed = docs.select("doc_id", "digest", "text").join(wanted, ["doc_id", "digest"])
     cut = stored(_cut(needed, window, hot), "searched-segments")
-    shards = max(1, -(-cut.count() // shard_segments))
-    found = _search(cut.withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards))), window, AUTOMATON_SEGMENTS)
-    phrases = stored(plain.unionAll(found), "phrases")
+    # equal windows are combined in the map tasks; the join back to all of them can be split
+    columns = ["shard_key", "anchor", "content", "base", "owner", "words"]
+    once = cut.where("single").groupBy("shard_key", "anchor", "words").agg(F.min("owner").alias("owner")).select(
+        "shard_key", "anchor", F.col("shard_key").alias("content"), F.lit(0).alias("base"), "owner", "words")
+    searched = stored(cut.where("not single").select(*columns, "single").unionAll(once.withColumn("single", F.lit(True))), "searched-once")
+    shards = max(1, -(-searched.count() // shard_segments))
+    found = stored(_search(searched.withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards))), window, AUTOMATON_SEGMENTS), "found")
+    owners = found.where("single").select("anchor", F.col("content").alias("shard_key"), "owner")
+    back = cut.where("single").select("shard_key", "anchor", "content", "base").join(owners, ["anchor", "shard_key"]).select(
+        "anchor", "content", F.col("base").alias("at"), F.lit(window).alias("n"), "owner")
+    phrases = stored(plain.unionAll(found.where("not single").drop("single")).unionAll(back), "phrases")
     # only segments of later documents lose words; a row of several equal segments is taken apart where they lose some
     at = known.select("anchor", "content", "doc_id", "digest", "lo", "last", F.col("n").alias("size")).join(phrases, ["anchor", "content"])
     whole = F.col("n") == F.col("size")

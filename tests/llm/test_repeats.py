@@ -92,3 +92,18 @@ def test_kept_text_keeps_what_stood_between(spark):
     got = phrases.without_repeats(docs(spark, {1: f"start\n{passage}  end", 2: f"\tmine {passage}\n\nrest", 3: f"{passage} ", 4: None}))
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: f"start\n{passage}  end", 2: "\tmine rest", 3: "", 4: None}
     assert phrases.without_repeats(edge_docs(spark)).columns == edge_docs(spark).columns
+
+
+def test_equal_windows_of_a_hot_anchor_are_searched_once(spark, monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(9))
+    texts = {i: f"a{i} b{i} c{i} {passage} d{i} e{i} f{i}" for i in range(60)}
+    seen, search = [], phrases._search
+
+    def watched(shards, *rest):
+        seen.extend(shards.select("anchor", "words").collect())
+        return search(shards, *rest)
+
+    monkeypatch.setattr(phrases, "_search", watched)
+    got = rows_of(phrases.repeat_counts(docs(spark, texts), window=6, gram=3, hot=2))
+    assert got == phrase_truth(texts.items(), 6)
+    assert len(seen) == len(set(seen)) and sum(r["words"] == "p1 p2 p3 p4 p5 p6" for r in seen) == 1

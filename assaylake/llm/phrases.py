@@ -183,7 +183,7 @@ def _add(out, row, start, last, owner, window):
 
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, hot: int = HOT,
                    shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
-    """(doc_id, digest, spans): word ranges that go, as (first word, number of words).
+    """(doc_id, digest, spans): words that go, by runs of equal segments, as ``kept_mask`` takes them.
 
     ``docs`` has text, and doc_id and digest, a hash of the text, to tell texts apart.
     """
@@ -215,23 +215,34 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, h
     owners = found.where("single").select("anchor", F.col("content").alias("shard_key"), "owner")
     back = cut.where("single").select("shard_key", "anchor", "content", "base").join(owners, ["anchor", "shard_key"]).select(
         "anchor", "content", F.col("base").alias("at"), F.lit(window).alias("n"), "owner")
-    phrases = stored(plain.unionAll(found.where("not single").drop("single")).unionAll(back), "phrases")
-    # only segments of later documents lose words; a row of several equal segments is taken apart where they lose some
+    phrases = plain.unionAll(found.where("not single").drop("single")).unionAll(back)
+    # a segment has at most as many phrases as windows, so each segment stays one row
+    phrases = stored(phrases.groupBy("anchor", "content").agg(
+        F.min("owner").alias("low"), F.collect_set(F.struct("at", "n", "owner")).alias("found")), "phrases")
+    # only segments of later documents lose words; a row of several equal segments is taken apart by `kept_mask`
     at = known.select("anchor", "content", "doc_id", "digest", "lo", "last", F.col("n").alias("size")).join(phrases, ["anchor", "content"])
-    whole = F.col("n") == F.col("size")
-    begin = F.when(whole, F.array("lo")).otherwise(F.sequence("lo", "last", F.col("size") - window + 1))
-    at = at.where(F.col("doc_id") > F.col("owner")).select(
-        "doc_id", "digest", F.explode(begin).alias("begin"), "at", (F.col("n") + F.when(whole, F.col("last") - F.col("lo")).otherwise(0)).alias("n"))
-    return at.groupBy("doc_id", "digest").agg(
-        F.collect_set(F.struct((F.col("begin") + F.col("at")).alias("first"), "n")).alias("spans"))
+    at = at.where(F.col("doc_id") > F.col("low")).select(
+        "doc_id", "digest", F.struct("lo", "last", "size", F.expr(
+            "transform(filter(found, f -> f.owner < doc_id), f -> struct(f.at as at, f.n as n))").alias("found")).alias("span"))
+    return at.groupBy("doc_id", "digest").agg(F.collect_set("span").alias("spans"))
 
 
-def kept_mask(count: int, spans) -> np.ndarray:
-    """Which words stay."""
+def kept_mask(count: int, spans, window: int) -> np.ndarray:
+    """Which words stay.
+
+    A span stands for equal segments of ``size`` words that begin at ``lo``, ... ``last``, each one window after the one
+    before it; every one of them loses the words that ``found`` gives.
+    """
     edge = np.zeros(count + 1, np.int64)
     for s in spans or ():
-        edge[s["first"]] += 1
-        edge[min(count, s["first"] + s["n"])] -= 1
+        step = s["size"] - window + 1
+        for f in s["found"]:
+            if f["n"] == s["size"]:
+                edge[s["lo"]] += 1
+                edge[s["last"] + f["n"]] -= 1
+            else:
+                edge[s["lo"] + f["at"]:s["last"] + f["at"] + 1:step] += 1
+                edge[s["lo"] + f["at"] + f["n"]:s["last"] + f["at"] + f["n"] + 1:step] -= 1
     return np.cumsum(edge[:count]) == 0
 
 
@@ -246,7 +257,7 @@ def repeat_counts(docs: DataFrame, **options) -> DataFrame:
 
 
 def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
-    names = docs.columns
+    names, window = docs.columns, options.get("window", WINDOW)
     own = docs.select("*", F.col("doc_id").cast("long").alias("_phrase_doc"), F.xxhash64("text").alias("_phrase_digest"))
     spans = repeated_spans(own.select(F.col("_phrase_doc").alias("doc_id"), F.col("_phrase_digest").alias("digest"), "text"), **options)
     spans = stored(spans, "spans").toDF("_phrase_doc", "_phrase_digest", "_phrase_spans")
@@ -255,7 +266,7 @@ def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
 
     def cut(data: bytes, spans):
         words = words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)], np.int64))
-        return words, kept_mask(len(words.start), spans)
+        return words, kept_mask(len(words.start), spans, window)
 
     if form == "text":
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -288,7 +299,7 @@ def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
             for text, spans in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
                 parts = (text or "").encode("utf-8").split()
                 if spans:
-                    kept = kept_mask(len(parts), spans)
+                    kept = kept_mask(len(parts), spans, window)
                     left = [w for w, k in zip(parts, kept) if k]
                 else:
                     left = parts

@@ -107,3 +107,21 @@ def test_equal_windows_of_a_hot_anchor_are_searched_once(spark, monkeypatch):
     got = rows_of(phrases.repeat_counts(docs(spark, texts), window=6, gram=3, hot=2))
     assert got == phrase_truth(texts.items(), 6)
     assert len(seen) == len(set(seen)) and sum(r["words"] == "p1 p2 p3 p4 p5 p6" for r in seen) == 1
+
+
+@pytest.mark.parametrize("line, lines, most", [("one two three", 12000, 60), ("one two three four five six seven eight nine ten eleven", 3000, 25_000)])
+def test_a_repeated_line_makes_no_more_rows_than_segments(spark, monkeypatch, line, lines, most):
+    texts = {1: f"{line} a b {line} {line}", 2: " ".join([line] * lines), 3: f"x {line} " + " ".join([line] * (lines - 900)) + " y", 4: f"{line} four five"}
+    spans, make = [], phrases.repeated_spans
+
+    def watched(*args, **options):
+        out = make(*args, **options)
+        spans.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(phrases, "repeated_spans", watched)
+    table = docs(spark, texts)
+    got = rows_of(phrases.repeat_counts(table, window=6, gram=3))
+    assert got == phrase_truth(texts.items(), 6)
+    segments = phrases._segments(table.withColumn("digest", table.doc_id), 6, 3).count()
+    assert sum(len(s["spans"]) for s in spans) <= min(segments, most)

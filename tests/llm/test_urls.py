@@ -11,7 +11,7 @@ URLS = [
     (3, "https://b.net/", "b.net", "/", "net/", "block"),
     (4, "https://example.com/de/", "example.com", "/de/", "example.com/de/", "block"),
     (5, "https://notexample.com/de/", "notexample.com", "/de/", None, None),
-    (6, "ftp://x.org/fr?q", "x.org", "/fr", "org/fr", "allow"),
+    (6, "ftp://x.org/fr?q", "x.org", "/fr", None, None),
     (7, "//x.org/fr", "", "", None, None),
     (8, None, "", "", None, None),
     (9, "", "", "", None, None),

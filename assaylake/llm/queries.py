@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import licenses, mixing, phrases, suffixes
+from assaylake.llm import conversations, licenses, mixing, phrases, suffixes
 from assaylake.llm.decontaminate import contaminated
 from assaylake.llm.minhash import near_duplicates
 from assaylake.llm.tokencount import load_vocabulary, token_counts
@@ -82,3 +82,8 @@ def op9(spark, sf_dir):
 @query("op10_substring_dedup")
 def op10(spark, sf_dir):
     return phrases.repeat_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    return conversations.repair_audit(table(spark, sf_dir, "conversations"))

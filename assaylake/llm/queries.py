@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.llm import conversations, licenses, mixing, phrases, suffixes
+from assaylake.llm.alignment import load_vocabularies, token_alignment
 from assaylake.llm.decontaminate import contaminated
 from assaylake.llm.minhash import near_duplicates
 from assaylake.llm.tokencount import load_vocabulary, token_counts
@@ -84,6 +85,14 @@ def op10(spark, sf_dir):
     return phrases.repeat_counts(table(spark, sf_dir, "documents"))
 
 
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    models = load_vocabularies(*map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    return token_alignment(table(spark, sf_dir, "documents"), models)
+
+
 @query("op13_conversation_repair")
 def op13(spark, sf_dir):
     return conversations.repair_audit(table(spark, sf_dir, "conversations"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assaylake.llm import conversations, licenses, mixing, phrases, suffixes
 from assaylake.llm.alignment import load_vocabularies, token_alignment
 from assaylake.llm.decontaminate import contaminated
+from assaylake.llm.languages import language_of
 from assaylake.llm.minhash import near_duplicates
 from assaylake.llm.tokencount import load_vocabulary, token_counts
 from assaylake.llm.topk import top_k
@@ -85,6 +86,11 @@ def op10(spark, sf_dir):
     return phrases.repeat_counts(table(spark, sf_dir, "documents"))
 
 
+@query("op11_language_id")
+def op11(spark, sf_dir):
+    return language_of(table(spark, sf_dir, "documents"))
+
+
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     import public_tokenizers

@@ -59,6 +59,22 @@ def _cells(boxes: DataFrame, size: Column) -> DataFrame:
     return xs.select("*", F.explode(_cell_range(F.col("ymin"), F.col("ymax"), size)).alias("cy"))
 
 
+def cells_of(shapes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(placed, seekers) of distinct rectangles, with a level ``at`` and a cell ``cx``, ``cy``.
+
+    Cell sizes double per level. A rectangle is placed in the finest level whose cell is as large as itself, so in four cells at
+    most, and looks for partners in its own level and in coarser ones.
+    """
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    shapes = shapes.withColumn("own", F.ceil(F.log2(F.greatest(side, F.lit(2.0 ** -20)))).cast("int"))
+    # the levels in use are a few dozen whole numbers at most, whatever the number of rows
+    in_use = shapes.groupBy("own").agg(F.count("*").alias("n")).agg(F.collect_list("own").alias("l")).scalar()
+    placed = _cells(shapes.withColumn("at", F.col("own")), F.pow(F.lit(2.0), F.col("at")))
+    seekers = shapes.withColumn("levels", in_use).withColumn(
+        "at", F.explode(F.array_intersect(F.sequence("own", F.array_max("levels")), "levels"))).drop("levels")
+    return placed, _cells(seekers, F.pow(F.lit(2.0), F.col("at")))
+
+
 def _meets(a: str, b: str) -> Column:
     """Same grid cell and a shared area."""
     def c(side: str, name: str) -> Column:
@@ -80,22 +96,12 @@ _SALTS = 8
 def overlapping_extents(df: DataFrame, extent: Sequence[str] = EXTENT) -> DataFrame:
     """Rows whose rectangle shares area with another row's, each once. Columns stay as they are.
 
-    Rectangles sit in grids whose cell size doubles per level. One belongs to the finest level whose
-    cell is as large as itself, so it touches four cells there at most, and it looks for partners in
-    its own level and in coarser ones. Equal rectangles are settled by counting, so a heap of copies
+    Rectangles meet in the grids of ``cells_of``. Equal rectangles are settled by counting, so a heap of copies
     is never compared. The rest are semi joins: they stop at the first partner and list no pairs.
     """
-    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    level = F.ceil(F.log2(F.greatest(side, F.lit(2.0 ** -20)))).cast("int")
     boxes = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(extent, EXTENT)])
-    shapes = boxes.dropna().groupBy(*EXTENT).agg(F.count("*").alias("copies")).withColumn("own", level)
-
-    # the levels in use are a few dozen whole numbers at most, whatever the number of rows
-    in_use = shapes.groupBy("own").agg(F.count("*").alias("n")).agg(F.collect_list("own").alias("l")).scalar()
-    placed = _cells(shapes.withColumn("at", F.col("own")), F.pow(F.lit(2.0), F.col("at")))
-    seekers = shapes.withColumn("levels", in_use).withColumn(
-        "at", F.explode(F.array_intersect(F.sequence("own", F.array_max("levels")), "levels"))).drop("levels")
-    seekers = _cells(seekers, F.pow(F.lit(2.0), F.col("at")))
+    shapes = boxes.dropna().groupBy(*EXTENT).agg(F.count("*").alias("copies"))
+    placed, seekers = cells_of(shapes)
 
     finer = seekers.alias("a").join(placed.alias("b"), _meets("a", "b"), "left_semi")
     # the coarser partner of a pair; a crowded cell's finer rectangles are spread over salts

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assaylake.functions import geo
 from assaylake.operators import layers
 from assaylake.operators.joins import overlapping_extents
+from assaylake.operators.polygons import overlapping_polygons
 from assaylake.queries.registry import joined, query, table
 from assaylake.session import scratch_dir
 from assaylake.sinks import staging, versions
@@ -157,6 +158,45 @@ def overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlapping_extents(_rectangles(spark, sf_dir)).select("c_custkey", "xmin", "ymax")
 
 
+_POLYGONS = """
+s as (select c_custkey as k, c_custkey % 3 as kind, (c_custkey * 7919 % 4999) / 8.0::double as x, (c_custkey * 104729 % 4993) / 8.0::double as y, (c_custkey % 29 + 2) / 1.0::double as s from customer),
+p as (select *, x + y + s as c, x + s / 4 as hx, y + s / 4 as hy, s / 2 as hs from s),
+pairs as (select a.k, case
+    when a.kind = 0 and b.kind = 0 then greatest(a.x, b.x) + greatest(a.y, b.y) < least(a.c, b.c)
+    when a.kind = 1 and b.kind = 1 then least(a.x + a.s, b.x + b.s) + least(a.y + a.s, b.y + b.s) > greatest(a.c, b.c)
+    when a.kind = 0 and b.kind = 1 then a.x < b.x + b.s and a.y < b.y + b.s and b.c < a.c and greatest(b.c, a.x + a.y) < least(a.c, b.x + b.y + 2 * b.s)
+    when a.kind = 1 and b.kind = 0 then b.x < a.x + a.s and b.y < a.y + a.s and a.c < b.c and greatest(a.c, b.x + b.y) < least(b.c, a.x + a.y + 2 * a.s)
+    when a.kind = 2 and b.kind = 0 then greatest(a.x, b.x) < a.x + a.s and greatest(a.y, b.y) < a.y + a.s and greatest(a.x, b.x) + greatest(a.y, b.y) < b.c and not b_in_a
+    when a.kind = 0 and b.kind = 2 then greatest(a.x, b.x) < b.x + b.s and greatest(a.y, b.y) < b.y + b.s and greatest(a.x, b.x) + greatest(a.y, b.y) < a.c and not a_in_b
+    when a.kind = 2 and b.kind = 1 then least(a.x + a.s, b.x + b.s) > a.x and least(a.y + a.s, b.y + b.s) > a.y and least(a.x + a.s, b.x + b.s) + least(a.y + a.s, b.y + b.s) > b.c and not b_in_a
+    when a.kind = 1 and b.kind = 2 then least(a.x + a.s, b.x + b.s) > b.x and least(a.y + a.s, b.y + b.s) > b.y and least(a.x + a.s, b.x + b.s) + least(a.y + a.s, b.y + b.s) > a.c and not a_in_b
+    else not a_in_b and not b_in_a end as shared
+  from (select a, b, a.x >= b.hx and a.x + a.s <= b.hx + b.hs and a.y >= b.hy and a.y + a.s <= b.hy + b.hs as a_in_b,
+               b.x >= a.hx and b.x + b.s <= a.hx + a.hs and b.y >= a.hy and b.y + b.s <= a.hy + a.hs as b_in_a
+        from p a join p b on a.k <> b.k and a.x < b.x + b.s and b.x < a.x + a.s and a.y < b.y + b.s and b.y < a.y + a.s))"""
+
+
+def _polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower and upper halves of squares, and frames: shapes whose rectangles meet more often than they do."""
+    key = F.col("c_custkey")
+    x, y, s = (key * 7919 % 4999) / 8.0, (key * 104729 % 4993) / 8.0, (key % 29 + 2) / F.lit(1.0)
+
+    def ring(*points: tuple[float, float]) -> tuple[Column, Column]:
+        return F.array(*[x + s * px for px, _ in points]), F.array(*[y + s * py for _, py in points])
+
+    lower, upper = ring((0, 0), (1, 0), (0, 1), (0, 0)), ring((1, 0), (0, 1), (1, 1), (1, 0))
+    frame, hole = ring((0, 0), (1, 0), (1, 1), (0, 1), (0, 0)), ring((.25, .25), (.75, .25), (.75, .75), (.25, .75), (.25, .25))
+    parts = [F.when(key % 3 == 0, F.array(lower[i])).when(key % 3 == 1, F.array(upper[i])).otherwise(F.array(frame[i], hole[i])) for i in (0, 1)]
+    shape = F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), parts[0].alias("xs"), parts[1].alias("ys"))
+    return table(spark, sf_dir, "customer").select("c_custkey", shape.alias("geom"))
+
+
+@query("overlapping_polygons", "with " + _POLYGONS + " select distinct k as c_custkey from pairs where shared")
+def overlapping_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triangles and frames that share area with another one; many share only their rectangles, borders or a hole."""
+    return overlapping_polygons(_polygons(spark, sf_dir), "c_custkey")
+
+
 @query("geo_polygon_rules", """
 select c_custkey, case c_custkey % 4 when 1 then 'self_crossing' end as problem, cast(c_custkey % 4 = 2 as bigint) as repeated, cast(c_custkey % 4 = 3 as bigint) as sliver,
        case c_custkey % 4 when 0 then 4.0::double when 1 then 0.0::double when 2 then 4.0::double else 0.002::double end as area

@@ -41,9 +41,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLANK = "▁"
 CUT = re.compile(r"(?<=\S) (?=[^\W_])")
-MEMO_STRETCHES = 300_000  # stretches a worker remembers; only speed depends on it
+OPENS = re.compile(r"[^\W_]").match
+MEMO_STRETCHES = 150_000  # stretches a worker remembers; only speed depends on it
+JOINED = 1000  # new stretches that are encoded as one text
 FREQUENT = 20_000  # id pairs that are sent to all tasks
-BATCH_BYTES = 1 << 20  # texts that are put together at a time, about
+BATCH_BYTES = 1 << 19  # texts that are put together at a time, about
 
 
 @dataclass
@@ -159,6 +161,18 @@ def load_vocabularies(byte_file: str, piece_file: str) -> Vocabularies:
     return Vocabularies(byte_model, piece_model)
 
 
+def _byte_rows(pieces: list[bytes]) -> Csr:
+    """The bytes of every id of a vocabulary."""
+    indptr = np.cumsum([0, *map(len, pieces)])
+    return Csr(indptr, np.frombuffer(b"".join(pieces), np.uint8), 256)
+
+
+def _together(found):
+    """Ids, counts and validity of several runs of stretches as one."""
+    ids, counts = ([np.concatenate([f[k][side] for f in found]) for side in (0, 1)] for k in (0, 1))
+    return ids, counts, [ok for f in found for ok in f[2]]
+
+
 class Encoder:
     """Encodes stretches of text with both models and keeps their tokens and groups as rows of CSR matrices."""
 
@@ -172,49 +186,69 @@ class Encoder:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.piece_model)
         letters = _byte_letters()
-        self.bytes_a = {i: bytes(letters.get(c, 0) for c in piece) for piece, i in self.a.get_vocab().items()}
-        self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else
-                        self.b.id_to_piece(i).replace(BLANK, " ").encode("utf-8") for i in range(len(self.b))]
+        pieces_a: list[bytes] = [b""] * self.a.get_vocab_size()
+        for piece, i in self.a.get_vocab().items():
+            pieces_a[i] = bytes(letters.get(c, 0) for c in piece)
+        pieces_b = [bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else
+                    self.b.id_to_piece(i).replace(BLANK, " ").encode("utf-8") for i in range(len(self.b))]
+        self.bytes_a, self.bytes_b = _byte_rows(pieces_a), _byte_rows(pieces_b)
         self._forget()
 
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.parts: list[list[np.ndarray]] = [[], [], [], [], []]
         self.rows: list[Csr] | None = None
-        self.sizes = [[0] for _ in range(4)]
+        self.sizes: list[list[np.ndarray]] = [[np.zeros(1, np.int32)] for _ in range(4)]
         self.valid: list[bool] = []
 
+    def _encode(self, stretches: list[str]):
+        """Ids of A and of B tokens and how many each stretch has; where the tokens give other bytes back, none.
+
+        Stretches that begin and end like the places where texts are cut are put together and encoded as one text.
+        """
+        joined = " ".join(stretches)
+        whole = np.frombuffer((" " + joined).encode("utf-8"), np.uint8)
+        ids = [np.array(self.a.encode(" " + joined, add_special_tokens=False).ids, np.int32), np.array(self.b.encode(joined), np.int32)]
+        given = [take_rows(table, own) for table, own in zip((self.bytes_a, self.bytes_b), ids)]
+        if not all(np.array_equal(data, whole) for data, _ in given):
+            if len(stretches) == 1:
+                return [i[:0] for i in ids], [np.zeros(1, np.int64)] * 2, [False]
+            return _together([self._encode([s]) for s in stretches])
+        bound = np.cumsum([len(s.encode("utf-8")) + 1 for s in stretches])
+        counts = [np.diff(np.searchsorted(np.cumsum(sizes), bound, "right"), prepend=0) for _, sizes in given]
+        return ids, counts, [True] * len(stretches)
+
     def _learn(self, stretches: list[str]) -> None:
         """Encode new stretches and align their tokens, all of them in one product."""
-        ids_a = [e.ids for e in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)]
-        ids_b = self.b.encode(stretches, num_threads=1)
-        for k, s in enumerate(stretches):
-            whole = (" " + s).encode("utf-8")
-            same = b"".join([self.bytes_a[i] for i in ids_a[k]]) == whole and b"".join([self.bytes_b[i] for i in ids_b[k]]) == whole
-            self.valid.append(same)
-            if not same:
-                ids_a[k], ids_b[k] = [], []
-            self.numbers[s] = len(self.numbers)
-        flat_a, flat_b = (np.array([i for ids in side for i in ids], np.int64) for side in (ids_a, ids_b))
-        sizes_a = np.array([len(self.bytes_a[i]) for i in flat_a.tolist()], np.int64)
-        sizes_b = np.array([len(self.bytes_b[i]) for i in flat_b.tolist()], np.int64)
+        plain = [s for s in stretches if OPENS(s) and not s[-1].isspace() and BLANK not in s]
+        rest = list(set(stretches).difference(plain))
+        groups, at = [[s] for s in rest], 0
+        while at < len(plain):
+            groups.append(plain[at:at + JOINED])
+            at += JOINED
+        (flat_a, flat_b), (n_a, n_b), valid = _together([self._encode(g) for g in groups])
+        for g in groups:
+            for s in g:
+                self.numbers[s] = len(self.numbers)
+        self.valid.extend(valid)
+        sizes_a, sizes_b = (np.diff(table.indptr)[flat] for table, flat in ((self.bytes_a, flat_a), (self.bytes_b, flat_b)))
         links = aligned(sizes_a, sizes_b)
-        n_a, n_b = (np.array([len(ids) for ids in side], np.int64) for side in (ids_a, ids_b))
         last_a = np.cumsum(n_a)
         # a stretch ends a group, so its groups are those up to its last token
         groups = np.diff(np.searchsorted(links.groups_a, np.concatenate([[0], last_a]), "left"))
-        overlaps = np.bincount(np.searchsorted(last_a, links.overlap[0], "right"), minlength=len(stretches))
+        overlaps = np.bincount(np.searchsorted(last_a, links.overlap[0], "right"), minlength=len(n_a))
         values = (flat_a, flat_b, np.diff(links.groups_a), np.diff(links.groups_b), links.overlap[2])
         for store, value in zip(self.parts, values):
-            store.append(value)
+            store.append(value.astype(np.int32))
         for store, value in zip(self.sizes, (n_a, n_b, groups, overlaps)):
-            store.extend(value.tolist())
+            store.append(value.astype(np.int32))
         self.rows = None
 
     def _matrices(self) -> list[Csr]:
         if self.rows is None:
-            indptrs = [np.cumsum(np.array(s, np.int64)) for s in self.sizes]
-            self.parts = [[np.concatenate(p)] if p else [np.zeros(0, np.int64)] for p in self.parts]
+            self.sizes = [[np.concatenate(s)] for s in self.sizes]
+            indptrs = [np.cumsum(s[0], dtype=np.int64) for s in self.sizes]
+            self.parts = [[np.concatenate(p)] if p else [np.zeros(0, np.int32)] for p in self.parts]
             self.rows = [Csr(indptrs[which], part[0], 0) for which, part in zip((0, 1, 2, 2, 3), self.parts)]
         return self.rows
 

@@ -10,11 +10,12 @@ bytes. For a batch of texts:
    product is held as row pointers into it and no pair is written out.
 
 A text is cut before a blank between a character that is no blank and a letter or number. No token of either vocabulary crosses
-such a place (of B this is checked when the model is read), so stretches are encoded apart and a worker encodes a stretch
-it remembers once; the matrices of a text are the rows of its stretches, put together. Texts of any length are taken whole.
+such a place (of B this is checked when the model is read), so stretches are encoded apart and a worker encodes and aligns a
+stretch it remembers once; the matrices of a text are the rows of its stretches, put together. Texts of any length are taken whole.
 
-Counts of linked id pairs cover the whole corpus. Pairs are combined within tasks before they travel. The ``frequent`` pairs
-with the highest counts, a bounded number, go to all tasks and settle most links there; the others are joined by pair.
+Counts of linked id pairs cover the whole corpus. The texts are read twice, so that no tokens are stored: once to count, with links
+summed by stretch and then by pair within a task before they travel, and once to look counts up. The ``frequent`` pairs with the
+highest counts, a bounded number, go to all tasks and settle most links there; the others are joined by pair.
 
 Null and empty texts and those whose bytes the tokens do not give back have no tokens. Repeated rows are counted and returned
 each on their own; rows without ``doc_id`` are kept. Extra columns are ignored.
@@ -23,7 +24,7 @@ each on their own; rows without ``doc_id`` are kept. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 import sys
 from dataclasses import dataclass
@@ -45,7 +46,7 @@ OPENS = re.compile(r"[^\W_]").match
 MEMO_STRETCHES = 150_000  # stretches a worker remembers; only speed depends on it
 JOINED = 1000  # new stretches that are encoded as one text
 FREQUENT = 20_000  # id pairs that are sent to all tasks
-BATCH_BYTES = 1 << 19  # texts that are put together at a time, about
+BATCH_BYTES = 1 << 18  # texts that are put together at a time, about
 
 
 @dataclass
@@ -134,11 +135,11 @@ class Vocabularies:
     As a broadcast value it stays with a worker from task to task, and with it the encoder opened there.
     """
 
-    def __init__(self, byte_model: str, piece_model: bytes):
-        self.byte_model, self.piece_model, self.encoder = byte_model, piece_model, None
+    def __init__(self, ranks: dict[bytes, int], pattern: str, piece_model: bytes):
+        self.ranks, self.pattern, self.piece_model, self.encoder = ranks, pattern, piece_model, None
 
     def __getstate__(self):
-        return {"byte_model": self.byte_model, "piece_model": self.piece_model, "encoder": None}
+        return self.__dict__ | {"encoder": None}
 
     def opened(self) -> Encoder:
         if self.encoder is None:
@@ -146,19 +147,34 @@ class Vocabularies:
         return self.encoder
 
 
+# fixed values: the pattern by which byte-level vocabularies of this kind part texts
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def load_vocabularies(byte_file: str, piece_file: str) -> Vocabularies:
-    """Read both models on the driver, as text and bytes, and check that no piece crosses a place where texts are cut."""
+    """Read both models on the driver.
+
+    Checks that ids of A are ranks, so that it can be encoded by them, and that no piece of B crosses a place where texts are cut.
+    """
     import sentencepiece
 
     with open(byte_file, encoding="utf-8") as f:
-        byte_model = f.read()
+        file = json.load(f)
+    vocabulary, merges = file["model"]["vocab"], file["model"]["merges"]
+    made = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
+    parts = file.get("pre_tokenizer") or {}
+    if file.get("normalizer") or parts.get("type") != "ByteLevel" or parts.get("add_prefix_space") or not parts.get("use_regex") or any(
+            vocabulary[piece] != 256 + i for i, piece in enumerate(made)):
+        raise ValueError("only byte-level vocabularies whose ids are the ranks of their merges are supported")
+    letters = _byte_letters()
+    ranks = {bytes(letters[c] for c in piece): i for piece, i in vocabulary.items()}
     with open(piece_file, "rb") as f:
         piece_model = f.read()
     model = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
     for i in range(len(model)):
         if BLANK in model.id_to_piece(i).lstrip(BLANK):
             raise ValueError(f"piece {model.id_to_piece(i)!r} crosses a place where texts are cut")
-    return Vocabularies(byte_model, piece_model)
+    return Vocabularies(ranks, PATTERN, piece_model)
 
 
 def _byte_rows(pieces: list[bytes]) -> Csr:
@@ -173,33 +189,53 @@ def _together(found):
     return ids, counts, [ok for f in found for ok in f[2]]
 
 
+class Rows:
+    """CSR rows that more are added to."""
+
+    def __init__(self, kind: type):
+        self.indptr, self.values, self.used, self.count = np.zeros(1024, np.int64), np.zeros(4096, kind), 0, 0
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        n, size = len(sizes), len(values)
+        if self.count + n + 1 > len(self.indptr):
+            self.indptr = np.resize(self.indptr, 2 * (self.count + n + 1))
+        if self.used + size > len(self.values):
+            self.values = np.resize(self.values, 2 * (self.used + size))
+        self.indptr[self.count + 1:self.count + n + 1] = self.used + np.cumsum(sizes)
+        self.values[self.used:self.used + size] = values
+        self.count += n
+        self.used += size
+
+    def matrix(self) -> Csr:
+        return Csr(self.indptr[:self.count + 1], self.values[:self.used], 0)
+
+
 class Encoder:
-    """Encodes stretches of text with both models and keeps their tokens and groups as rows of CSR matrices."""
+    """Encodes stretches of text with both models and remembers their tokens and links, as rows of CSR matrices."""
 
     def __init__(self, vocabularies: Vocabularies):
         import sentencepiece
+        import tiktoken
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_str(vocabularies.byte_model)
-        self.a.encode_special_tokens = True
+        self.a = tiktoken.Encoding("a", pat_str=vocabularies.pattern, mergeable_ranks=vocabularies.ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocabularies.piece_model)
-        letters = _byte_letters()
-        pieces_a: list[bytes] = [b""] * self.a.get_vocab_size()
-        for piece, i in self.a.get_vocab().items():
-            pieces_a[i] = bytes(letters.get(c, 0) for c in piece)
+        pieces_a: list[bytes] = [b""] * (max(vocabularies.ranks.values()) + 1)
+        for piece, i in vocabularies.ranks.items():
+            pieces_a[i] = piece
         pieces_b = [bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else
                     self.b.id_to_piece(i).replace(BLANK, " ").encode("utf-8") for i in range(len(self.b))]
         self.bytes_a, self.bytes_b = _byte_rows(pieces_a), _byte_rows(pieces_b)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.parts: list[list[np.ndarray]] = [[], [], [], [], []]
-        self.rows: list[Csr] | None = None
-        self.sizes: list[list[np.ndarray]] = [[np.zeros(1, np.int32)] for _ in range(4)]
         self.valid: list[bool] = []
+        self.groups_text: list[str] = []
+        self.ids_a, self.ids_b, self.group_a, self.group_b, self.shared = (Rows(np.int32) for _ in range(5))
+        self.pairs = Rows(np.int64)  # ids that end together, packed as ``a << 32 | b``
+
+    def full(self) -> bool:
+        return len(self.numbers) > MEMO_STRETCHES
 
     def _encode(self, stretches: list[str]):
         """Ids of A and of B tokens and how many each stretch has; where the tokens give other bytes back, none.
@@ -208,7 +244,7 @@ class Encoder:
         """
         joined = " ".join(stretches)
         whole = np.frombuffer((" " + joined).encode("utf-8"), np.uint8)
-        ids = [np.array(self.a.encode(" " + joined, add_special_tokens=False).ids, np.int32), np.array(self.b.encode(joined), np.int32)]
+        ids = [np.array(self.a.encode_ordinary(" " + joined), np.int32), np.array(self.b.encode(joined), np.int32)]
         given = [take_rows(table, own) for table, own in zip((self.bytes_a, self.bytes_b), ids)]
         if not all(np.array_equal(data, whole) for data, _ in given):
             if len(stretches) == 1:
@@ -221,14 +257,11 @@ class Encoder:
     def _learn(self, stretches: list[str]) -> None:
         """Encode new stretches and align their tokens, all of them in one product."""
         plain = [s for s in stretches if OPENS(s) and not s[-1].isspace() and BLANK not in s]
-        rest = list(set(stretches).difference(plain))
-        groups, at = [[s] for s in rest], 0
-        while at < len(plain):
-            groups.append(plain[at:at + JOINED])
-            at += JOINED
-        (flat_a, flat_b), (n_a, n_b), valid = _together([self._encode(g) for g in groups])
-        for g in groups:
-            for s in g:
+        known = set(plain)
+        runs = [[s] for s in stretches if s not in known] + [plain[at:at + JOINED] for at in range(0, len(plain), JOINED)]
+        (flat_a, flat_b), (n_a, n_b), valid = _together([self._encode(run) for run in runs])
+        for run in runs:
+            for s in run:
                 self.numbers[s] = len(self.numbers)
         self.valid.extend(valid)
         sizes_a, sizes_b = (np.diff(table.indptr)[flat] for table, flat in ((self.bytes_a, flat_a), (self.bytes_b, flat_b)))
@@ -237,41 +270,45 @@ class Encoder:
         # a stretch ends a group, so its groups are those up to its last token
         groups = np.diff(np.searchsorted(links.groups_a, np.concatenate([[0], last_a]), "left"))
         overlaps = np.bincount(np.searchsorted(last_a, links.overlap[0], "right"), minlength=len(n_a))
-        values = (flat_a, flat_b, np.diff(links.groups_a), np.diff(links.groups_b), links.overlap[2])
-        for store, value in zip(self.parts, values):
-            store.append(value.astype(np.int32))
-        for store, value in zip(self.sizes, (n_a, n_b, groups, overlaps)):
-            store.append(value.astype(np.int32))
-        self.rows = None
-
-    def _matrices(self) -> list[Csr]:
-        if self.rows is None:
-            self.sizes = [[np.concatenate(s)] for s in self.sizes]
-            indptrs = [np.cumsum(s[0], dtype=np.int64) for s in self.sizes]
-            self.parts = [[np.concatenate(p)] if p else [np.zeros(0, np.int32)] for p in self.parts]
-            self.rows = [Csr(indptrs[which], part[0], 0) for which, part in zip((0, 1, 2, 2, 3), self.parts)]
-        return self.rows
-
-    def __call__(self, texts: list[str | None]):
-        """For each text: A ids, B ids, sizes of the groups in A and in B tokens, bytes shared by overlapping tokens.
-
-        Returns flat arrays, each with how many of its items each text has.
-        """
-        if len(self.numbers) > MEMO_STRETCHES:
-            self._forget()
+        left, right = links.overlap[0][links.ends], links.overlap[1][links.ends]
+        for store, values, sizes in (
+                (self.ids_a, flat_a, n_a), (self.ids_b, flat_b, n_b), (self.group_a, np.diff(links.groups_a), groups), (self.group_b, np.diff(links.groups_b), groups),
+                (self.shared, links.overlap[2], overlaps), (self.pairs, flat_a[left].astype(np.int64) << 32 | flat_b[right], groups)):
+            store.add(values, sizes)
+        self.groups_text.extend(_groups_text(flat_a, flat_b, links, groups))
+
+    def stretches(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the stretches of some texts, and the bounds of each text in them; invalid texts have none."""
         split = [CUT.split(t) if t else [] for t in texts]
-        new = list(dict.fromkeys(s for parts in split for s in parts if s not in self.numbers))
+        new = list(dict.fromkeys([s for parts in split for s in parts if s not in self.numbers]))
         if new:
             self._learn(new)
-        valid = [all([self.valid[self.numbers[s]] for s in parts]) for parts in split]
-        number = np.array([self.numbers[s] for parts, ok in zip(split, valid) if ok for s in parts], np.int64)
-        bound = np.cumsum([0, *(len(parts) if ok else 0 for parts, ok in zip(split, valid))])
-        out = []
-        for matrix in self._matrices():
-            values, sizes = take_rows(matrix, number)
-            total = np.concatenate([[0], np.cumsum(sizes)])
-            out.append((values, np.diff(total[bound])))
-        return out
+        number = [list(map(self.numbers.__getitem__, parts)) for parts in split]
+        valid = self.valid
+        number = [own if all([valid[k] for k in own]) else [] for own in number]
+        return np.array([k for own in number for k in own], np.int64), np.cumsum([0, *map(len, number)])
+
+
+def _groups_text(ids_a: np.ndarray, ids_b: np.ndarray, links: Alignment, groups: np.ndarray) -> list[str]:
+    """The groups of each stretch as text, ``a1,a2|b1;a3|b2``."""
+    a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+    cut_a, cut_b = links.groups_a.tolist(), links.groups_b.tolist()
+    every = [f"{a[i]}|{b[j]}" if k == i + 1 and m == j + 1 else f"{','.join(a[i:k])}|{','.join(b[j:m])}"
+             for i, k, j, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+    bound = np.concatenate([[0], np.cumsum(groups)]).tolist()
+    return [";".join(every[x:y]) for x, y in zip(bound, bound[1:])]
+
+
+def _portions(column: pa.Array):
+    """Ranges of rows with about ``BATCH_BYTES`` of text, and their texts; a longer text comes alone."""
+    first = 0
+    while first < len(column):
+        last, size = first, 0
+        while last < len(column) and (last == first or size < BATCH_BYTES):
+            size += len(column[last].as_py() or "")
+            last += 1
+        yield first, last, column.slice(first, last - first).to_pylist()
+        first = last
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
@@ -279,141 +316,147 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def alignments(docs: DataFrame, vocabularies: Vocabularies, links: bool = True) -> DataFrame:
+def alignments(docs: DataFrame, vocabularies: Vocabularies) -> DataFrame:
     """(doc_id, a_ids, b_ids, group_a, group_b, shared): both tokenizations of every text and their links.
 
     ``group_a`` and ``group_b`` hold how many A and B tokens each group has; the last tokens of a group are its end link, all A and B
-    tokens of a group its shared-group links. ``shared`` holds the bytes of each overlap link, in order; it is left out unless ``links``.
+    tokens of a group its shared-group links. ``shared`` holds the bytes of each overlap link, in order.
     """
-    names = ["doc_id", "a_ids", "b_ids", "group_a", "group_b", *(["shared"] if links else [])]
-
+    names = ["a_ids", "b_ids", "group_a", "group_b", "shared"]
     models = docs.sparkSession.sparkContext.broadcast(vocabularies)
 
     def run(batches):
-        encode = models.value.opened()
+        encoder = models.value.opened()
         for batch in batches:
-            first = 0
-            texts = batch.column(1)
-            while first < batch.num_rows:
-                last, size = first, 0
-                while last < batch.num_rows and (last == first or size < BATCH_BYTES):
-                    size += len(texts[last].as_py() or "") * 2
-                    last += 1
-                found = encode(texts.slice(first, last - first).to_pylist())
-                columns = [_lists(values, counts, pa.int32()) for values, counts in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *columns[:len(names) - 1]], names)
-                first = last
-
-    kinds = ", ".join(f"{n} array<int>" for n in names[1:])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, {kinds}")
-
-
-def _ends(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values and offsets of a list column."""
-    offsets = np.asarray(column.offsets).astype(np.int64)
-    return np.asarray(column.values)[offsets[0]:offsets[-1]].astype(np.int64), offsets - offsets[0]
-
-
-def _end_links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The id pairs that end together, packed as ``a << 32 | b``, with the bounds of each row's pairs."""
-    a, at_a = _ends(batch.column("a_ids"))
-    b, at_b = _ends(batch.column("b_ids"))
-    group_a, bound = _ends(batch.column("group_a"))
-    group_b, _ = _ends(batch.column("group_b"))
-    # groups fill each row's tokens, so running sums over all rows are places in the flat columns
-    return a[np.cumsum(group_a) - 1] << 32 | b[np.cumsum(group_b) - 1], bound, np.repeat(np.arange(batch.num_rows), np.diff(bound))
-
-
-def pair_counts(rows: DataFrame) -> DataFrame:
+            for first, last, texts in _portions(batch.column(1)):
+                if encoder.full():
+                    encoder.forget()
+                number, bound = encoder.stretches(texts)
+                columns = []
+                for rows in (encoder.ids_a, encoder.ids_b, encoder.group_a, encoder.group_b, encoder.shared):
+                    values, sizes = take_rows(rows.matrix(), number)
+                    total = np.concatenate([[0], np.cumsum(sizes)])
+                    columns.append(_lists(values, np.diff(total[bound]), pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *columns], ["doc_id", *names])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, " + ", ".join(f"{n} array<int>" for n in names))
+
+
+def pair_counts(docs: DataFrame, vocabularies: Vocabularies) -> DataFrame:
     """(pair, links, best): how many end links each pair of ids has, and whether that is the highest of its B id."""
+    models = docs.sparkSession.sparkContext.broadcast(vocabularies)
+
     def run(batches):
-        held: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
-        waiting = 0
+        encoder = models.value.opened()
+        times = np.zeros(0, np.int64)  # of each stretch that the encoder remembers
         for batch in batches:
-            pair, n = np.unique(_end_links(batch)[0], return_counts=True)
-            held.append(pair)
-            sizes.append(n)
-            waiting += len(pair)
-            if waiting > 1 << 20:
-                yield _summed(held, sizes)
-                held, sizes, waiting = [], [], 0
-        if held:
-            yield _summed(held, sizes)
-
-    def _summed(held, sizes):
-        pair, at = np.unique(np.concatenate(held), return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(np.bincount(at, np.concatenate(sizes)).astype(np.int64))], ["pair", "links"])
-
-    counts = rows.select("a_ids", "b_ids", "group_a", "group_b").mapInArrow(run, "pair long, links long").groupBy("pair").agg(F.sum("links").alias("links"))
+            for _, _, texts in _portions(batch.column(0)):
+                if encoder.full():
+                    yield summed(encoder, times)
+                    encoder.forget()
+                    times = times[:0]
+                number, _ = encoder.stretches(texts)
+                own = np.bincount(number, minlength=len(encoder.numbers))
+                own[:len(times)] += times
+                times = own
+        yield summed(encoder, times)
+
+    def summed(encoder, times):
+        some = np.flatnonzero(times)
+        pairs, sizes = take_rows(encoder.pairs.matrix(), some)
+        pair, at = np.unique(pairs, return_inverse=True)
+        links = np.zeros(len(pair), np.int64)
+        np.add.at(links, at, np.repeat(times[some], sizes))
+        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(links)], ["pair", "links"])
+
+    counts = docs.select("text").mapInArrow(run, "pair long, links long").groupBy("pair").agg(F.sum("links").alias("links"))
     counts = stored(counts, "pair-counts")
     token = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     highest = counts.groupBy(token.alias("token")).agg(F.max("links").alias("highest"))
     return stored(counts.withColumn("token", token).join(highest, "token").select("pair", "links", (F.col("links") == F.col("highest")).alias("best")), "pairs")
 
 
-def link_strengths(rows: DataFrame, counts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """``rows`` (with a ``row`` number) reduced to (row, doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)."""
+class Settled:
+    """What the frequent pairs settle of each stretch that an encoder remembers, kept up with it."""
+
+    def __init__(self, encoder: Encoder, pairs: np.ndarray, links: np.ndarray, best: np.ndarray):
+        self.encoder, self.known, self.links, self.best = encoder, pairs, links, best
+        self.sums, self.rest = np.zeros((5, 0), np.int64), Rows(np.int64)
+
+    def sync(self) -> None:
+        encoder = self.encoder
+        n = encoder.pairs.count
+        if n < self.sums.shape[1]:
+            self.sums, self.rest = self.sums[:, :0], Rows(np.int64)
+        done = self.sums.shape[1]
+        if n == done:
+            return
+        new = np.arange(done, n)
+        pair, groups = take_rows(encoder.pairs.matrix(), new)
+        sizes = [np.diff(rows.matrix().indptr[done:]) for rows in (encoder.ids_a, encoder.ids_b)]
+        owner = np.repeat(new - done, groups)
+        best, links, hit = np.zeros(n - done, np.int64), np.zeros(n - done, np.int64), np.zeros(len(pair), bool)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, pair), len(self.known) - 1)
+            hit = self.known[at] == pair
+            np.add.at(best, owner[hit], self.best[at[hit]].astype(np.int64))
+            np.add.at(links, owner[hit], self.links[at[hit]])
+        self.sums = np.concatenate([self.sums, np.stack([*sizes, groups, best, links])], axis=1)
+        self.rest.add(pair[~hit], np.bincount(owner[~hit], minlength=n - done))
+
+
+_SUMS = ("n_a", "n_b", "n_groups", "n_best", "count_sum")
+
+
+def link_strengths(docs: DataFrame, vocabularies: Vocabularies, counts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row of ``docs`` (doc_id, text)."""
     # at most `frequent` rows of three numbers
     top = counts.orderBy(F.desc("links"), "pair").limit(frequent).toPandas().sort_values("pair")
-    known, known_links, known_best = top["pair"].to_numpy(np.int64), top["links"].to_numpy(np.int64), top["best"].to_numpy(bool)
-    kinds = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, rest array<struct<pair:long,n:long>>"
+    known = top["pair"].to_numpy(np.int64), top["links"].to_numpy(np.int64), top["best"].to_numpy(bool)
+    models = docs.sparkSession.sparkContext.broadcast(vocabularies)
     rest_type = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
 
     def run(batches):
+        encoder = models.value.opened()
+        settled = Settled(encoder, *known)
         for batch in batches:
-            pair, bound, owner = _end_links(batch)
-            at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
-            hit = known[at] == pair if len(known) else np.zeros(len(pair), bool)
-            n = batch.num_rows
-            values = np.zeros((2, len(pair) + 1), np.int64)
-            if len(known):
-                values[0, 1:] = known_best[at] & hit
-                values[1, 1:] = known_links[at] * hit
-            sums = np.cumsum(values, axis=1)[:, bound]
-            owner, pair = owner[~hit], pair[~hit]
-            order = np.lexsort((pair, owner))
-            owner, pair = owner[order], pair[order]
-            new = np.ones(len(pair), bool)
-            new[1:] = (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
-            first = np.flatnonzero(new)
-            left, copies = (owner[first], pair[first]), np.diff(np.append(first, len(pair)))
-            each = np.searchsorted(left[0], np.arange(n + 1)).astype(np.int32)
-            rest = pa.ListArray.from_arrays(pa.array(each), pa.StructArray.from_arrays([pa.array(left[1]), pa.array(copies.astype(np.int64))], ["pair", "n"]))
-            (_, at_a), (_, at_b) = _ends(batch.column("a_ids")), _ends(batch.column("b_ids"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), *[pa.array(np.diff(x)) for x in (at_a, at_b, bound, bound)],
-                 *map(pa.array, np.diff(sums, axis=1)), pa.array(_digests(batch)), rest.cast(rest_type)],
-                [k.split(" ")[0] for k in kinds.split(", ")])
-
-    columns = ["n_a", "n_b", "n_groups", "n_links"]
-    near = stored(rows.select("row", "doc_id", "a_ids", "b_ids", "group_a", "group_b").mapInArrow(run, kinds), "settled-links")
+            for first, last, texts in _portions(batch.column(1)):
+                if encoder.full():
+                    encoder.forget()
+                    settled = Settled(encoder, *known)
+                number, bound = encoder.stretches(texts)
+                settled.sync()
+                sums = np.zeros((5, len(number) + 1), np.int64)
+                np.cumsum(settled.sums[:, number], axis=1, out=sums[:, 1:])
+                pair, sizes = take_rows(settled.rest.matrix(), number)
+                total = np.concatenate([[0], np.cumsum(sizes)])
+                owner = np.repeat(np.arange(last - first), np.diff(total[bound]))
+                order = np.lexsort((pair, owner))
+                owner, pair = owner[order], pair[order]
+                new = np.ones(len(pair), bool)
+                new[1:] = (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
+                at = np.flatnonzero(new)
+                each = np.searchsorted(owner[at], np.arange(last - first + 1)).astype(np.int32)
+                copies = np.diff(np.append(at, len(pair)))
+                rest = pa.ListArray.from_arrays(pa.array(each), pa.StructArray.from_arrays([pa.array(pair[at]), pa.array(copies.astype(np.int64))], ["pair", "n"]))
+                text, parts = encoder.groups_text, number.tolist()
+                digests = [hashlib.sha256(";".join([text[k] for k in parts[x:y]]).encode()).hexdigest() if y > x else "" for x, y in zip(bound.tolist(), bound[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, last - first), *map(pa.array, np.diff(sums[:, bound], axis=1)), pa.array(digests, pa.string()), rest.cast(rest_type)],
+                    ["doc_id", *_SUMS, "groups_sha256", "rest"])
+
+    kinds = f"doc_id long, {', '.join(f'{c} long' for c in _SUMS)}, groups_sha256 string, rest array<struct<pair:long,n:long>>"
+    near = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kinds)
+    near = stored(near.withColumn("row", F.monotonically_increasing_id()), "settled-links")
     far = near.select("row", F.explode("rest").alias("r")).select("row", "r.pair", "r.n").join(counts, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("more_best"), F.sum(F.col("n") * F.col("links")).alias("more"))
     nothing = F.lit(0).cast("long")
     return near.drop("rest").join(far, "row", "left").select(
-        "row", "doc_id", *columns, (F.col("n_best") + F.coalesce("more_best", nothing)).alias("n_best"),
+        "doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), (F.col("n_best") + F.coalesce("more_best", nothing)).alias("n_best"),
         (F.col("count_sum") + F.coalesce("more", nothing)).alias("count_sum"), "groups_sha256")
 
 
-def _digests(batch: pa.RecordBatch) -> list[str]:
-    """Each row's groups as text, hashed; empty without tokens."""
-    out = []
-    for a, b, of_a, of_b in zip(*[batch.column(c).to_pylist() for c in ("a_ids", "b_ids", "group_a", "group_b")]):
-        if not a:
-            out.append("")
-            continue
-        a, b = list(map(str, a)), list(map(str, b))
-        groups, i, j = [], 0, 0
-        for n, m in zip(of_a, of_b):
-            groups.append(f"{a[i]}|{b[j]}" if n == 1 == m else f"{','.join(a[i:i + n])}|{','.join(b[j:j + m])}")
-            i += n
-            j += m
-        out.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
-    return out
-
-
 def token_alignment(docs: DataFrame, vocabularies: Vocabularies, *, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every row of ``docs`` (doc_id, text)."""
-    rows = stored(alignments(docs, vocabularies, links=False).withColumn("row", F.monotonically_increasing_id()), "alignments")
-    return link_strengths(rows, pair_counts(rows), frequent).drop("row")
+    """Counts of tokens, groups and links of every row of ``docs``, how common its links are, and a digest of its groups."""
+    return link_strengths(docs, vocabularies, pair_counts(docs, vocabularies), frequent)

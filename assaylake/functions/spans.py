@@ -95,32 +95,51 @@ def _has(text: str, look: str) -> str:
     return f"contains({text}, '{look}')" if plain else f"{text} rlike {_quoted(look)}"
 
 
+# ``aggregate`` copies its state at every step, so nothing below lets a state grow with the number of hits.
+
+def _running(values: str, start: str, step: str) -> str:
+    """Running totals of an array, each with its own value: by blocks as long as there are blocks."""
+    def total(part: str, first: str) -> str:
+        return f"aggregate({part}, {first}, {step})"
+
+    blocks = "sequence(0, (size(v) - 1) div b)"
+    within = f"transform(slice(v, j * b + 1, b), (x, i) -> {total('slice(v, j * b + 1, i + 1)', total('slice(t, 1, j)', start))})"
+    sums = f"transform({blocks}, j -> {total('slice(v, j * b + 1, b)', start)})"
+    by_block = f"transform(array({sums}), t -> flatten(transform(t, (s, j) -> {within})))[0]"
+    sized = f"transform(array(cast(ceil(sqrt(size(v))) as int)), b -> {by_block})[0]"
+    return f"transform(array({values}), v -> if(size(v) = 0, cast(array() as array<int>), {sized}))[0]"
+
+
+_LAST_WORDS = _quoted(rf"^\w*(?:\W+\w+){{0,{CONTEXT_WORDS}}}")
+_ENOUGH = _quoted(rf"^\w*(?:\W+\w+){{{CONTEXT_WORDS}}}\W")
+_NEAR = 8  # stretches between hits that are looked at for context words before the whole text is
+
+
 def _score(text: str, start: str, recognizer: Recognizer) -> str:
+    """The score of hit ``i`` of ``z``, by the words before it."""
     base = f"{recognizer.score}D"
     if not recognizer.context:
         return base
     boosted = min(1.0, max(recognizer.score + BOOST, BOOST_FLOOR))
-    # `start` is zero based, so it is also the number of characters before the hit; read backwards, the last words
-    # come first, however long they are and wherever the hit lies
-    before = f"reverse(left({text}, {start}))"
-    last_words = _quoted(rf"^\w*(?:\W+\w+){{0,{CONTEXT_WORDS}}}")
-    found = f"lower(reverse(regexp_extract({before}, {last_words}, 0))) rlike {_quoted('|'.join(recognizer.context))}"
+    first = f"greatest(i - {_NEAR - 1}, 0)"
+    between = f"slice(z.p, {first} + 1, i - {first} + 1)"
+    near = f"reverse(array_join(zip_with({between}, slice(z.h, {first} + 1, i - {first}), (p, h) -> concat(p, coalesce(h, ''))), ''))"
+    # read backwards the last words come first; if they may go on before the stretches at hand, all text before the hit is read
+    before = f"transform(array({near}), n -> if({first} = 0 or n rlike {_ENOUGH}, n, reverse(left({text}, {start}))))[0]"
+    found = f"lower(reverse(regexp_extract({before}, {_LAST_WORDS}, 0))) rlike {_quoted('|'.join(recognizer.context))}"
     return f"if({found}, {boosted}D, {base})"
 
 
 def _hits(text: str, recognizer: Recognizer) -> str:
     """Every hit of one recognizer in the whole text."""
     pattern = _quoted(recognizer.pattern)
-    start = "state.at + length(piece.`0`)"
-    end = f"{start} + length(piece.`1`)"
-    span = (f"named_struct('entity', {literal(recognizer.entity)}, 'start', {start}, 'end', {end}, "
+    sizes = "zip_with(z.h, slice(z.p, 1, size(z.h)), (h, p) -> length(h) + length(p))"
+    start = "(ends[i] - length(hit))"
+    span = (f"named_struct('entity', {literal(recognizer.entity)}, 'start', {start}, 'end', ends[i], "
             f"'score', {_score(text, start, recognizer)})")
     spans = (
-        f"aggregate(arrays_zip(split({text}, {pattern}, -1), regexp_extract_all({text}, {pattern}, 0)), "
-        f"named_struct('at', 0, 'found', {_NONE}), "
-        f"(state, piece) -> if(piece.`1` is null, state, "
-        f"named_struct('at', {end}, 'found', concat(state.found, array({span})))), "
-        f"state -> state.found)")
+        f"transform(array(named_struct('p', split({text}, {pattern}, -1), 'h', regexp_extract_all({text}, {pattern}, 0))), z -> "
+        f"transform(array({_running(sizes, '0', '(a, x) -> a + x')}), ends -> transform(z.h, (hit, i) -> {span}))[0])[0]")
     return f"if({_has(text, recognizer.needs)}, {spans}, {_NONE})" if recognizer.needs else spans
 
 
@@ -131,14 +150,17 @@ def _merged(spans: str) -> str:
     """
     ordered = (f"array_sort(transform({spans}, s -> named_struct('start', s.start, 'rank', -s.score, "
                f"'end', s.end, 'entity', s.entity, 'score', s.score)))")
-    fresh = "named_struct('entity', s.entity, 'start', s.start, 'end', s.end, 'score', s.score)"
-    last = "element_at(done, -1)"
-    joined = (f"named_struct('entity', if({last}.score >= s.score, {last}.entity, s.entity), 'start', {last}.start, "
-              f"'end', greatest({last}.end, s.end), 'score', greatest({last}.score, s.score))")
-    overlaps = f"(size(done) > 0 and s.start < {last}.end)"
-    step = (f"(done, s) -> if({overlaps}, concat(slice(done, 1, size(done) - 1), array({joined})), "
-            f"concat(done, array({fresh})))")
-    return f"if(size({spans}) > 1, aggregate({ordered}, {_NONE}, {step}), {spans})"
+    fresh = f"cast(named_struct('entity', s.entity, 'start', s.start, 'end', s.end, 'score', s.score) as {SPAN_TYPE})"
+    apart = "not exists(zip_with(slice(o, 1, size(o) - 1), slice(o, 2, size(o)), (s, t) -> t.start < s.end), f -> f)"
+    joined = (f"cast(named_struct('entity', if(m.score >= s.score, m.entity, s.entity), 'start', least(m.start, s.start), "
+              f"'end', greatest(m.end, s.end), 'score', greatest(m.score, s.score)) as {SPAN_TYPE})")
+    reach = _running("transform(o, s -> s.end)", "-1", "(a, x) -> greatest(a, x)")
+    # groups of spans that overlap begin where a span starts behind all before it
+    begins = f"transform(array({reach}), r -> filter(sequence(1, size(o)), k -> k = 1 or o[k - 1].start >= r[k - 2]))[0]"
+    group = "slice(o, g, coalesce(get(gs, n + 1), size(o) + 1) - g)"
+    one = f"aggregate({group}, cast(null as {SPAN_TYPE}), (m, s) -> if(m is null, {fresh}, {joined}))"
+    groups = f"transform(array({begins}), gs -> transform(gs, (g, n) -> {one}))[0]"
+    return (f"if(size({spans}) > 1, transform(array({ordered}), o -> if({apart}, transform(o, s -> {fresh}), {groups}))[0], {spans})")
 
 
 def merged(spans: str) -> Column:

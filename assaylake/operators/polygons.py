@@ -13,18 +13,12 @@ from pyspark.sql import functions as F
 
 from assaylake.functions import geo
 from assaylake.operators.joins import cells_of
-from assaylake.session import scratch_dir
+from assaylake.session import stored
 
 STRIP_EDGES = 32  # edges of a polygon in one strip of a pair, about
 TOLERANCE = 1e-9  # of the smaller polygon's area: less counts as rounding
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _turn(xs: Column, ys: Column) -> Column:
     """Twice the signed area of a ring; positive if it runs against the clock."""
     steps = F.sequence(F.lit(2), F.size(xs))
@@ -113,16 +107,16 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
     """
     g = F.col(shape)
     usable = df.where(F.col(key).isNotNull() & g["kind"].isin("Polygon", "MultiPolygon") & ~geo.is_missing(g))
-    rows = _stored(usable.select(F.col(key).alias("_key"), F.xxhash64(g["xs"], g["ys"]).alias("_look"), g.alias("geom")), "polygons")
+    rows = stored(usable.select(F.col(key).alias("_key"), F.xxhash64(g["xs"], g["ys"]).alias("_look"), g.alias("geom")), "polygons")
     own = rows.groupBy("_look", F.struct("geom.xs", "geom.ys").alias("_same")).agg(
         F.min("_key").alias("key"), F.count("*").alias("copies"), F.min("geom.kind").alias("kind"))
     own = own.select("key", "copies", F.struct("kind", F.col("_same.xs").alias("xs"), F.col("_same.ys").alias("ys")).alias("geom"))
-    own = _stored(own, "distinct-polygons")
+    own = stored(own, "distinct-polygons")
     extent = geo.bounds(F.struct("geom.kind", F.lit(0).alias("srid"), "geom.xs", "geom.ys"))
     count = F.aggregate("geom.xs", F.lit(0), lambda n, x: n + F.size(x))
     sizes = own.select("key", "copies", count.alias("edges"), geo.area(F.col("geom")).alias("_area"), extent.alias("_e")).select("key", "copies", "edges", "_area", "_e.*")
-    sizes = _stored(sizes.where("xmin < xmax and ymin < ymax"), "extents")
-    sides = _stored(edges(own, "key"), "edges")
+    sizes = stored(sizes.where("xmin < xmax and ymin < ymax"), "extents")
+    sides = stored(edges(own, "key"), "edges")
     sides = sides.where("ax < bx")
     placed, seekers = cells_of(sizes.select("key", "xmin", "ymin", "xmax", "ymax"))
 
@@ -141,7 +135,7 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
         return found.select(F.explode(F.array("a", "b")).alias("key")).distinct()
 
     heaps = sizes.where("copies > 1").where("_area > 0").select("key")
-    first = _stored(hits(near).unionByName(heaps).distinct(), "overlapping-first")
+    first = stored(hits(near).unionByName(heaps).distinct(), "overlapping-first")
     still = sizes.select("key").join(first, "key", "left_anti")
     one, two = seekers.alias("s"), placed.alias("p")
     meets = [F.col(f"s.{c}") == F.col(f"p.{c}") for c in cell] + [
@@ -155,8 +149,8 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
         open_side = {"s": one, "p": two}[side].join(still.withColumnRenamed("key", "_open"), F.col(f"{side}.key") == F.col("_open"), "left_semi").alias(side)
         pair = (open_side.join(two, condition) if side == "s" else one.join(open_side, condition))
         found.append(pair.select(F.least("s.key", "p.key").alias("a"), F.greatest("s.key", "p.key").alias("b")))
-    rest = _stored(found[0].unionByName(found[1]).distinct(), "open-pairs")
-    hit = _stored(first.unionByName(hits(rest)).distinct(), "overlapping")
+    rest = stored(found[0].unionByName(found[1]).distinct(), "open-pairs")
+    hit = stored(first.unionByName(hits(rest)).distinct(), "overlapping")
     # back to all copies of a shape
     shapes = own.join(hit, "key", "left_semi").select(F.xxhash64("geom.xs", "geom.ys").alias("_look"), F.struct("geom.xs", "geom.ys").alias("_same"))
     again = rows.withColumn("_same", F.struct("geom.xs", "geom.ys"))

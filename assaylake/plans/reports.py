@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.plans.medallion import PASS
+from assaylake.session import stored
 
 
 def violations(silver: DataFrame, digits: int = 2) -> DataFrame:
@@ -65,23 +66,50 @@ def run_statistics(runs: DataFrame, since: Column, dataset: str, status: str, at
 POINTS = (0.5, 0.95, 0.99)
 
 
-def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, points: Sequence[float] = POINTS) -> DataFrame:
-    """Interpolated percentiles per group, exact, as columns ``q0, q1, ..``.
+RANGES = 64  # parts a span of values is cut into at a time
+SPAN_VALUES = 1_000_000  # distinct values of a span that one task may put in order
 
-    Equal values are counted first; positions then come from a running total over the distinct
-    values, so no group is held in memory.
+
+def exact_percentiles(df: DataFrame, groups: Sequence[str], value: str, points: Sequence[float] = POINTS,
+                      span_values: int = SPAN_VALUES) -> DataFrame:
+    """Interpolated percentiles per group, exact, as columns ``q0, q1, ..``. Null values are left out.
+
+    Distributed selection: equal values are counted first. While a span holds more than ``span_values`` distinct values, quantile
+    sketches cut it into ranges, the values of each range are counted, and only ranges that hold a wanted position go on. The rows
+    that are left are put in order span by span, so no task ever holds a group.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*groups).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    totals = counted.groupBy(*groups).agg(F.sum("_c").alias("_n"))
-    placed = counted.withColumn("_upto", upto).join(totals, list(groups))
-    at = {f"q{i}": (F.col("_n") - 1) * F.lit(float(p)) for i, p in enumerate(points)}
-    ends = [F.min(F.when(F.col("_upto") > edge(pos), F.col("_v"))).alias(f"_{side}{name}")
-            for name, pos in at.items() for side, edge in (("lo", F.floor), ("hi", F.ceil))]
-    cut = placed.groupBy(*groups, "_n").agg(*ends)
-    return cut.select(*groups, *[
-        (F.col(f"_lo{name}") + (F.col(f"_hi{name}") - F.col(f"_lo{name}")) * (pos - F.floor(pos))).cast("double").alias(name)
-        for name, pos in at.items()])
+    keys = [f"_g{i}" for i in range(len(groups))]
+    counted = df.where(F.col(value).isNotNull()).groupBy(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    # a group that is null must still meet itself
+    id_ = F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
+    members = stored(counted.withColumns({"_id": F.struct(id_.alias("h"), *keys).cast("string"), "_span": F.lit(0).cast("decimal(38,0)")}), "values")
+    total = stored(members.groupBy("_id", *keys).agg(F.sum("_c").alias("_n")), "totals")
+    position = F.col("_n") - 1
+    wanted = [(i, side, edge(position * F.lit(float(p)))) for i, p in enumerate(points) for side, edge in (("lo", F.floor), ("hi", F.ceil))]
+    targets = total.select("_id", F.lit(0).cast("decimal(38,0)").alias("_span"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("point"), F.lit(side).alias("side"), at.cast("long").alias("at")) for i, side, at in wanted])).alias("_t")).select("_id", "_span", "_t.*")
+    targets = stored(targets, "positions")
+    part = ["_id", "_span"]
+    while (members.groupBy(*part).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) > span_values:
+        cuts = members.groupBy(*part).agg(F.percentile_approx("_v", F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(10 * RANGES)).alias("_cuts"))
+        ranged = members.join(cuts, part).withColumn("_r", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+        ranged = stored(ranged, "ranges")
+        counts = ranged.groupBy(*part, "_r").agg(F.sum("_c").alias("_held"))
+        # at most RANGES rows for each span
+        before = F.sum("_held").over(Window.partitionBy(*part).orderBy("_r")) - F.col("_held")
+        inside = targets.join(counts.withColumn("_before", before), part).where((F.col("at") >= F.col("_before")) & (F.col("at") < F.col("_before") + F.col("_held")))
+        finer = (F.col("_span") * RANGES + F.col("_r") + 1).cast("decimal(38,0)")
+        targets = stored(inside.select("_id", finer.alias("_span"), "point", "side", (F.col("at") - F.col("_before")).alias("at")), "positions")
+        members = stored(ranged.withColumn("_span", finer).drop("_r").join(targets.select(*part).distinct(), part, "left_semi"), "values")
+    upto = F.sum("_c").over(Window.partitionBy(*part).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = members.withColumn("_upto", upto).join(targets, part).where((F.col("_upto") > F.col("at")) & (F.col("_upto") - F.col("_c") <= F.col("at")))
+    found = placed.groupBy("_id").agg(*[F.max(F.when((F.col("point") == i) & (F.col("side") == side), F.col("_v"))).alias(f"_{side}{i}") for i, side, _ in wanted])
+
+    def between(i: int, p: float) -> Column:
+        share = position * F.lit(float(p)) - F.floor(position * F.lit(float(p)))
+        return (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share).cast("double").alias(f"q{i}")
+
+    return total.join(found, "_id").select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], *[between(i, p) for i, p in enumerate(points)])
 
 
 def duration_metrics(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "assaylake", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +43,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="assaylake-")
     return os.path.join(base, "assaylake", f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table under the shared folder and read it back, so that a lost executor costs no more than it."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

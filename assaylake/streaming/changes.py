@@ -127,6 +127,34 @@ def windowed_counts(events: DataFrame, at: str, kinds: str, wanted: Sequence[str
         F.col("w.start").alias("window_start"), kinds, "n")
 
 
+WINDOW_COUNTS = "window_start timestamp, kind string, n bigint"
+
+
+def run_window_counts(events: DataFrame, at: str, kinds: str, path: str, checkpoint: str, wanted: Sequence[str] | None = None,
+                      window: str = "5 minutes", every: str | None = None) -> StreamingQuery:
+    """Collect events in batches (``every``, such as ``300 seconds``) and write what each adds to its windows.
+
+    A batch writes one row per window and kind it touched, under a partition of its run and epoch, so a retried batch replaces itself.
+    Every window can be read at once with ``window_totals``, the last ones too, and events of any age amend theirs; nothing is
+    held between batches. Without ``every`` it takes what is there and stops.
+    """
+    run = f"run-{uuid.uuid4().hex}"
+    rows = events.filter(F.col(kinds).isin(list(wanted))) if wanted else events
+
+    def add(batch: DataFrame, epoch: int) -> None:
+        counts = batch.where(F.col(at).isNotNull()).groupBy(F.window(at, window).alias("w"), F.col(kinds).cast("string").alias("kind")).agg(F.count("*").alias("n"))
+        counts.select(F.col("w.start").alias("window_start"), "kind", "n", F.lit(run).alias(RUN), F.lit(epoch).alias(EPOCH)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(RUN, EPOCH).parquet(path)
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def window_totals(spark: SparkSession, path: str) -> DataFrame:
+    """(window_start, kind, n): all counts written so far."""
+    return spark.read.schema(f"{WINDOW_COUNTS}, {RUN} string, {EPOCH} bigint").parquet(path).groupBy("window_start", "kind").agg(F.sum("n").alias("n"))
+
+
 def run_append(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append finished rows of a stream to a Parquet table."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")

@@ -1,5 +1,7 @@
 """Small invented inputs. Only column names and permitted values are given; rows are made up here."""
 
+from assaylake.catalogue import CRITICAL_FACILITIES
+
 CSV_COLUMNS = ["Proj_ID", "Program", "Project Title", "PI Name", "Start_Date (mm/dd/yyyy)",
                "End_Date (mm/dd/yyyy)", "Budget Allocated (Php)", "Budget Utilized (Php)", "Status", "Fund Source"]
 HEADER = ",".join(CSV_COLUMNS)
@@ -29,18 +31,25 @@ def write_csv(path, lines):
     path.write_text("\n".join([HEADER, *lines]) + "\n", encoding="utf-8")
 
 
-PEOPLE = [
-    ("k10", "Lantern Bay Clinic", "Pier 9, Harbour Walk", "Region VII", "Corazon Abad", "0945 310 7788",
-     "c.abad@mail.example.com", "Ask for Dr. Corazon Abad, mobile 0945 310 7788, before noon"),
-    ("k20", "Old Mill Library", "3 Weaver Row", "Region XI", "Ignacio Belen", "0966 204 1590",
-     "belen@office.example.net", "Write to belen@office.example.net; his TIN 604-118-273-001"),
-    ("k30", "Upper Field Depot", "Km 12, Ridge Road", "Region VII", "Corazon Abad", "0945 310 7788",
-     "c.abad@mail.example.com", "Gate code is with the guard"),
-    ("k40", "Quarry View Hall", "71 Stone Lane", "CAR", "Rosalinda Tan", "(02) 7045 2213", "tan.r@example.com", ""),
-]
+# Each kind of finding stands in a contact column, in a remark, or in both; one person stands twice, one remark is empty.
+_MAILBOXES = ["desk@ferry.example.net", "amihan@clinic.example.org", "b.cruz@example.com", "lim.e@mail.example.com"]
+_CONTACTS = {  # person: phone, e-mail
+    "Amihan Soriano": ("(02) 8123 4567", _MAILBOXES[1]),
+    "Bayani Cruz": ("0917 555 0199", _MAILBOXES[2]),
+    "Ekaterina Lim": ("+63 918 000 4321", _MAILBOXES[3]),
+}
+_REMARKS = {
+    "p5": "Parcels for SSS 34-5678901-2 go upstairs",
+    "p2": "Second desk: Atty. Luz Vera, phone 0928 777 1234; tin 111-222-333",
+    "p9": "Copies to " + _MAILBOXES[0],
+    "p7": "Closed on Mondays",
+    "p3": "",
+}
+_WHO = {"p2": "Bayani Cruz", "p3": "Ekaterina Lim", "p5": "Amihan Soriano", "p7": "Amihan Soriano", "p9": "Ekaterina Lim"}
+PEOPLE = [(i, f"Office {i}", f"Floor {n}, Tower {i}", f"Region {n % 3}", who, *_CONTACTS[who], _REMARKS[i])
+          for n, (i, who) in enumerate(_WHO.items())]
 PEOPLE_COLUMNS = ["feature_id", "name", "address", "region", "contact_person", "contact_phone", "contact_email", "remarks"]
-SECRETS = ["Corazon", "Abad", "Ignacio Belen", "Rosalinda Tan", "0945 310 7788", "0966 204 1590", "(02) 7045 2213",
-           "c.abad@mail.example.com", "belen@office.example.net", "tan.r@example.com", "604-118-273-001"]
+SECRETS = [*_CONTACTS, *(c for pair in _CONTACTS.values() for c in pair), _MAILBOXES[0], "34-5678901-2", "Luz Vera", "0928 777 1234", "111-222-333"]
 PEOPLE_POLICY = {
     "columns": {
         "remarks": {"serving": "replace_in_text"}, "contact_phone": {"serving": "mask_last3"},
@@ -49,17 +58,12 @@ PEOPLE_POLICY = {
     "skip_columns": ["name", "address"], "score_threshold": 0.4, "scan": "all_text",
 }
 
+# two places for every permitted kind, on a line across the permitted box; every third has a remark
+_KINDS = CRITICAL_FACILITIES["attributes"]
+FACILITY_KINDS = sorted(next(a["permissible_values"] for a in _KINDS if a["name"] == "facility_type"))
 FACILITIES = [
-    ("S-71", "Lantern Bay Clinic", "hospital", "Pier 9, Harbour Walk", 119.512, 10.044, "Corazon Abad", "0945 310 7788",
-     "c.abad@mail.example.com", "Ask for Dr. Corazon Abad, mobile 0945 310 7788"),
-    ("S-72", "Old Mill School", "school", "3 Weaver Row", 120.301, 16.287, "Ignacio Belen", "0966 204 1590",
-     "belen@office.example.net", "Write to belen@office.example.net; his TIN 604-118-273-001"),
-    ("S-73", "Quarry View Hall", "government", "71 Stone Lane", 122.874, 11.916, "Rosalinda Tan", "(02) 7045 2213",
-     "tan.r@example.com", "Gate code is with the guard"),
-    ("S-74", "Ferry Ticket Hall", "government", "Old Quay 2", 124.405, 8.333, "Benigno Uy", "0927 881 0346",
-     "uy.b@example.net", "Spare keys: mobile 0918 450 7721"),
-    ("S-75", "Ridge Road Clinic", "hospital", "Km 14, Ridge Road", 125.077, 6.412, "Perla Dizon", "0953 667 1208",
-     "perla@example.org", ""),
-]
+    (f"T{n:02d}", f"Site {n}", kind, f"Lot {n}", 118.0 + n / 2, 6.0 + n / 2, who, *_CONTACTS[who], _REMARKS[("p9", "p2", "p7")[n // 3 % 3]] if n % 3 == 1 else "")
+    for n, (kind, who) in enumerate((kind, list(_CONTACTS)[i % 3]) for i, kind in enumerate(FACILITY_KINDS * 2))]
+FACILITY_VAULT = sum(3 + bool(f[-1]) for f in FACILITIES)
 FACILITY_SCHEMA = ("facity_Id string, name string, facility_t string, address string, lon double, lat double, "
                    "contact_pe string, contact_ph string, contact_em string, remarks string")

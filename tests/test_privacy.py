@@ -39,11 +39,11 @@ def test_serving_copy(people, guard):
     assert not [s for s in SECRETS if s in blob]
     for before in people.collect():
         assert all(rows[before["feature_id"]][c] == before[c] for c in ("name", "address", "region"))
-    assert rows["k10"]["contact_person"] == rows["k30"]["contact_person"] != rows["k20"]["contact_person"]
-    assert rows["k10"]["contact_email"] == "c***@mail.example.com" and rows["k10"]["contact_phone"] == "**** *** *788"
-    assert rows["k10"]["remarks"] == "Ask for <PERSON>, mobile <PH_PHONE>, before noon"
-    assert rows["k20"]["remarks"] == "Write to <EMAIL_ADDRESS>; his TIN <PH_TIN>"
-    assert rows["k40"]["remarks"] == ""
+    assert rows["p5"]["contact_person"] == rows["p7"]["contact_person"] != rows["p2"]["contact_person"]
+    assert rows["p5"]["contact_email"] == "a***@clinic.example.org" and rows["p2"]["contact_phone"] == "**** *** *199"
+    assert rows["p2"]["remarks"] == "Second desk: <PERSON>, phone <PH_PHONE>; tin <PH_TIN>"
+    assert rows["p5"]["remarks"] == "Parcels for SSS <PH_SSS> go upstairs" and rows["p9"]["remarks"] == "Copies to <EMAIL_ADDRESS>"
+    assert rows["p3"]["remarks"] == "" and rows["p7"]["remarks"] == "Closed on Mondays"
 
 
 def test_pseudonym_is_a_keyed_hash(people, ring):
@@ -59,28 +59,28 @@ def test_pseudonym_is_a_keyed_hash(people, ring):
 
 def test_vault(people, guard, ring):
     vault = guard.vault.collect()
-    assert len(vault) == 15 and all(v["ciphertext"].startswith("vault:v1:") and v["key_version"] == 1 for v in vault)
+    assert len(vault) == 19 and all(v["ciphertext"].startswith("vault:v1:") and v["key_version"] == 1 for v in vault)
     open_ = {(r["record_id"], r["column_name"]): r["value"] for r in pii.revealed(guard.vault, ring).collect()}
     for row in people.collect():
         for c in ("contact_person", "contact_phone", "contact_email"):
             assert open_[(row["feature_id"], c)] == row[c]
-    assert open_[("k10", "remarks")] == PEOPLE[0][-1]
-    assert open_[("k20", "remarks")] == "Write to belen@office.example.net; his TIN <PH_TIN>"
-    assert ("k40", "remarks") not in open_
-    some = pii.revealed_by_record(guard.vault, ring, ["k10"], ["contact_email"]).collect()
-    assert [(r["record_id"], r["contacts"]) for r in some] == [("k10", {"contact_email": "c.abad@mail.example.com"})]
+    assert open_[("p9", "remarks")] == "Copies to desk@ferry.example.net"
+    assert open_[("p2", "remarks")] == "Second desk: Atty. Luz Vera, phone 0928 777 1234; tin <PH_TIN>"
+    assert ("p3", "remarks") not in open_
+    some = pii.revealed_by_record(guard.vault, ring, ["p5"], ["contact_email"]).collect()
+    assert [(r["record_id"], r["contacts"]) for r in some] == [("p5", {"contact_email": "amihan@clinic.example.org"})]
 
 
 def test_findings_hold_no_text(guard):
     found = [r.asDict() for r in guard.findings.collect()]
     assert not [s for s in SECRETS if s in json.dumps(found)]
     by = {(r["column"], r["entity"]): r for r in found}
-    assert by[("contact_person", "declared")]["count"] == 4 and by[("remarks", "declared")]["count"] == 3
-    assert by[("remarks", "PH_TIN")]["max_score"] == 0.95  # 'TIN' right before it
+    assert by[("contact_person", "declared")]["count"] == 5 and by[("remarks", "declared")]["count"] == 4
+    assert by[("remarks", "PH_TIN")]["max_score"] == 0.95  # 'tin' right before it
     tags = {r["column"]: r["tag"] for r in catalog.column_tags(guard.findings).collect()}
     assert tags == {"contact_person": "pii_pseudonymized", "contact_email": "pii_masked", "contact_phone": "pii_masked", "remarks": "pii_text_redacted"}
     stats = guard.stats.first()
-    assert stats["rows"] == 4 and stats["vault_rows"] == 15
+    assert stats["rows"] == 5 and stats["vault_rows"] == 19
     assert stats["columns_protected"] == ["contact_email", "contact_person", "contact_phone", "remarks"]
 
 
@@ -96,7 +96,7 @@ def test_roles_and_missing_keys(spark, people, guard, ring):
         pii.revealed(guard.vault, writer)
     with pytest.raises(PermissionError):
         pii.protect(people, policy, "feature_id", KeyRing(spark, HMAC, ENC, can_encrypt=False))
-    assert pii.revealed(guard.vault, reader).count() == 15
+    assert pii.revealed(guard.vault, reader).count() == 19
     with pytest.raises(MissingKey):
         pii.protect(people, policy, "feature_id", KeyRing(spark, None, ENC))
     with pytest.raises(MissingKey):
@@ -117,9 +117,9 @@ def test_rotation_and_erasure(spark, guard):
     fresh = pii.rotated(guard.vault, newer)
     assert {r["key_version"] for r in fresh.collect()} == {2}
     only_new = KeyRing(spark, HMAC, {2: b"fedcba9876543210"})
-    assert pii.revealed(fresh, only_new, ["k10"], ["contact_person"]).first()["value"] == "Corazon Abad"
-    gone = pii.erased(guard.vault, spark.createDataFrame([("k10",)], "id string"))
-    assert gone.filter("record_id = 'k10'").count() == 0 and gone.count() == 11
+    assert pii.revealed(fresh, only_new, ["p5"], ["contact_person"]).first()["value"] == "Amihan Soriano"
+    gone = pii.erased(guard.vault, spark.createDataFrame([("p5",)], "id string"))
+    assert gone.filter("record_id = 'p5'").count() == 0 and gone.count() == 15
     assert fresh.select(key_version(F.col("ciphertext"))).distinct().count() == 1
 
 
@@ -147,7 +147,7 @@ def test_vault_false_redact_and_declared_only(people, ring):
     out = pii.protect(people, policy, "feature_id", ring)
     assert {r[0] for r in out.serving.select("contact_person").collect()} == {"[REDACTED]"}
     assert {r["column_name"] for r in out.vault.collect()} == {"contact_email"}
-    assert out.serving.filter("feature_id = 'k10'").first()["remarks"] == PEOPLE[0][-1]
+    assert out.serving.filter("feature_id = 'p2'").first()["remarks"] == PEOPLE[0][-1]
     with pytest.raises(ValueError):
         pii.protect(people, pii.policy_from({"columns": {"nope": {"serving": "mask"}}}), "feature_id", ring)
     with pytest.raises(ValueError):
@@ -156,12 +156,12 @@ def test_vault_false_redact_and_declared_only(people, ring):
 
 def test_pluggable_analyzer(people, ring):
     def analyze(text):
-        return [("PERSON", m.start(), m.end(), 0.9) for m in re.finditer("noon|Write", text)] + [("PERSON", 0, 4, 0.1)]
+        return [("PERSON", m.start(), m.end(), 0.9) for m in re.finditer("Mondays|Parcels", text)] + [("PERSON", 0, 4, 0.1)]
 
     policy = pii.policy_from({"skip_columns": ["name", "address"], "columns": {}})
     out = pii.protect(people, policy, "feature_id", ring, pii.udf_detector(analyze, policy))
     rows = {r["feature_id"]: r["remarks"] for r in out.serving.collect()}
-    assert rows["k10"].endswith("before <PERSON>") and rows["k20"].startswith("<PERSON> to belen")
+    assert rows["p7"].endswith("on <PERSON>") and rows["p5"].startswith("<PERSON> for SSS")
 
 
 def _merged_by_hand(spans):

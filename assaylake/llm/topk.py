@@ -10,7 +10,8 @@
 * Queries meet buckets in blocks of ``block_rows``, as the query set grows with the table.
 
 Vectors that are null or hold null or non-finite components take no part, as queries or as candidates; vectors
-of different sizes do not meet. A row is no candidate of its own ``vec_id``. Ties go to the smaller ``vec_id``.
+of different sizes do not meet. A row is no candidate of its own ``vec_id``. Ties go to the smaller ``vec_id``. Repeated rows are
+queries, and candidates, each on their own. Vectors so long that a product could leave 64 bits end the query with an error.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STEP = 1.1
 FOCUS = 3  # coordinates looked at
 COORDINATE_FROM = 0.3  # local cosine threshold from which coordinates prune better than length
+LONGEST = 3.0e9  # of a vector of whole numbers
 _SLACK = 1e-9
 
 
@@ -39,9 +41,12 @@ def _whole(vectors: DataFrame, scale: int) -> DataFrame:
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     v = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")))
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), v.alias("v"))
-            .withColumn("size", F.sqrt(squares)))
+    own = (vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
+           .select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), v.alias("v"))
+           .withColumn("size", F.sqrt(squares)))
+    # no product exceeds that of two lengths
+    too_long = F.raise_error(F.concat(F.lit("products of vector "), "vec_id", F.lit(" may leave 64 bits"))).cast("double")
+    return own.withColumn("size", F.when(F.col("size") < LONGEST, F.col("size")).otherwise(too_long))
 
 
 def best_in_bucket(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
@@ -93,28 +98,27 @@ def _matrix(column) -> np.ndarray:
 
 
 def _met(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the best k of each query in each (bucket, block) both sides share."""
+    """(ask, query_id, vec_id, score): the best k of each query in each (bucket, block) both sides share."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        out = ([], [], [], [])
         if left.num_rows and right.num_rows:
-            asked = np.asarray(left.column("query_id"))
+            asked, number = np.asarray(left.column("query_id")), np.asarray(left.column("ask"))
             for row, ids, scores in best_in_bucket(
                     np.asarray(right.column("vec_id")), _matrix(right.column("v")), asked, _matrix(left.column("q")),
                     np.asarray(left.column("floor")), k):
-                out[0].append(np.full(len(ids), asked[row]))
-                out[1].append(ids)
-                out[2].append(scores)
+                for column, values in zip(out, (np.full(len(ids), number[row]), np.full(len(ids), asked[row]), ids, scores)):
+                    column.append(values)
         arrays = [pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)) for x in out]
-        return pa.table(arrays, ["query_id", "vec_id", "score"])
+        return pa.table(arrays, ["ask", "query_id", "vec_id", "score"])
 
     keys = ["dim", "class", "part", "block"]
-    return (queries.select(*keys, "query_id", "q", "floor").groupBy(*keys)
+    return (queries.select(*keys, "ask", "query_id", "q", "floor").groupBy(*keys)
             .cogroup(candidates.select(*keys, "vec_id", "v").groupBy(*keys))
-            .applyInArrow(run, "query_id long, vec_id long, score long"))
+            .applyInArrow(run, "ask long, query_id long, vec_id long, score long"))
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -134,18 +138,25 @@ def top_k(vectors: DataFrame, asked: Column, k: int = 10, *, scale: int = 1024,
     blocks = max(1, -(-queries.count() // block_rows))
     queries = queries.select("dim", F.col("vec_id").alias("query_id"), F.col("v").alias("q"), "size",
                              F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"))
-    queries = stored(queries, "query-vectors")
-    in_blocks = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    queries = stored(queries.withColumn("ask", F.monotonically_increasing_id()), "query-vectors")
+
+    def wanted(asking: DataFrame) -> DataFrame:
+        """The buckets with a copy for each block of queries that asks for them."""
+        keys = ["dim", "class", "part", "block"]
+        blocks = asking.select(*[F.col(c).alias(f"_{c}") for c in keys]).distinct().toDF(*[f"_{c}" for c in keys])
+        fits = (F.col("dim") == F.col("_dim")) & (F.col("class") == F.col("_class")) & (F.col("part") == F.col("_part"))
+        return rows.join(blocks, fits).select(*keys[:3], F.col("_block").alias("block"), "vec_id", "v")
 
     top = classes.groupBy("dim").agg(F.max("class").alias("class"))
     first = queries.join(top, "dim").select("*", F.lit(0).alias("part"), F.lit(-(1 << 62)).cast("long").alias("floor"))
-    start = _ranked(_met(first, in_blocks.where("part = 0").join(top, ["dim", "class"], "left_semi"), k), k)
-    start = stored(start.groupBy("query_id").agg(
+    start = _ranked(_met(first, wanted(first), k), k)
+    start = stored(start.groupBy("ask").agg(
         F.when(F.count("*") == k, F.min("score")).alias("floor")), "floors")
 
     floor = F.coalesce("floor", F.lit(-(1 << 62)).cast("long"))
-    asking = queries.join(start, "query_id", "left").select("dim", "query_id", "q", "size", "block", floor.alias("floor"))
+    asking = queries.join(start, "ask", "left").select("dim", "ask", "query_id", "q", "size", "block", floor.alias("floor"))
     reach = F.col("size") * F.col("longest") * (1 + _SLACK) + 1
     asking = asking.join(classes, "dim").where(F.col("floor") <= reach).select(
-        "dim", "class", "block", "query_id", "q", "floor", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    return _ranked(_met(asking, in_blocks, k), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        "dim", "class", "block", "ask", "query_id", "q", "floor", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    asking = stored(asking, "asking")
+    return _ranked(_met(asking, wanted(asking), k), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

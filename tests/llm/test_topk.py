@@ -63,3 +63,15 @@ def test_registered_query(spark, sf):
     table = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = [(r["vec_id"], list(r["embedding"])) for r in table.collect()]
     assert result(top_k(table, F.col("vec_id") % 100 == 0)) == truth(rows, 100)
+
+
+def test_repeated_queries_and_candidates(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(40)]
+    rows += [(0, rows[0][1]), (10, rows[10][1]), (10, [0.5, 0.25, -1.0, 2.0]), (7, rows[7][1]), (7, rows[7][1])]
+    assert result(top_k(frame(spark, rows), F.col("vec_id") % 10 == 0, block_rows=2, bucket_rows=8)) == truth(rows, 10)
+
+
+def test_products_that_leave_64_bits_are_an_error(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(frame(spark, [(0, [1e30, 0.0]), (1, [1e30, 1.0])]), F.col("vec_id") % 10 == 0).collect()

@@ -31,7 +31,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SEEDS = ("adult", "ads", "bets", "casino", "pills", "poker", "porn", "spam", "viagra")
-LONGEST_WORD = 20
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -58,7 +57,7 @@ def ruled(host: Column, path: Column, rules=RULES) -> Column:
 def word_frequencies(pages: DataFrame) -> DataFrame:
     """(word, n): words of a-z in the visible text of all pages."""
     text = F.lower(F.regexp_replace(F.regexp_replace(F.col("html"), r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " "))
-    words = F.explode(F.regexp_extract_all(text, F.lit(rf"(?<![a-z])[a-z]{{1,{LONGEST_WORD}}}(?![a-z])"), F.lit(0)))
+    words = F.explode(F.regexp_extract_all(text, F.lit("[a-z]+"), F.lit(0)))
     return pages.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -68,7 +67,7 @@ def segmented(word: str, known: dict[tuple[int, int], float], total: float) -> l
     scale = math.log(total)
     for end in range(1, len(word) + 1):
         score, cut = -math.inf, 0
-        for start in range(max(0, end - LONGEST_WORD), end):
+        for start in range(end):
             n = known.get((start, end - start))
             weight = math.log(n) if n else math.log(10) * (1 - (end - start))
             if best[start] + weight - scale > score:
@@ -88,8 +87,10 @@ def _host_words(hosts: DataFrame, frequencies: DataFrame) -> DataFrame:
                          .alias("at", "part"))
     parts = stored(parts, "host-parts")
     longer = parts.where(F.col("part").rlike("^[a-z]{2,}$")).select("part").distinct()
+    # no stretch beyond the longest word of the vocabulary can be known
+    longest = F.lit(frequencies.agg(F.max(F.length("word"))).first()[0] or 1)
     stretches = longer.select("part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("start")).select(
-        "part", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("part") - F.col("start") + 1))).alias("size"))
+        "part", "start", F.explode(F.sequence(F.lit(1), F.least(longest, F.length("part") - F.col("start") + 1))).alias("size"))
     stretches = stretches.withColumn("word", F.substring(F.col("part"), F.col("start"), F.col("size")))
     total = frequencies.agg(F.sum("n")).first()[0] or 1
     looked_up = stretches.join(frequencies, "word").groupBy("part").agg(

@@ -155,3 +155,96 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
     shapes = own.join(hit, "key", "left_semi").select(F.xxhash64("geom.xs", "geom.ys").alias("_look"), F.struct("geom.xs", "geom.ys").alias("_same"))
     again = rows.withColumn("_same", F.struct("geom.xs", "geom.ys"))
     return again.join(shapes, ["_look", "_same"], "left_semi").select(F.col("_key").alias(key)).distinct()
+
+
+PROBLEMS = ("too_few_points", "ring_not_closed", "no_area", "self_crossing", "rings_cross", "hole_outside")
+
+
+def _side(a: Column, b: Column, p: Column) -> Column:
+    return F.signum((b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"]))
+
+
+def _in_strips(segments: DataFrame) -> DataFrame:
+    """Segments (a left of b) with the cells of their polygon's grid that they run through; the grid is as fine as there are segments."""
+    def cell(value: Column, low: str, size: str) -> Column:
+        return F.least(F.greatest(F.floor((value - F.col(low)) / F.col(size)), F.lit(0)), F.col("grid") - 1)
+
+    columns = segments.withColumn("cx", F.explode(F.sequence(cell(F.col("a.x"), "xmin", "dx"), cell(F.col("b.x"), "xmin", "dx"))))
+    left, right = F.col("xmin") + F.col("cx") * F.col("dx"), F.col("xmin") + (F.col("cx") + 1) * F.col("dx")
+    width = F.col("b.x") - F.col("a.x")
+
+    def height(x: Column) -> Column:
+        return F.when(width > 0, F.col("a.y") + (F.col("b.y") - F.col("a.y")) * (F.least(F.greatest(x, F.col("a.x")), F.col("b.x")) - F.col("a.x")) / width)
+
+    ends = [F.coalesce(height(left), F.col("a.y")), F.coalesce(height(right), F.col("b.y"))]
+    # a cell more on both sides, so that rounding hides no meeting
+    low, high = cell(F.least(*ends), "ymin", "dy") - 1, cell(F.greatest(*ends), "ymin", "dy") + 1
+    return columns.withColumn("cy", F.explode(F.sequence(low, high)))
+
+
+def polygon_problems(df: DataFrame, key: str, shape: str = "geom") -> DataFrame:
+    """(key, problem): the first of ``PROBLEMS`` of every polygon that has one, ring by ring; then what is wrong between its rings.
+
+    Crossings come from a join of segments by (polygon, cell), holes outside their shell from even-odd counts by (polygon, column
+    of cells), so a shape of any size is spread over tasks. Rings may touch in points; they may not cross or share a border.
+    Keys should be unique. Null keys and shapes, and shapes that are no polygons, have no problem.
+    """
+    g = F.col(shape)
+    usable = df.where(F.col(key).isNotNull() & g["kind"].isin("Polygon", "MultiPolygon") & ~geo.is_missing(g))
+    rings = usable.select(F.col(key).alias("id"), (g["kind"] == "Polygon").alias("one"), geo.bounds(g).alias("e"),
+                          F.posexplode(F.arrays_zip(g["xs"].alias("xs"), g["ys"].alias("ys"))).alias("ring", "_r"))
+    points = F.zip_with("_r.xs", "_r.ys", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    rings = rings.select("id", "one", "e.*", "ring", points.alias("p"), _turn(F.col("_r.xs"), F.col("_r.ys")).alias("turn"))
+    steps = F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p")), lambda s, t: F.struct(s.alias("s"), t.alias("t")))
+    rings = stored(rings.withColumn("steps", F.when(F.size("p") > 1, F.filter(steps, lambda x: x["s"] != x["t"])).otherwise(F.array().cast(
+        "array<struct<s:struct<x:double,y:double>,t:struct<x:double,y:double>>>"))), "rings")
+    # F.size of steps is the number of segments with a length
+    own = F.when(F.size("p") < 4, 0).when(F.element_at("p", 1) != F.element_at("p", -1), 1).when(F.size("steps") < 3, 2)
+    found = rings.select("id", "ring", own.alias("at")).where("at is not null")
+    flat = rings.where(own.isNull() & (F.abs("turn") <= 1e-18)).select("id", "ring", F.lit(3.5).alias("at"))
+
+    total = rings.groupBy("id").agg(F.greatest(F.ceil(F.sqrt(F.sum(F.size("steps")) / 2)), F.lit(1)).cast("long").alias("grid"))
+    segments = rings.where(own.isNull()).select("id", "one", "ring", "xmin", "ymin", "xmax", "ymax", F.size("steps").alias("count"), F.posexplode("steps").alias("n", "step")).join(total, "id")
+    forward = (F.col("step.s.x") < F.col("step.t.x")) | ((F.col("step.s.x") == F.col("step.t.x")) & (F.col("step.s.y") < F.col("step.t.y")))
+
+    def size(low: str, high: str) -> Column:
+        return F.when(F.col(high) > F.col(low), (F.col(high) - F.col(low)) / F.col("grid")).otherwise(F.lit(1.0))
+
+    segments = segments.select("id", "one", "ring", "n", "count", "grid", "xmin", "ymin", size("xmin", "xmax").alias("dx"), size("ymin", "ymax").alias("dy"),
+                               F.when(forward, F.col("step.s")).otherwise(F.col("step.t")).alias("a"), F.when(forward, F.col("step.t")).otherwise(F.col("step.s")).alias("b"),
+                               F.col("step.s").alias("from"))
+    segments = stored(segments, "segments")
+    placed = stored(_in_strips(segments).select("id", "ring", "n", "count", "cx", "cy", "a", "b"), "segment-cells")
+    one = placed.select(*[F.col(c).alias(c if c in ("id", "cx", "cy") else f"s_{c}") for c in placed.columns])
+    two = placed.select(*[F.col(c).alias(c if c in ("id", "cx", "cy") else f"t_{c}") for c in placed.columns])
+    pairs = one.join(two, ["id", "cx", "cy"]).where("s_ring < t_ring or (s_ring = t_ring and s_n < t_n)")
+    s_a, s_b, t_a, t_b = (F.col(c) for c in ("s_a", "s_b", "t_a", "t_b"))
+    d1, d2, d3, d4 = _side(s_a, s_b, t_a), _side(s_a, s_b, t_b), _side(t_a, t_b, s_a), _side(t_a, t_b, s_b)
+
+    def overlap(axis: str, strict: bool = False) -> Column:
+        low = F.greatest(F.least(s_a[axis], s_b[axis]), F.least(t_a[axis], t_b[axis]))
+        high = F.least(F.greatest(s_a[axis], s_b[axis]), F.greatest(t_a[axis], t_b[axis]))
+        return low < high if strict else low <= high
+
+    same = F.col("s_ring") == F.col("t_ring")
+    gap = F.col("t_n") - F.col("s_n")
+    meets = same & (gap != 1) & (gap != F.col("s_count") - 1) & (d1 * d2 <= 0) & (d3 * d4 <= 0) & overlap("x") & overlap("y")
+    along = (d1 == 0) & (d2 == 0) & overlap("x") & overlap("y") & (overlap("x", True) | overlap("y", True))
+    between = ~same & (((d1 * d2 < 0) & (d3 * d4 < 0)) | along)
+    crossing = pairs.where(meets | between).select("id", F.when(same, F.col("s_ring")).otherwise(F.lit(1 << 30)).alias("ring"), F.when(same, 3.0).otherwise(4.0).alias("at")).distinct()
+
+    # a ray upwards from every corner of a hole meets the shell an odd number of times, or the corner lies on the shell
+    shell = segments.where("one and ring = 0").select("id", "a", "b", F.explode(F.sequence(*[
+        F.floor((F.col(f"{e}.x") - F.col("xmin")) / F.col("dx")) for e in ("a", "b")])).alias("cx"))
+    corners = segments.where("one and ring > 0").select("id", "ring", "n", F.col("from").alias("p"), F.floor((F.col("from.x") - F.col("xmin")) / F.col("dx")).alias("cx"))
+    a, b, p = F.col("a"), F.col("b"), F.col("p")
+    on = (_side(a, b, p) == 0) & (p["x"] >= a["x"]) & (p["x"] <= b["x"]) & (p["y"] >= F.least(a["y"], b["y"])) & (p["y"] <= F.greatest(a["y"], b["y"]))
+    above = (a["x"] <= p["x"]) & (p["x"] < b["x"]) & (_side(a, b, p) < 0)
+    rays = corners.join(shell, ["id", "cx"], "left").groupBy("id", "ring", "n").agg(
+        F.coalesce(F.bool_or(on), F.lit(False)).alias("on"), F.count_if(above).alias("met"))
+    outside = rays.where("not on and met % 2 = 0").select("id", F.lit(1 << 30).alias("ring"), F.lit(5.0).alias("at")).distinct()
+    every = found.select("id", "ring", F.col("at").cast("double").alias("at")).unionByName(flat.select("id", "ring", F.col("at").cast("double").alias("at"))).unionByName(
+        crossing.select("id", "ring", F.col("at").cast("double").alias("at"))).unionByName(outside)
+    first = every.groupBy("id").agg(F.min(F.struct("ring", "at")).alias("f"))
+    names = F.array(*[F.lit(n) for n in PROBLEMS])
+    return first.select(F.col("id").alias(key), F.when(F.col("f.at") == 3.5, "no_area").otherwise(F.get(names, F.col("f.at").cast("int"))).alias("problem"))

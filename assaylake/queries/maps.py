@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.functions import geo
 from assaylake.operators import layers
 from assaylake.operators.joins import overlapping_extents
-from assaylake.operators.polygons import overlapping_polygons
+from assaylake.operators.polygons import overlapping_polygons, polygon_problems
 from assaylake.queries.registry import joined, query, table
 from assaylake.session import scratch_dir
 from assaylake.sinks import staging, versions
@@ -85,15 +87,21 @@ def geo_rule_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("empty_layer_report", """
-select 'not_empty' as rule, 'hard' as severity, count(*) as failed_layers, cast(0 as bigint) as passed, cast(1 as bigint) as hard_failures
-from (select count(*) as n from customer where c_custkey < 0) where n = 0""")
+with layers as (select c_mktsegment as kind, count(*) filter (where c_custkey % 31 <> 0 and c_mktsegment not in ('BUILDING', 'MACHINERY')) as n from customer group by 1)
+select kind, n as row_count, cast(n > 0 as bigint) as passed, case when n = 0 then 'not_empty' end as failed_rule from layers""")
 def empty_layer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A layer without rows fails, and the rule that says so is named."""
-    report, results = layers.validate_layer(sites(spark, sf_dir).filter("false"), LAYER)
-    summary = report.select(F.col("hard_rule_pass").cast("bigint").alias("passed"), "hard_failures")
-    named = results.filter((F.col("severity") == "hard") & ~F.col("success")).groupBy("rule", "severity").agg(F.count("*").alias("failed_layers"))
-    return named.select("rule", "severity", "failed_layers", summary.select("passed").scalar().alias("passed"),
-                        summary.select("hard_failures").scalar().alias("hard_failures"))
+    """One layer for each segment; those that lose all their rows fail, and the rule that says so is named."""
+    key = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("S"), key).alias("site_id"), F.col("c_name").alias("site_name"), F.lit("BUILDING").alias("kind"), F.col("c_mktsegment").alias("segment"),
+        geo.point(F.lit(121.0), F.lit(14.0)).alias("geom"), (key % 31 != 0).alias("kept"))
+    out = []
+    for segment in [r["segment"] for r in rows.select("segment").distinct().collect()]:  # five of them, each a layer of its own
+        own = rows.where((F.col("segment") == segment) & F.col("kept") & ~F.col("segment").isin("BUILDING", "MACHINERY")).drop("segment", "kept")
+        report, results = layers.validate_layer(own, LAYER)
+        named = results.filter((F.col("severity") == "hard") & ~F.col("success")).agg(F.max("rule")).scalar()
+        out.append(report.select(F.lit(segment).alias("kind"), "row_count", F.col("hard_rule_pass").cast("bigint").alias("passed"), named.alias("failed_rule")))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("wkb_layer", """
@@ -198,27 +206,32 @@ def overlapping_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("geo_polygon_rules", """
-select c_custkey, case c_custkey % 4 when 1 then 'self_crossing' end as problem, cast(c_custkey % 4 = 2 as bigint) as repeated, cast(c_custkey % 4 = 3 as bigint) as sliver,
-       case c_custkey % 4 when 0 then 4.0::double when 1 then 0.0::double when 2 then 4.0::double else 0.002::double end as area
+select c_custkey, case c_custkey % 6 when 1 then 'self_crossing' when 4 then 'rings_cross' when 5 then 'hole_outside' end as problem,
+       cast(c_custkey % 6 = 2 as bigint) as repeated, cast(c_custkey % 6 = 3 as bigint) as sliver,
+       case c_custkey % 6 when 0 then 4.0::double when 1 then 0.0::double when 2 then 4.0::double when 3 then 0.002::double when 4 then 2.0::double else 3.0::double end as area
 from customer""")
 def geo_polygon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Squares, bow-ties, squares with a vertex twice, and slivers."""
-    case = F.col("c_custkey") % 4
+    """Squares, bow-ties, squares with a vertex twice, slivers, and squares whose hole crosses the shell or lies beside it."""
+    case = F.col("c_custkey") % 6
     x0 = (F.col("c_custkey") % 64).cast("double")
 
     def ring(*points: tuple[float, float]) -> tuple[Column, Column]:
         return F.array(*[x0 + px for px, _ in points]), F.array(*[F.lit(float(py)) for _, py in points])
 
-    shapes = [ring((0, 0), (2, 0), (2, 2), (0, 2), (0, 0)), ring((0, 0), (2, 2), (2, 0), (0, 2), (0, 0)),
-              ring((0, 0), (2, 0), (2, 0), (2, 2), (0, 2), (0, 0)), ring((0, 0), (2, 0), (2, 0.001), (0, 0.001), (0, 0))]
-    xs, ys = shapes[3]
-    for i in (2, 1, 0):
-        xs, ys = F.when(case == i, shapes[i][0]).otherwise(xs), F.when(case == i, shapes[i][1]).otherwise(ys)
-    shape = F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), F.array(xs).alias("xs"), F.array(ys).alias("ys"))
+    square = ((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))
+    shapes = [[square], [((0, 0), (2, 2), (2, 0), (0, 2), (0, 0))], [((0, 0), (2, 0), (2, 0), (2, 2), (0, 2), (0, 0))],
+              [((0, 0), (2, 0), (2, 0.001), (0, 0.001), (0, 0))], [square, ((1, 0.5), (1, 1.5), (3, 1.5), (3, 0.5), (1, 0.5))],
+              [square, ((5, 0), (5, 1), (6, 1), (6, 0), (5, 0))]]
+    parts = [[F.array(*[ring(*r)[axis] for r in rings]) for axis in (0, 1)] for rings in shapes]
+    xs, ys = parts[5]
+    for i in range(4, -1, -1):
+        xs, ys = F.when(case == i, parts[i][0]).otherwise(xs), F.when(case == i, parts[i][1]).otherwise(ys)
+    shape = F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), xs.alias("xs"), ys.alias("ys"))
     rows = table(spark, sf_dir, "customer").select("c_custkey", shape.alias("g"))
     g = F.col("g")
-    return rows.select("c_custkey", geo.shape_problem(g).alias("problem"), geo.repeated_vertices(g).cast("bigint").alias("repeated"),
-                       geo.is_sliver(g).cast("bigint").alias("sliver"), F.round(geo.area(g), 6).alias("area"))
+    return rows.join(polygon_problems(rows, "c_custkey", "g"), "c_custkey", "left").select(
+        "c_custkey", "problem", geo.repeated_vertices(g).cast("bigint").alias("repeated"),
+        geo.is_sliver(g).cast("bigint").alias("sliver"), F.round(geo.area(g), 6).alias("area"))
 
 
 @query("geo_from_wkt", """

@@ -167,3 +167,27 @@ def test_overlapping_spans_are_joined(spark):
             else:
                 want.append((e, s, t, v))
         assert [tuple(x) for x in row["m"]] == want
+
+
+def test_problems_of_polygons(spark):
+    from assaylake.operators.polygons import polygon_problems
+
+    ring = [(round(10 * math.cos(k / 400 * math.tau), 9), round(10 * math.sin(k / 400 * math.tau), 9)) for k in range(400)]
+    star = ring[:200] + [(-30.0, 0.5), (30.0, 0.6)] + ring[200:]  # a spike through the whole shape
+    shapes = {
+        "fine": shape(square(0, 0, 2)), "few": shape([(0, 0), (1, 1), (0, 0)]), "open": shape([(0, 0), (1, 0), (1, 1), (0, 1)]),
+        "line": shape([(0, 0), (1, 1), (2, 2), (0, 0)]), "bow": shape([(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]),
+        "twice": shape([(0, 0), (1, 0), (1, 0), (1, 1), (0, 0)]), "round": shape([*ring, ring[0]]), "spike": shape([*star, star[0]]),
+        "hole": shape(square(0, 0, 4), square(1, 1, 2)), "touch": shape(square(0, 0, 4), [(0, 2), (1, 1), (1, 3), (0, 2)]),
+        "cut": shape(square(0, 0, 4), square(3, 1, 2)), "border": shape(square(0, 0, 4), square(0, 1, 2)), "away": shape(square(0, 0, 4), square(9, 9, 2)),
+        "around": shape(square(1, 1, 1), square(0, 0, 4)), "bad hole": shape(square(0, 0, 4), [(1, 1), (2, 2), (2, 1), (1, 2), (1, 1)]),
+        "parts": shape(square(0, 0, 1), square(5, 5, 1), kind="MultiPolygon"), "round hole": shape([*ring, ring[0]], square(-1, -1, 2)),
+        "far hole": shape([*ring, ring[0]], square(9, 9, .5)), "point": shape([(1, 1)], kind="Point"), "none": None,
+    }
+    table = spark.createDataFrame(list(shapes.items()), f"id string, geom {geo.SHAPE_TYPE.simpleString()}")
+    got = {r["id"]: r["problem"] for r in polygon_problems(table, "id").collect()}
+    want = {"few": "too_few_points", "open": "ring_not_closed", "line": "self_crossing", "bow": "self_crossing", "spike": "self_crossing", "cut": "rings_cross",
+            "border": "rings_cross", "away": "hole_outside", "around": "hole_outside", "bad hole": "self_crossing", "far hole": "hole_outside"}
+    old = {r["id"]: r["p"] for r in table.select("id", geo.shape_problem(F.col("geom")).alias("p")).collect() if r["p"]}
+    assert {i: p for i, p in got.items() if p in ("rings_cross", "hole_outside")} == {i: p for i, p in want.items() if p in ("rings_cross", "hole_outside")}
+    assert {i: p for i, p in got.items() if p not in ("rings_cross", "hole_outside")} == old

@@ -137,3 +137,20 @@ def json_or_default(c: Column, schema: str, default: Column) -> Column:
 def row_digest(*columns: Column) -> Column:
     """Order-free digest of a set of rows. A sum, so that equal rows do not cancel out."""
     return F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+
+
+def row_text(*columns: Column) -> Column:
+    """Columns as one text that tells apart where each ends; ``-`` stands for null."""
+    parts = [F.when(c.isNull(), "-").otherwise(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string"))) for c in columns]
+    return F.concat(*parts)
+
+
+def content_digest(text: Column) -> Column:
+    """SHA-256 over a set of rows, whatever their order and partitioning.
+
+    The digests of the rows are added up in eight parts of 32 bits, which combines within tasks, and the sums and the number of
+    rows are hashed. Repeated rows count as often as they stand.
+    """
+    row = F.sha2(text, 256)
+    sums = [F.coalesce(F.sum(F.conv(F.substring(row, 8 * i + 1, 8), 16, 10).cast("bigint").cast("decimal(38,0)")), F.lit(0)).cast("string") for i in range(8)]
+    return F.sha2(F.concat_ws(",", F.count("*").cast("string"), *sums), 256)

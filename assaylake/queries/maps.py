@@ -11,7 +11,7 @@ from assaylake.functions import geo
 from assaylake.operators import layers
 from assaylake.operators.joins import overlapping_extents
 from assaylake.operators.polygons import overlapping_polygons, polygon_problems
-from assaylake.queries.registry import joined, query, table
+from assaylake.queries.registry import joined, query, sql_digest, sql_text, table
 from assaylake.session import scratch_dir
 from assaylake.sinks import staging, versions
 
@@ -269,8 +269,13 @@ def geo_archive_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.inside_box(archived_layer(spark, path, "sites", "007"), (118.0, 10.0, 121.0, 14.0)).select("c_custkey")
 
 
-@query("layer_manifest", "with " + _SITES + """
-select 'sites' as layer, 'run-1' as run_id, count(*) as feature_count, 'Point' as geometry_types, 'site_id,site_name,kind' as columns from sites""")
+_SITE_TEXT = sql_text("site_id", "site_name", "kind", "case when not missing then 'Point' end", "case when not missing then '[[' || lon || ']]' end", "case when not missing then '[[' || lat || ']]' end")
+
+
+@query("layer_manifest", "with " + _SITES + f"""
+select 'sites' as layer, 'run-1' as run_id, count(*) as feature_count, 'Point' as geometry_types, 'site_id,site_name,kind' as columns,
+       {sql_digest(_SITE_TEXT)} as sha256, cast(sum(strlen({_SITE_TEXT})) as bigint) as content_bytes from sites""")
 def layer_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = staging.layer_manifest(sites(spark, sf_dir), "sites", "run-1")
-    return out.select("layer", "run_id", "feature_count", joined("geometry_types").alias("geometry_types"), joined("columns").alias("columns"))
+    """Features, kinds, columns, digest and bytes of a layer; the digest is the same however the rows are dealt out."""
+    out = staging.layer_manifest(sites(spark, sf_dir).repartition(5, "site_name"), "sites", "run-1")
+    return out.select("layer", "run_id", "feature_count", joined("geometry_types").alias("geometry_types"), joined("columns").alias("columns"), "sha256", "content_bytes")

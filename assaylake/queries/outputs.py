@@ -13,7 +13,8 @@ from assaylake.operators import pii
 from assaylake.queries import inputs
 from assaylake.queries.channels import CHANGE_COLUMNS, _STATE_SQL, _state_columns, change_log
 from assaylake.queries.privacy import CONTACT_POLICY, _CONTACTS, contacts, keys
-from assaylake.queries.registry import dbl, query, stamp, table
+from assaylake.plans import medallion
+from assaylake.queries.registry import day, dbl, query, sql_digest, sql_text, stamp, table
 from assaylake.session import scratch_dir
 from assaylake.sinks import catalog, logs, staging, versions
 from assaylake.streaming import changes
@@ -21,24 +22,69 @@ from assaylake.streaming import changes
 
 def channel_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as three channels with one object per status."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.when(F.col("o_orderkey") % 7 != 0, day("o_orderdate")).alias("ordered"))
     channel = F.concat(F.lit("channel-"), F.col("o_orderkey") % 3)
     return staging.manifest(o, "orders", "batch-1", F.lit("PCHRD"), channel, F.col("o_orderstatus"), F.lit("landing"))
 
 
-_MANIFEST = """
-manifest as (select 'channel-' || (o_orderkey % 3) as source_id, o_orderstatus as source_object, count(*) as row_count from orders group by 1, 2)"""
+_ORDER_TEXT = sql_text("o_orderkey::varchar", "o_custkey::varchar", "o_orderstatus", "o_orderpriority", "ordered")
+_MANIFEST = f"""
+o as (select *, 'channel-' || (o_orderkey % 3) as source_id, case when o_orderkey % 7 <> 0 then strftime(o_orderdate, '%Y-%m-%d') end as ordered from orders),
+manifest as (select source_id, o_orderstatus as source_object, count(*) as row_count, {sql_digest(_ORDER_TEXT)} as sha256,
+             cast(sum(strlen({_ORDER_TEXT})) as bigint) as content_bytes from o group by 1, 2)"""
 
 
-@query("object_manifest", "with " + _MANIFEST + "select 'orders' as dataset, 'batch-1' as batch_id, source_id, source_object, row_count from manifest")
+@query("object_manifest", "with " + _MANIFEST + "select 'orders' as dataset, 'batch-1' as batch_id, source_id, source_object, row_count, sha256, content_bytes from manifest")
 def object_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return channel_manifest(spark, sf_dir).select("dataset", "batch_id", "source_id", "source_object", "row_count")
+    """Rows, bytes and digest of every object."""
+    return channel_manifest(spark, sf_dir).select("dataset", "batch_id", "source_id", "source_object", "row_count", "sha256", "content_bytes")
 
 
 @query("batch_manifest", "with " + _MANIFEST + """
-select 'orders' as dataset, 'batch-1' as batch_id, source_id, cast(sum(row_count) as bigint) as row_count, count(*) as object_count from manifest group by 3""")
+select 'orders' as dataset, 'batch-1' as batch_id, source_id, cast(sum(row_count) as bigint) as row_count, count(*) as object_count, cast(sum(content_bytes) as bigint) as content_bytes,
+       sha256(string_agg(sha256, ',' order by source_object)) as sha256, string_agg(source_object || ' ' || row_count || ' ' || sha256, ',' order by source_object) as objects
+from manifest group by 3""")
 def batch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.batch_manifest(channel_manifest(spark, sf_dir)).drop("checksum")
+    """The objects of every batch, with a digest over theirs."""
+    objects = F.array_join(F.transform("objects", lambda o: F.concat_ws(" ", o["source_object"], o["row_count"].cast("string"), o["sha256"])), ",")
+    return staging.batch_manifest(channel_manifest(spark, sf_dir)).drop("checksum").withColumn("objects", objects)
+
+
+@query("retention_tiers", """
+with e as (select strftime(ts, '%Y-%m-%d') as day, cast(ts as date) as d, event_type = 'error' as bad from events),
+kept as (select case when bad then 'quarantine' else 'archive' end as tier, day, count(*) as n from e
+         where d > date '2024-03-20' - case when bad then 14 else 60 end group by 1, 2),
+gone as (select case when bad then 'quarantine' else 'archive' end as tier, count(distinct day) as n from e
+         where d <= date '2024-03-20' - case when bad then 14 else 60 end group by 1)
+select 'kept' as what, tier, day, n from kept union all select 'gone', tier, null, n from gone union all select 'gone again', 'any', null, cast(0 as bigint)""")
+def retention_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions by day under two retention periods; a second run removes nothing."""
+    root = scratch_dir(spark, "retention")
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") == "error", "quarantine").otherwise("archive").alias("tier"), day("ts").alias("day"))
+    paths = {os.path.join(root, tier): days for tier, days in (("quarantine", 14), ("archive", 60))}
+    for path in paths:
+        e.where(F.col("tier") == os.path.basename(path)).drop("tier").write.partitionBy("day").parquet(path)
+    tier = F.element_at(F.split("path", "/"), -1).alias("tier")
+    gone = staging.retained(spark, paths, "2024-03-20", os.path.join(root, "log"))
+    again = staging.retained(spark, paths, "2024-03-20", os.path.join(root, "log"))
+    out = gone.groupBy(F.lit("gone").alias("what"), tier).agg(F.lit(None).cast("string").alias("day"), F.count("*").alias("n"))
+    out = out.unionByName(again.agg(F.count("*").alias("n")).select(F.lit("gone again").alias("what"), F.lit("any").alias("tier"), F.lit(None).cast("string").alias("day"), "n"))
+    for path in paths:
+        left = spark.read.schema("event_id bigint, day string").parquet(path)
+        out = out.unionByName(left.groupBy("day").agg(F.count("*").alias("n")).select(F.lit("kept").alias("what"), F.lit(os.path.basename(path)).alias("tier"), "day", "n"))
+    return out
+
+
+@query("bucketed_silver", "with " + inputs.SILVER + """
+select r.project_id, r.project_title, cast(count(*) over (partition by r.project_id) as bigint) as submissions from ranked r qualify row_number() over (partition by r.project_id order by r.rn) = 1""")
+def bucketed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest row and number of submissions per project from a table bucketed by its key: nothing of it is shuffled again."""
+    path = scratch_dir(spark, "silver")
+    name = os.path.basename(path).replace("-", "_")
+    staging.write_bucketed(inputs.bronze(spark, sf_dir), name, path, ["project_id"], 8)
+    rows = spark.table(name)
+    latest = medallion.latest_by(rows, ["project_id"], ["last_updated_at"], ["project_title"]).select("project_id", "project_title")
+    return latest.join(rows.groupBy("project_id").agg(F.count("*").alias("submissions")), "project_id")
 
 
 @query("ingestion_lineage", "with " + _MANIFEST + """

@@ -43,3 +43,14 @@ def dbl(c: Column | str) -> Column:
 def joined(c: Column | str) -> Column:
     """An array as text."""
     return F.array_join(F.col(c) if isinstance(c, str) else c, ",")
+
+
+def sql_text(*columns: str) -> str:
+    """The text of a row as the content digest takes it, in SQL."""
+    return " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in columns)
+
+
+def sql_digest(text: str) -> str:
+    """The content digest of rows with the given text, in SQL."""
+    sums = ", ".join(f"sum(('0x' || substr(sha256({text}), {8 * i + 1}, 8))::bigint)::varchar" for i in range(8))
+    return f"sha256(concat_ws(',', count(*)::varchar, {sums}))"

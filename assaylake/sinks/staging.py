@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.contract import Contract
-from assaylake.functions.text import row_digest, safe_id_text
+from assaylake.functions.text import content_digest, row_digest, row_text, safe_id_text
 from assaylake.operators.canonical import conformed
 from assaylake.sources.files import SOURCE_OBJECT
 from assaylake.sources.tables import STATUS
@@ -44,30 +45,42 @@ def write_staged(df: DataFrame, root: str, dataset: str, source_id: str, agency:
 
 def manifest(df: DataFrame, dataset: str, batch_id: str, agency: Column, source_id: Column,
              source_object: Column, path: Column) -> DataFrame:
-    """One row per staged object: rows and an order-free digest of its contents."""
+    """One row per staged object: rows, bytes of their text, and digests of its contents that no order or partitioning changes."""
     data = [F.col(c) for c in df.columns if not c.startswith("_")]
     return df.groupBy(agency.alias("agency"), source_id.alias("source_id"),
                       source_object.alias("source_object")).agg(
-        F.count("*").alias("row_count"), row_digest(*data).alias("checksum")).select(
+        F.count("*").alias("row_count"), row_digest(*data).alias("checksum"), content_digest(row_text(*data)).alias("sha256"),
+        F.sum(F.octet_length(row_text(*data))).alias("content_bytes")).select(
         F.lit(dataset).alias("dataset"), F.lit(batch_id).alias("batch_id"), "source_id", "agency", "source_object",
-        "row_count", "checksum", path.alias("path"), F.lit(f"{dataset}-contract").alias("schema_ref"))
+        "row_count", "checksum", "sha256", "content_bytes", path.alias("path"), F.lit(f"{dataset}-contract").alias("schema_ref"))
 
 
 def batch_manifest(objects: DataFrame) -> DataFrame:
-    """Rows and objects per batch and source. Object rows stay in the object manifest."""
+    """Rows, bytes and objects per batch and source, with the list of its objects and a digest over theirs."""
+    listed = F.array_sort(F.collect_list(F.struct("source_object", "row_count", "sha256")))
     return objects.groupBy("dataset", "batch_id", "source_id").agg(
-        F.sum("row_count").alias("row_count"), F.count("*").alias("object_count"),
-        F.sum("checksum").alias("checksum"))
+        F.sum("row_count").alias("row_count"), F.count("*").alias("object_count"), F.sum("checksum").alias("checksum"),
+        F.sum("content_bytes").alias("content_bytes"), listed.alias("objects")).withColumn(
+        "sha256", F.sha2(F.array_join(F.transform("objects", lambda o: o["sha256"]), ","), 256))
 
 
 def layer_manifest(df: DataFrame, layer: str, run_id: str, source: DataFrame | None = None) -> DataFrame:
-    """One row: features, the kinds of geometry found and the attribute columns of a layer."""
+    """One row: features, the kinds of geometry found and the attribute columns of a layer, a digest and the bytes of its contents.
+
+    With ``source``, the rows as they were read from files, also the number and the bytes of those files.
+    """
     attributes = [c for c in df.columns if c != "geom"]
-    return df.agg(
+    text = row_text(*[F.col(c) for c in attributes], F.col("geom.kind"), F.to_json("geom.xs"), F.to_json("geom.ys"))
+    out = df.agg(
         F.count("*").alias("feature_count"), F.array_sort(F.collect_set("geom.kind")).alias("geometry_types"),
-        F.max("geom.srid").alias("srid"),
+        F.max("geom.srid").alias("srid"), content_digest(text).alias("sha256"), F.sum(F.octet_length(text)).alias("content_bytes"),
     ).withColumns({"layer": F.lit(layer), "run_id": F.lit(run_id),
                    "columns": F.array(*[F.lit(c) for c in attributes])})
+    if source is None:
+        return out
+    files = source.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).groupBy("file").agg(F.max("size").alias("size"))
+    sums = files.agg(F.count("*").alias("source_files"), F.sum("size").alias("source_bytes"))
+    return out.withColumns({c: sums.select(c).scalar() for c in ("source_files", "source_bytes")})
 
 
 def stamped(df: DataFrame, contract: Contract, batch_id: str, source_id: str | Column, ingested_at: str) -> DataFrame:
@@ -115,6 +128,36 @@ def expired(df: DataFrame, stamp: str, days: int, today: Column) -> DataFrame:
     return df.filter(F.col(stamp).cast("date") > F.date_sub(today, days))
 
 
+LOG = "path string, day string, row_count bigint, removed_on date"
+
+
+def retained(spark: SparkSession, tiers: Mapping[str, int], today: str, log: str, day: str = "day") -> DataFrame:
+    """Remove the partitions of tables that are past their retention; returns a row for each that went, also kept in ``log``.
+
+    ``tiers`` maps the folder of a table partitioned by ``day`` to the days it is kept, such as 14 for quarantine and 90 for the
+    archive. Whole partitions go, one per day, so nothing is rewritten, and a second run finds nothing. The log is written first:
+    a run that breaks off repeats its entry rather than losing it.
+    """
+    gone = []
+    for path, days in tiers.items():
+        try:
+            table = spark.read.parquet(path)
+        except AnalysisException:  # nothing was ever written, or all of it went
+            continue
+        if day not in table.columns:
+            continue
+        limit = F.date_sub(F.lit(today).cast("date"), days)
+        old = table.where(F.col(day).cast("date") <= limit).groupBy(F.col(day).cast("string").alias("day")).agg(F.count("*").alias("row_count"))
+        rows = old.select(F.lit(path).alias("path"), "day", "row_count", F.lit(today).cast("date").alias("removed_on")).collect()  # one per day
+        if rows:
+            spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(log)
+        for row in rows:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path, f"{day}={row['day']}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        gone += rows
+    return spark.createDataFrame(gone, LOG)
+
+
 def lineage_rows(objects: DataFrame, status: str, seconds: float, run_date: str) -> DataFrame:
     """Ingestion lineage: source, rows, status and duration per batch."""
     return objects.groupBy("dataset", "batch_id", "source_id").agg(F.sum("row_count").alias("row_count")).select(
@@ -127,6 +170,11 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A Silver table under ``path``, bucketed and sorted by its keys: joins and latest-per-key on them need no shuffle of it."""
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(table)
+
+
 def write_partitioned(df: DataFrame, path: str, partition: str, keys: Sequence[str]) -> None:
     """A Gold table partitioned by one column and sorted inside its files.
 

@@ -191,3 +191,40 @@ def test_problems_of_polygons(spark):
     old = {r["id"]: r["p"] for r in table.select("id", geo.shape_problem(F.col("geom")).alias("p")).collect() if r["p"]}
     assert {i: p for i, p in got.items() if p in ("rings_cross", "hole_outside")} == {i: p for i, p in want.items() if p in ("rings_cross", "hole_outside")}
     assert {i: p for i, p in got.items() if p not in ("rings_cross", "hole_outside")} == old
+
+
+def test_bucketed_silver_is_not_shuffled(spark, root):
+    from assaylake.operators.keys import latest_by
+    from assaylake.sinks import staging
+
+    rows = spark.range(500).select((F.col("id") % 90).alias("k"), F.col("id").alias("v"))
+    staging.write_bucketed(rows, "bucketed_rows", f"{root}/rows", ["k"], 4)
+    table = spark.table("bucketed_rows")
+    latest = latest_by(table, ["k"], ["v"], [])
+    out = latest.join(table.groupBy("k").agg(F.count("*").alias("n")), "k")
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r["k"], r["v"], r["n"]) for r in out.collect()} == {(k, max(range(k, 500, 90)), len(range(k, 500, 90))) for k in range(90)}
+
+
+def test_content_digest_knows_no_order(spark):
+    from assaylake.functions.text import content_digest, row_text
+
+    rows = spark.createDataFrame([("a", None), ("b", 2), ("b", 2), (None, 3)], "s string, n int")
+    text = row_text(F.col("s"), F.col("n"))
+    digest = [df.agg(content_digest(text)).first()[0] for df in (rows, rows.orderBy(F.desc("n")).repartition(7), rows.distinct(), spark.createDataFrame([("a", 1)], "s string, n int"))]
+    assert digest[0] == digest[1] and len(set(digest)) == 3
+
+
+def test_retention_removes_partitions_once(spark, root):
+    from assaylake.sinks import staging
+
+    rows = spark.createDataFrame([(1, "2026-01-01"), (2, "2026-01-01"), (3, "2026-01-20"), (4, "2026-02-01")], "v int, day string")
+    rows.write.partitionBy("day").parquet(f"{root}/quarantine")
+    rows.where("v < 3").write.partitionBy("day").parquet(f"{root}/archive")
+    tiers = {f"{root}/quarantine": 14, f"{root}/archive": 90, f"{root}/never": 1}
+    gone = staging.retained(spark, tiers, "2026-02-05", f"{root}/log").collect()
+    assert [(r["day"], r["row_count"]) for r in gone] == [("2026-01-01", 2), ("2026-01-20", 1)]
+    assert [r["v"] for r in spark.read.parquet(f"{root}/quarantine").collect()] == [4] and spark.read.parquet(f"{root}/archive").count() == 2
+    assert staging.retained(spark, tiers, "2026-02-05", f"{root}/log").count() == 0
+    assert staging.retained(spark, tiers, "2026-05-05", f"{root}/log").count() == 2
+    assert staging.retained(spark, tiers, "2026-05-05", f"{root}/log").count() == 0 and spark.read.parquet(f"{root}/log").count() == 4

@@ -28,10 +28,11 @@ import json
 import re
 import sys
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLANK = "▁"
 CUT = re.compile(r"(?<=\S) (?=[^\W_])")
 OPENS = re.compile(r"[^\W_]").match
-MEMO_STRETCHES = 150_000  # stretches a worker remembers; only speed depends on it
+MEMO_STRETCHES = 600_000  # stretches a worker remembers; only speed depends on it
 JOINED = 1000  # new stretches that are encoded as one text
 FREQUENT = 20_000  # id pairs that are sent to all tasks
 BATCH_BYTES = 1 << 18  # texts that are put together at a time, about
@@ -229,7 +230,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.valid: list[bool] = []
+        self.invalid: set[int] = set()
         self.groups_text: list[str] = []
         self.ids_a, self.ids_b, self.group_a, self.group_b, self.shared = (Rows(np.int32) for _ in range(5))
         self.pairs = Rows(np.int64)  # ids that end together, packed as ``a << 32 | b``
@@ -263,7 +264,8 @@ class Encoder:
         for run in runs:
             for s in run:
                 self.numbers[s] = len(self.numbers)
-        self.valid.extend(valid)
+        first = len(self.numbers) - len(valid)
+        self.invalid.update(first + i for i, ok in enumerate(valid) if not ok)
         sizes_a, sizes_b = (np.diff(table.indptr)[flat] for table, flat in ((self.bytes_a, flat_a), (self.bytes_b, flat_b)))
         links = aligned(sizes_a, sizes_b)
         last_a = np.cumsum(n_a)
@@ -280,13 +282,18 @@ class Encoder:
     def stretches(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the stretches of some texts, and the bounds of each text in them; invalid texts have none."""
         split = [CUT.split(t) if t else [] for t in texts]
-        new = list(dict.fromkeys([s for parts in split for s in parts if s not in self.numbers]))
+        every = list(chain.from_iterable(split))
+        new = [s for s in dict.fromkeys(every) if s not in self.numbers]
         if new:
             self._learn(new)
-        number = [list(map(self.numbers.__getitem__, parts)) for parts in split]
-        valid = self.valid
-        number = [own if all([valid[k] for k in own]) else [] for own in number]
-        return np.array([k for own in number for k in own], np.int64), np.cumsum([0, *map(len, number)])
+        number = np.fromiter(map(self.numbers.__getitem__, every), np.int64, len(every))
+        bound = np.cumsum([0, *map(len, split)])
+        if self.invalid:
+            bad = np.isin(number, np.array(sorted(self.invalid)))
+            owner = np.repeat(np.arange(len(texts)), np.diff(bound))
+            keep = ~np.isin(owner, owner[bad])
+            number, bound = number[keep], np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(texts)))])
+        return number, bound
 
 
 def _groups_text(ids_a: np.ndarray, ids_b: np.ndarray, links: Alignment, groups: np.ndarray) -> list[str]:
@@ -316,14 +323,19 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def alignments(docs: DataFrame, vocabularies: Vocabularies) -> DataFrame:
+def _sent(docs: DataFrame, vocabularies: Vocabularies | Broadcast) -> Broadcast:
+    """The models as a broadcast value; passes that share one share what their workers remember."""
+    return docs.sparkSession.sparkContext.broadcast(vocabularies) if isinstance(vocabularies, Vocabularies) else vocabularies
+
+
+def alignments(docs: DataFrame, vocabularies: Vocabularies | Broadcast) -> DataFrame:
     """(doc_id, a_ids, b_ids, group_a, group_b, shared): both tokenizations of every text and their links.
 
     ``group_a`` and ``group_b`` hold how many A and B tokens each group has; the last tokens of a group are its end link, all A and B
     tokens of a group its shared-group links. ``shared`` holds the bytes of each overlap link, in order.
     """
     names = ["a_ids", "b_ids", "group_a", "group_b", "shared"]
-    models = docs.sparkSession.sparkContext.broadcast(vocabularies)
+    models = _sent(docs, vocabularies)
 
     def run(batches):
         encoder = models.value.opened()
@@ -343,9 +355,9 @@ def alignments(docs: DataFrame, vocabularies: Vocabularies) -> DataFrame:
         run, "doc_id long, " + ", ".join(f"{n} array<int>" for n in names))
 
 
-def pair_counts(docs: DataFrame, vocabularies: Vocabularies) -> DataFrame:
+def pair_counts(docs: DataFrame, vocabularies: Vocabularies | Broadcast) -> DataFrame:
     """(pair, links, best): how many end links each pair of ids has, and whether that is the highest of its B id."""
-    models = docs.sparkSession.sparkContext.broadcast(vocabularies)
+    models = _sent(docs, vocabularies)
 
     def run(batches):
         encoder = models.value.opened()
@@ -409,12 +421,12 @@ class Settled:
 _SUMS = ("n_a", "n_b", "n_groups", "n_best", "count_sum")
 
 
-def link_strengths(docs: DataFrame, vocabularies: Vocabularies, counts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def link_strengths(docs: DataFrame, vocabularies: Vocabularies | Broadcast, counts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row of ``docs`` (doc_id, text)."""
     # at most `frequent` rows of three numbers
     top = counts.orderBy(F.desc("links"), "pair").limit(frequent).toPandas().sort_values("pair")
     known = top["pair"].to_numpy(np.int64), top["links"].to_numpy(np.int64), top["best"].to_numpy(bool)
-    models = docs.sparkSession.sparkContext.broadcast(vocabularies)
+    models = _sent(docs, vocabularies)
     rest_type = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
 
     def run(batches):
@@ -459,4 +471,5 @@ def link_strengths(docs: DataFrame, vocabularies: Vocabularies, counts: DataFram
 
 def token_alignment(docs: DataFrame, vocabularies: Vocabularies, *, frequent: int = FREQUENT) -> DataFrame:
     """Counts of tokens, groups and links of every row of ``docs``, how common its links are, and a digest of its groups."""
-    return link_strengths(docs, vocabularies, pair_counts(docs, vocabularies), frequent)
+    models = _sent(docs, vocabularies)
+    return link_strengths(docs, models, pair_counts(docs, models), frequent)

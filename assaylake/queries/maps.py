@@ -205,12 +205,7 @@ def overlapping_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlapping_polygons(_polygons(spark, sf_dir), "c_custkey")
 
 
-@query("geo_polygon_rules", """
-select c_custkey, case c_custkey % 6 when 1 then 'self_crossing' when 4 then 'rings_cross' when 5 then 'hole_outside' end as problem,
-       cast(c_custkey % 6 = 2 as bigint) as repeated, cast(c_custkey % 6 = 3 as bigint) as sliver,
-       case c_custkey % 6 when 0 then 4.0::double when 1 then 0.0::double when 2 then 4.0::double when 3 then 0.002::double when 4 then 2.0::double else 3.0::double end as area
-from customer""")
-def geo_polygon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _made_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squares, bow-ties, squares with a vertex twice, slivers, and squares whose hole crosses the shell or lies beside it."""
     case = F.col("c_custkey") % 6
     x0 = (F.col("c_custkey") % 64).cast("double")
@@ -227,13 +222,35 @@ def geo_polygon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i in range(4, -1, -1):
         xs, ys = F.when(case == i, parts[i][0]).otherwise(xs), F.when(case == i, parts[i][1]).otherwise(ys)
     shape = F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), xs.alias("xs"), ys.alias("ys"))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", shape.alias("g"))
-    g = F.col("g")
-    return rows.join(polygon_problems(rows, "c_custkey", "g"), "c_custkey", "left").select(
+    return table(spark, sf_dir, "customer").select("c_custkey", shape.alias("geom"))
+
+
+@query("geo_polygon_rules", """
+select c_custkey, case c_custkey % 6 when 1 then 'self_crossing' when 4 then 'rings_cross' when 5 then 'hole_outside' end as problem,
+       cast(c_custkey % 6 = 2 as bigint) as repeated, cast(c_custkey % 6 = 3 as bigint) as sliver,
+       case c_custkey % 6 when 0 then 4.0::double when 1 then 0.0::double when 2 then 4.0::double when 3 then 0.002::double when 4 then 2.0::double else 3.0::double end as area
+from customer""")
+def geo_polygon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems, repeated vertices, slivers and areas of made shapes."""
+    rows, g = _made_shapes(spark, sf_dir), F.col("geom")
+    return rows.join(polygon_problems(rows, "c_custkey"), "c_custkey", "left").select(
         "c_custkey", "problem", geo.repeated_vertices(g).cast("bigint").alias("repeated"),
         geo.is_sliver(g).cast("bigint").alias("sliver"), F.round(geo.area(g), 6).alias("area"))
 
 
+@query("polygon_layer_results", """
+with bad as (select count(*) as rows_, count(*) filter (where c_custkey % 6 in (1, 4, 5)) as n from customer)
+select rule, severity, case when rule = 'geometry_type' then 0 else n end as failed_count,
+       cast(case rule when 'geometry_type' then true when 'repair_threshold' then n * 100.0 / rows_ <= 51 else n = 0 end as bigint) as success
+from bad, (select unnest(['geometry_type', 'invalid_geometries', 'repair_threshold']) as rule, unnest(['hard', 'soft', 'hard']) as severity)""")
+def polygon_layer_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer of polygons: invalid ones are flagged and stay within the share that may be repaired."""
+    config = {**LAYER, "layer": "shapes", "geometry_type": "Polygon", "unique_key": "c_custkey", "attributes": [], "thresholds": {"max_repaired_pct": 51}}
+    _, results = layers.validate_layer(_made_shapes(spark, sf_dir), config)
+    return results.where(F.col("rule").isin("geometry_type", "invalid_geometries", "repair_threshold")).select(
+        "rule", "severity", "failed_count", F.col("success").cast("bigint").alias("success"))
+
+
 @query("geo_from_wkt", """
 select c_custkey, round((c_custkey * 37 % 1300) / 100.0::double + 115.0::double, 6) as lon, round((c_custkey * 53 % 2000) / 100.0::double + 3.0::double, 6) as lat from customer where c_custkey % 5 <> 0
 union all select c_custkey, null, null from customer where c_custkey % 5 = 0""")

@@ -265,3 +265,35 @@ def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trimmed_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header and footer lines dropped by what they look like."""
     return files.without_trimmed_rows(table(spark, sf_dir, "benchmark"), "text", "^(Th|Re)")
+
+
+@query("cdc_broken_events", """
+select event_id, case event_id % 9 when 0 then 'broken' when 1 then 'broken' when 2 then 'broken' else 'fine' end as kind,
+       case when event_id % 9 > 2 then cast(user_id as varchar) end as user_id,
+       case event_id % 9 when 0 then '{"op":"c","after":{"user_id":' || event_id when 1 then '[' || event_id || ']' when 2 then '{"op":"c","ts_ms":"noon' || event_id || '"}' end as text
+from events""")
+def cdc_broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that are cut off, no object or of other types are kept with their text beside those that can be read."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id")
+    kind = F.col("event_id") % 9
+    text = F.when(kind == 0, F.concat(F.lit('{"op":"c","after":{"user_id":'), "event_id")).when(kind == 1, F.concat(F.lit("["), "event_id", F.lit("]"))).when(
+        kind == 2, F.concat(F.lit('{"op":"c","ts_ms":"noon'), "event_id", F.lit('"}'))).otherwise(
+        F.to_json(F.struct(F.lit("c").alias("op"), F.struct(F.col("user_id").cast("string").alias("user_id"), F.col("event_id").cast("string").alias("event_id")).alias("after"))))
+    parsed = records.parse_changes(e.select(text.alias("value")), ["user_id", "event_id"], on_broken="keep")
+    own = F.coalesce(F.col("after.event_id"), F.regexp_extract(records.BROKEN, "([0-9]+)", 1)).cast("long")
+    return parsed.select(own.alias("event_id"), F.when(F.col(records.BROKEN).isNull(), "fine").otherwise("broken").alias("kind"),
+                         F.col("after.user_id").alias("user_id"), F.col(records.BROKEN).alias("text"))
+
+
+@query("json_broken_pages", """
+with p as (select o_custkey as page, count(*) as n from orders group by 1)
+select case when page % 4 in (0, 1) then 'read' else 'kept' end as what, cast(sum(case when page % 4 in (0, 1) then n else 1 end) as bigint) as row_count from p group by 1""")
+def json_broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that are cut off or hold no list are kept as rows of their own; the records of the others are read."""
+    o = table(spark, sf_dir, "orders")
+    pages = o.groupBy(F.col("o_custkey").alias("page")).agg(F.to_json(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("list"))
+    kind = F.col("page") % 4
+    text = F.when(kind == 0, F.concat(F.lit('{"data":{"records":'), "list", F.lit("}}"))).when(kind == 1, F.col("list")).when(
+        kind == 2, F.concat(F.lit('{"data":{"records":'), F.expr("left(list, length(list) - 3)"))).otherwise(F.concat(F.lit('{"items":'), "list", F.lit("}")))
+    rows = records.explode_records(pages.select(text.alias("value")), ["o_orderkey", "o_orderstatus"], on_broken="keep")
+    return rows.groupBy(F.when(F.col(records.BROKEN).isNull(), "read").otherwise("kept").alias("what")).agg(F.count("*").alias("row_count"))

@@ -9,7 +9,7 @@ from assaylake.catalogue import PROJECT_MONITORING, RD_EQUIPMENT_INVENTORY
 from assaylake.functions.transforms import CURRENCY_TO_FLOAT, DATE_US_TO_ISO
 from assaylake.contract import Alias
 from assaylake.plans import medallion
-from assaylake.queries.registry import table
+from assaylake.queries.registry import query, table
 
 RUN = "run-1"
 
@@ -196,3 +196,15 @@ silver_equipment as (
               when last_assignment_date < acquisition_date then 'soft_violation_assignment_before_acquisition'
               else 'pass' end as quality_flag
   from latest_equipment where rn = 1)"""
+
+
+@query("inline_dimension_names", """
+select o_orderstatus as code, case o_orderstatus when 'F' then 'Filled' when 'O' then 'Open' end as name, count(*) as n from orders group by 1, 2""")
+def inline_dimension_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes named by a small fixed table; unknown codes have no name."""
+    from assaylake.operators.joins import with_lookup
+    from assaylake.sources.tables import inline_dimension
+
+    names = inline_dimension(spark, [("F", "Filled"), ("O", "Open")], "status string, label string")
+    named = with_lookup(table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("code")), names, "code", "status", "label", "name")
+    return named.groupBy("code", "name").agg(F.count("*").alias("n"))

@@ -296,3 +296,15 @@ def layer_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features, kinds, columns, digest and bytes of a layer; the digest is the same however the rows are dealt out."""
     out = staging.layer_manifest(sites(spark, sf_dir).repartition(5, "site_name"), "sites", "run-1")
     return out.select("layer", "run_id", "feature_count", joined("geometry_types").alias("geometry_types"), joined("columns").alias("columns"), "sha256", "content_bytes")
+
+
+@query("layer_aliases", """
+select 'C' || c_custkey as facility_id, c_name as name, c_mktsegment as facility_type, (c_custkey * 37 % 1300) / 100.0::double + 115.0::double as lon from customer""")
+def layer_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer whose columns come under other names, in any case."""
+    from assaylake.sources.tables import read_layer
+
+    key = F.col("c_custkey")
+    raw = table(spark, sf_dir, "customer").select(F.concat(F.lit("C"), key).alias("FACITY_ID"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("Facility_T"), _lon(key).alias("x"), _lat(key).alias("y"))
+    out = read_layer(raw, {**LAYER, "field_aliases": {"facity_Id": "facility_id", "facility_t": "facility_type"}}, lon_lat=("x", "y"))
+    return out.select("facility_id", "name", "facility_type", F.col("geom.xs")[0][0].alias("lon"))

@@ -370,3 +370,12 @@ def content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     from assaylake.functions.text import content_sha256
 
     return table(spark, sf_dir, "documents").select("doc_id", content_sha256(F.col("text")).alias("sha256"), content_sha256(F.col("text"), 16).alias("short"))
+
+
+@query("pii_redact_columns", "with " + _CONTACTS + """
+select record, '[REDACTED]' as mail, case when k % 4 = 3 then '' else '[REDACTED]' end as remarks, (select count(*) from contacts where k % 4 <> 3) as vault_rows from contacts""")
+def pii_redact_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns redacted whole, one of them without a place in the vault."""
+    policy = pii.policy_from({"scan": "declared_only", "columns": {"mail": {"serving": "redact", "vault": False}, "remarks": {"serving": "redact"}}})
+    guard = pii.protect(contacts(spark, sf_dir), policy, "record", keys(spark), check_ids=False)
+    return guard.serving.select("record", "mail", "remarks").withColumn("vault_rows", guard.vault.agg(F.count("*")).scalar())

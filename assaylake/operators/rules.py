@@ -8,7 +8,7 @@ shuffle, so a key that holds a large share of the rows does not gather in one ta
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from assaylake.contract import Contract, Field, RuleSpec
 from assaylake.functions.text import has_text, is_blank, iso_to_date
 from assaylake.operators.keys import first_k, key_counts, with_copies
+from assaylake.session import stored
 
 SAMPLE_IDS = 5
 FAILURES = "row_failures"
@@ -232,6 +233,11 @@ def split(df: DataFrame, failures: str = FAILURES, labels: Sequence[str] | None
     return df.filter(F.size(broken) == 0), df.filter(F.size(broken) > 0)
 
 
+def split_once(df: DataFrame, failures: str = FAILURES, labels: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``split`` of rows whose rules are evaluated once, into a stored table."""
+    return split(stored(df, "flagged"), failures, labels)
+
+
 def hard_labels(rules: Sequence[Rule]) -> list[str]:
     return [r.label for r in rules if r.severity == "hard"]
 
@@ -300,8 +306,24 @@ def _succeeds(rule: Rule, failed: Column, rows: Column) -> Column:
     return (failed == 0) | (share <= rule.tolerance_pct)
 
 
+def judged_once(df: DataFrame, rules: Sequence[Rule], key: str) -> tuple[DataFrame, list[Rule]]:
+    """The key, the unique columns and the outcome of every row rule, written in one pass, and the rules over that table."""
+    unique = list(dict.fromkeys(c for r in rules for c in r.unique))
+    flags = {i: r.fails for i, r in enumerate(rules) if r.fails is not None}
+    rows = stored(df.select(F.col(key).alias("_id"), *[F.col(c).alias(f"_unique{n}") for n, c in enumerate(unique)],
+                            *[F.coalesce(f, F.lit(False)).alias(f"_fails{i}") for i, f in flags.items()]), "judged")
+    return rows, [replace(r, fails=F.col(f"_fails{i}") if i in flags else None, unique=tuple(f"_unique{unique.index(c)}" for c in r.unique))
+                  for i, r in enumerate(rules)]
+
+
 def rule_results(df: DataFrame, rules: Sequence[Rule], key: str | None = None) -> DataFrame:
-    """One row per rule: severity, success, how many rows fail of how many, sample ids."""
+    """One row per rule: severity, success, how many rows fail of how many, sample ids.
+
+    With a ``key`` the rows are judged once into a narrow table, from which counts and samples are taken.
+    """
+    if key is not None:
+        df, rules = judged_once(df, rules, key)
+        key = "_id"
     counts = _counts(df, rules)
     entries = [
         F.struct(

@@ -139,7 +139,7 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that break a hard rule go to quarantine; soft ones are promoted with their flags."""
     rows, compiled = _judged(spark, sf_dir)
     text = rules.without_text(rules.flagged(rows, compiled))
-    clean, broken = rules.split(text, labels=rules.hard_labels(compiled))
+    clean, broken = rules.split_once(text, labels=rules.hard_labels(compiled))
     amount = F.sum(F.col("allocated").cast("decimal(18,2)")).cast("double").alias("allocated")
     return clean.withColumn("part", F.lit("promote")).unionByName(broken.withColumn("part", F.lit("quarantine"))).groupBy("part").agg(
         F.count("*").alias("row_count"), amount)

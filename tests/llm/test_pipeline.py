@@ -23,7 +23,7 @@ def test_entry_registers_everything():
     import __spark_entry__
 
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 

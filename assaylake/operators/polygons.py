@@ -158,6 +158,8 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
 
 
 PROBLEMS = ("too_few_points", "ring_not_closed", "no_area", "self_crossing", "rings_cross", "hole_outside")
+FEW_SEGMENTS = 64  # segments of a polygon that are compared within its row
+BETWEEN = 1 << 30  # stands for a ring in problems between rings, which come last
 
 
 def _side(a: Column, b: Column, p: Column) -> Column:
@@ -182,42 +184,8 @@ def _in_strips(segments: DataFrame) -> DataFrame:
     return columns.withColumn("cy", F.explode(F.sequence(low, high)))
 
 
-def polygon_problems(df: DataFrame, key: str, shape: str = "geom") -> DataFrame:
-    """(key, problem): the first of ``PROBLEMS`` of every polygon that has one, ring by ring; then what is wrong between its rings.
-
-    Crossings come from a join of segments by (polygon, cell), holes outside their shell from even-odd counts by (polygon, column
-    of cells), so a shape of any size is spread over tasks. Rings may touch in points; they may not cross or share a border.
-    Keys should be unique. Null keys and shapes, and shapes that are no polygons, have no problem.
-    """
-    g = F.col(shape)
-    usable = df.where(F.col(key).isNotNull() & g["kind"].isin("Polygon", "MultiPolygon") & ~geo.is_missing(g))
-    rings = usable.select(F.col(key).alias("id"), (g["kind"] == "Polygon").alias("one"), geo.bounds(g).alias("e"),
-                          F.posexplode(F.arrays_zip(g["xs"].alias("xs"), g["ys"].alias("ys"))).alias("ring", "_r"))
-    points = F.zip_with("_r.xs", "_r.ys", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    rings = rings.select("id", "one", "e.*", "ring", points.alias("p"), _turn(F.col("_r.xs"), F.col("_r.ys")).alias("turn"))
-    steps = F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p")), lambda s, t: F.struct(s.alias("s"), t.alias("t")))
-    rings = stored(rings.withColumn("steps", F.when(F.size("p") > 1, F.filter(steps, lambda x: x["s"] != x["t"])).otherwise(F.array().cast(
-        "array<struct<s:struct<x:double,y:double>,t:struct<x:double,y:double>>>"))), "rings")
-    # F.size of steps is the number of segments with a length
-    own = F.when(F.size("p") < 4, 0).when(F.element_at("p", 1) != F.element_at("p", -1), 1).when(F.size("steps") < 3, 2)
-    found = rings.select("id", "ring", own.alias("at")).where("at is not null")
-    flat = rings.where(own.isNull() & (F.abs("turn") <= 1e-18)).select("id", "ring", F.lit(3.5).alias("at"))
-
-    total = rings.groupBy("id").agg(F.greatest(F.ceil(F.sqrt(F.sum(F.size("steps")) / 2)), F.lit(1)).cast("long").alias("grid"))
-    segments = rings.where(own.isNull()).select("id", "one", "ring", "xmin", "ymin", "xmax", "ymax", F.size("steps").alias("count"), F.posexplode("steps").alias("n", "step")).join(total, "id")
-    forward = (F.col("step.s.x") < F.col("step.t.x")) | ((F.col("step.s.x") == F.col("step.t.x")) & (F.col("step.s.y") < F.col("step.t.y")))
-
-    def size(low: str, high: str) -> Column:
-        return F.when(F.col(high) > F.col(low), (F.col(high) - F.col(low)) / F.col("grid")).otherwise(F.lit(1.0))
-
-    segments = segments.select("id", "one", "ring", "n", "count", "grid", "xmin", "ymin", size("xmin", "xmax").alias("dx"), size("ymin", "ymax").alias("dy"),
-                               F.when(forward, F.col("step.s")).otherwise(F.col("step.t")).alias("a"), F.when(forward, F.col("step.t")).otherwise(F.col("step.s")).alias("b"),
-                               F.col("step.s").alias("from"))
-    segments = stored(segments, "segments")
-    placed = stored(_in_strips(segments).select("id", "ring", "n", "count", "cx", "cy", "a", "b"), "segment-cells")
-    one = placed.select(*[F.col(c).alias(c if c in ("id", "cx", "cy") else f"s_{c}") for c in placed.columns])
-    two = placed.select(*[F.col(c).alias(c if c in ("id", "cx", "cy") else f"t_{c}") for c in placed.columns])
-    pairs = one.join(two, ["id", "cx", "cy"]).where("s_ring < t_ring or (s_ring = t_ring and s_n < t_n)")
+def _crossings(pairs: DataFrame) -> DataFrame:
+    """(id, ring, at) of pairs of segments, ``s`` before ``t``, that meet where they must not."""
     s_a, s_b, t_a, t_b = (F.col(c) for c in ("s_a", "s_b", "t_a", "t_b"))
     d1, d2, d3, d4 = _side(s_a, s_b, t_a), _side(s_a, s_b, t_b), _side(t_a, t_b, s_a), _side(t_a, t_b, s_b)
 
@@ -228,23 +196,117 @@ def polygon_problems(df: DataFrame, key: str, shape: str = "geom") -> DataFrame:
 
     same = F.col("s_ring") == F.col("t_ring")
     gap = F.col("t_n") - F.col("s_n")
-    meets = same & (gap != 1) & (gap != F.col("s_count") - 1) & (d1 * d2 <= 0) & (d3 * d4 <= 0) & overlap("x") & overlap("y")
-    along = (d1 == 0) & (d2 == 0) & overlap("x") & overlap("y") & (overlap("x", True) | overlap("y", True))
+    # extents are compared first: most pairs are settled by them
+    close = overlap("x") & overlap("y")
+    meets = same & (gap != 1) & (gap != F.col("s_count") - 1) & (d1 * d2 <= 0) & (d3 * d4 <= 0)
+    along = (d1 == 0) & (d2 == 0) & (overlap("x", True) | overlap("y", True))
     between = ~same & (((d1 * d2 < 0) & (d3 * d4 < 0)) | along)
-    crossing = pairs.where(meets | between).select("id", F.when(same, F.col("s_ring")).otherwise(F.lit(1 << 30)).alias("ring"), F.when(same, 3.0).otherwise(4.0).alias("at")).distinct()
+    return pairs.where(close & (meets | between)).select(
+        "id", F.when(same, F.col("s_ring")).otherwise(F.lit(BETWEEN)).alias("ring"), F.when(same, 3.0).otherwise(4.0).alias("at")).distinct()
+
+
+def _on(a: Column, b: Column, p: Column) -> Column:
+    """The point lies on the segment."""
+    return (_side(a, b, p) == 0) & (p["x"] >= a["x"]) & (p["x"] <= b["x"]) & (p["y"] >= F.least(a["y"], b["y"])) & (p["y"] <= F.greatest(a["y"], b["y"]))
+
+
+def _above(a: Column, b: Column, p: Column) -> Column:
+    """A ray upwards from the point meets the segment."""
+    return (a["x"] <= p["x"]) & (p["x"] < b["x"]) & (_side(a, b, p) < 0)
+
+
+def _outside(found: DataFrame) -> DataFrame:
+    return found.select("id", F.lit(BETWEEN).alias("ring"), F.lit(5.0).alias("at")).distinct()
+
+
+def _within_rows(shapes: DataFrame) -> DataFrame:
+    """(id, ring, at) of shapes with few segments: their segments are compared where they stand, without a shuffle."""
+    shapes = shapes.select("id", F.when(F.col("one"), F.filter("segments", lambda s: s["ring"] == 0)).alias("shell"), "segments")
+    first = shapes.select("id", "segments", F.posexplode("segments").alias("i", "s"))
+    pairs = first.select("id", "s", F.explode(F.slice("segments", F.col("i") + 2, F.size("segments"))).alias("t"))
+    crossing = _crossings(pairs.select("id", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "st" for c in ("ring", "n", "count", "a", "b")]))
+
+    def alone(corner: Column) -> Column:
+        p = corner["from"]
+        on = F.exists("shell", lambda s: _on(s["a"], s["b"], p))
+        return (corner["ring"] > 0) & ~on & (F.size(F.filter("shell", lambda s: _above(s["a"], s["b"], p))) % 2 == 0)
+
+    return crossing.unionByName(_outside(shapes.where(F.col("shell").isNotNull() & F.exists("segments", alone))))
+
+
+def _by_cells(shapes: DataFrame) -> DataFrame:
+    """(id, ring, at) of shapes of any size: crossings by a join of segments by (polygon, cell), holes outside their shell by even-odd
+    counts by (polygon, column of cells).
+
+    What is stored here takes little room in files and much in memory, so the joins are sorted ones: a file's size must not make
+    Spark broadcast it.
+    """
+    grid = F.greatest(F.ceil(F.sqrt(F.col("steps") / 2)), F.lit(1)).cast("long").alias("grid")
+    rows = shapes.select("id", "one", "e.*", grid, F.explode("segments").alias("s"))
+
+    def size(low: str, high: str) -> Column:
+        return F.when(F.col(high) > F.col(low), (F.col(high) - F.col(low)) / F.col("grid")).otherwise(F.lit(1.0))
+
+    segments = stored(rows.select("id", "one", "s.*", "grid", "xmin", "ymin", size("xmin", "xmax").alias("dx"), size("ymin", "ymax").alias("dy")), "segments")
+    placed = stored(_in_strips(segments).select("id", "ring", "n", "count", "cx", "cy", "a", "b"), "segment-cells")
+    one = placed.select(*[F.col(c).alias(c if c in ("id", "cx", "cy") else f"s_{c}") for c in placed.columns])
+    two = placed.select(*[F.col(c).alias(c if c in ("id", "cx", "cy") else f"t_{c}") for c in placed.columns])
+    pairs = one.hint("merge").join(two, ["id", "cx", "cy"]).where("s_ring < t_ring or (s_ring = t_ring and s_n < t_n)")
 
     # a ray upwards from every corner of a hole meets the shell an odd number of times, or the corner lies on the shell
     shell = segments.where("one and ring = 0").select("id", "a", "b", F.explode(F.sequence(*[
         F.floor((F.col(f"{e}.x") - F.col("xmin")) / F.col("dx")) for e in ("a", "b")])).alias("cx"))
     corners = segments.where("one and ring > 0").select("id", "ring", "n", F.col("from").alias("p"), F.floor((F.col("from.x") - F.col("xmin")) / F.col("dx")).alias("cx"))
     a, b, p = F.col("a"), F.col("b"), F.col("p")
-    on = (_side(a, b, p) == 0) & (p["x"] >= a["x"]) & (p["x"] <= b["x"]) & (p["y"] >= F.least(a["y"], b["y"])) & (p["y"] <= F.greatest(a["y"], b["y"]))
-    above = (a["x"] <= p["x"]) & (p["x"] < b["x"]) & (_side(a, b, p) < 0)
-    rays = corners.join(shell, ["id", "cx"], "left").groupBy("id", "ring", "n").agg(
-        F.coalesce(F.bool_or(on), F.lit(False)).alias("on"), F.count_if(above).alias("met"))
-    outside = rays.where("not on and met % 2 = 0").select("id", F.lit(1 << 30).alias("ring"), F.lit(5.0).alias("at")).distinct()
-    every = found.select("id", "ring", F.col("at").cast("double").alias("at")).unionByName(flat.select("id", "ring", F.col("at").cast("double").alias("at"))).unionByName(
-        crossing.select("id", "ring", F.col("at").cast("double").alias("at"))).unionByName(outside)
+    rays = corners.join(shell.hint("merge"), ["id", "cx"], "left").groupBy("id", "ring", "n").agg(
+        F.coalesce(F.bool_or(_on(a, b, p)), F.lit(False)).alias("on"), F.count_if(_above(a, b, p)).alias("met"))
+    return _crossings(pairs).unionByName(_outside(rays.where("not on and met % 2 = 0")))
+
+
+def polygon_problems(df: DataFrame, key: str, shape: str = "geom") -> DataFrame:
+    """(key, problem): the first of ``PROBLEMS`` of every polygon that has one, ring by ring; then what is wrong between its rings.
+
+    Shapes with up to ``FEW_SEGMENTS`` segments are settled within their row. The segments of larger ones are spread over tasks by the
+    cells they run through, so a shape may have any size. Rings may touch in points; they may not cross or share a border.
+    Keys should be unique. Null keys and shapes, and shapes that are no polygons, have no problem.
+    """
+    g = F.col(shape)
+    usable = df.where(F.col(key).isNotNull() & g["kind"].isin("Polygon", "MultiPolygon") & ~geo.is_missing(g))
+    kind = "array<struct<s:struct<x:double,y:double>,t:struct<x:double,y:double>>>"
+
+    def points(r: Column) -> Column:
+        return F.struct(F.zip_with(r["xs"], r["ys"], lambda x, y: F.struct(x.alias("x"), y.alias("y"))).alias("p"), _turn(r["xs"], r["ys"]).alias("turn"))
+
+    def stepped(r: Column) -> Column:
+        steps = F.zip_with(F.slice(r["p"], 1, F.size(r["p"]) - 1), F.slice(r["p"], 2, F.size(r["p"])), lambda s, t: F.struct(s.alias("s"), t.alias("t")))
+        steps = F.when(F.size(r["p"]) > 1, F.filter(steps, lambda x: x["s"] != x["t"])).otherwise(F.array().cast(kind))
+        return F.struct(F.size(r["p"]).alias("points"), F.get(r["p"], F.lit(0)).alias("first"), F.get(r["p"], F.size(r["p"]) - 1).alias("last"),
+                        r["turn"].alias("turn"), steps.alias("steps"))
+
+    def own(r: Column) -> Column:
+        # a ring's own problem; the size of steps is the number of segments with a length
+        return F.when(r["points"] < 4, 0.0).when(r["first"] != r["last"], 1.0).when(F.size(r["steps"]) < 3, 2.0)
+
+    def cut(r: Column) -> Column:
+        def segment(step: Column, n: Column) -> Column:
+            s, t = step["s"], step["t"]
+            forward = (s["x"] < t["x"]) | ((s["x"] == t["x"]) & (s["y"] < t["y"]))
+            return F.struct(r["ring"].alias("ring"), n.alias("n"), F.size(r["steps"]).alias("count"), F.when(forward, s).otherwise(t).alias("a"),
+                            F.when(forward, t).otherwise(s).alias("b"), s.alias("from"))
+        return F.transform(r["steps"], segment)
+
+    rings = F.transform(F.transform(F.arrays_zip(g["xs"].alias("xs"), g["ys"].alias("ys")), points), stepped)
+    shapes = usable.select(F.col(key).alias("id"), (g["kind"] == "Polygon").alias("one"), geo.bounds(g).alias("e"), rings.alias("rings"))
+    rings = F.transform("rings", lambda r, i: F.struct(i.alias("ring"), r["turn"].alias("turn"), own(r).alias("at"), r["steps"].alias("steps")))
+    shapes = shapes.select("id", "one", "e", rings.alias("rings"))
+    flawed = F.transform("rings", lambda r: F.struct(r["ring"].alias("ring"), F.coalesce(r["at"], F.when(F.abs(r["turn"]) <= 1e-18, 3.5)).alias("at")))
+    shapes = stored(shapes.select(
+        "id", "one", "e", F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r["steps"])).alias("steps"),
+        F.filter(flawed, lambda r: r["at"].isNotNull()).alias("flawed"),
+        F.flatten(F.transform(F.filter("rings", lambda r: r["at"].isNull()), cut)).alias("segments")), "shapes")
+    few = F.size("segments") <= FEW_SEGMENTS
+    every = shapes.select("id", F.explode("flawed").alias("f")).select("id", "f.ring", "f.at").unionByName(
+        _within_rows(shapes.where(few))).unionByName(_by_cells(shapes.where(~few)))
     first = every.groupBy("id").agg(F.min(F.struct("ring", "at")).alias("f"))
     names = F.array(*[F.lit(n) for n in PROBLEMS])
     return first.select(F.col("id").alias(key), F.when(F.col("f.at") == 3.5, "no_area").otherwise(F.get(names, F.col("f.at").cast("int"))).alias("problem"))

@@ -12,7 +12,7 @@ from assaylake.operators import layers
 from assaylake.operators.joins import overlapping_extents
 from assaylake.operators.polygons import overlapping_polygons, polygon_problems
 from assaylake.queries.registry import joined, query, sql_digest, sql_text, table
-from assaylake.session import scratch_dir
+from assaylake.session import scratch_dir, spread
 from assaylake.sinks import staging, versions
 
 BOX = (116.9, 4.5, 126.7, 21.2)
@@ -222,7 +222,7 @@ def _made_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i in range(4, -1, -1):
         xs, ys = F.when(case == i, parts[i][0]).otherwise(xs), F.when(case == i, parts[i][1]).otherwise(ys)
     shape = F.struct(F.lit("Polygon").alias("kind"), F.lit(4326).alias("srid"), xs.alias("xs"), ys.alias("ys"))
-    return table(spark, sf_dir, "customer").select("c_custkey", shape.alias("geom"))
+    return spread(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", shape.alias("geom"))
 
 
 @query("geo_polygon_rules", """

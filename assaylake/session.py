@@ -50,3 +50,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table's rows dealt out to all cores where it comes in few pieces; for work that is costly by the row.
+
+    A small file is read by few tasks, however much work its rows are. Meant for plain reads: counting the pieces of a plan with
+    shuffles would run them.
+    """
+    pieces = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(pieces) if df.rdd.getNumPartitions() < pieces else df

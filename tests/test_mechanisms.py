@@ -228,3 +228,23 @@ def test_retention_removes_partitions_once(spark, root):
     assert staging.retained(spark, tiers, "2026-02-05", f"{root}/log").count() == 0
     assert staging.retained(spark, tiers, "2026-05-05", f"{root}/log").count() == 2
     assert staging.retained(spark, tiers, "2026-05-05", f"{root}/log").count() == 0 and spark.read.parquet(f"{root}/log").count() == 4
+
+
+def test_problems_need_no_broadcast_of_shapes(spark, monkeypatch):
+    from assaylake.operators import polygons
+
+    rng = random.Random(5)
+    shapes = []
+    for i in range(120):
+        corners = [(rng.randint(0, 6), rng.randint(0, 6)) for _ in range(rng.choice([3, 4, 5, 9]))]
+        hole = square(rng.randint(-1, 6), rng.randint(0, 5), rng.choice([.5, 1, 2]))
+        shapes.append((i, shape([*corners, corners[0]], *([hole] if i % 2 else []), kind="MultiPolygon" if i % 7 == 0 else "Polygon")))
+    shapes += [(200 + i, shape(square(0, 0, 4), square(x, 1, 2))) for i, x in enumerate((1, 2, 3, 4, 9))]
+    table = spark.createDataFrame(shapes, f"id long, geom {geo.SHAPE_TYPE.simpleString()}")
+    plain = polygons.polygon_problems(table, "id")
+    within = {r["id"]: r["problem"] for r in plain.collect()}
+    monkeypatch.setattr(polygons, "FEW_SEGMENTS", 0)
+    by_cells = polygons.polygon_problems(table, "id")
+    assert within == {r["id"]: r["problem"] for r in by_cells.collect()} and len(set(within.values())) > 3
+    for found in (plain, by_cells):  # tables stored under way are small in files only
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().toString()

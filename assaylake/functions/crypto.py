@@ -40,6 +40,7 @@ class KeyRing:
         self._enc_keys = dict(enc_keys or {})
         self._can_decrypt = can_decrypt
         self._can_encrypt = can_encrypt
+        self._read: dict[int, Column] = {}
         for version, key in self._enc_keys.items():
             if len(key) not in (16, 24, 32):
                 raise MissingKey(f"encryption key v{version} must have 16, 24 or 32 bytes")
@@ -69,7 +70,9 @@ class KeyRing:
     def _enc_key(self, version: int) -> Column:
         if version not in self._enc_keys:
             raise MissingKey(f"encryption key v{version} is not in the key ring")
-        return self._one_row(k=self._enc_keys[version]).scalar()
+        if version not in self._read:  # one frame for a key, however often it is named
+            self._read[version] = self._one_row(k=self._enc_keys[version]).scalar()
+        return self._read[version]
 
     def pseudonym(self, value: Column) -> Column:
         """HMAC-SHA256 of the text, the same for the same text and key. Null and empty give null."""

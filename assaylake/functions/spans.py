@@ -140,7 +140,9 @@ def _hits(text: str, recognizer: Recognizer) -> str:
     spans = (
         f"transform(array(named_struct('p', split({text}, {pattern}, -1), 'h', regexp_extract_all({text}, {pattern}, 0))), z -> "
         f"transform(array({_running(sizes, '0', '(a, x) -> a + x')}), ends -> transform(z.h, (hit, i) -> {span}))[0])[0]")
-    return f"if({_has(text, recognizer.needs)}, {spans}, {_NONE})" if recognizer.needs else spans
+    # positions are worked out only where there is a hit
+    there = f"{text} rlike {pattern}"
+    return f"if({f'{_has(text, recognizer.needs)} and {there}' if recognizer.needs else there}, {spans}, {_NONE})"
 
 
 def _merged(spans: str) -> str:

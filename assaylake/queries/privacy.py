@@ -12,7 +12,7 @@ from assaylake.operators import pii
 from assaylake.operators.joins import round_trip_mismatches
 from assaylake.queries import inputs
 from assaylake.queries.registry import day, dbl, query, table
-from assaylake.session import scratch_dir
+from assaylake.session import scratch_dir, spread
 
 # Keys of the registered queries only; real runs bring their own.
 _HMAC = b"query hmac key"
@@ -158,7 +158,7 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tin = F.concat_ws("-", F.lpad((key % 1000).cast("string"), 3, "0"), F.lit("456"), F.lit("789"))
     remark = F.when(key % 4 == 0, F.concat(F.lit("Call "), phone, F.lit(" about it"))).when(
         key % 4 == 1, F.concat(F.lit("Write to "), mail, F.lit(", TIN "), tin)).when(key % 4 == 2, "No contact recorded").otherwise("")
-    return table(spark, sf_dir, "customer").select(
+    return spread(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_name")).select(
         F.concat(F.lit("f"), key).alias("record"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("person"),
         phone.alias("phone"), mail.alias("mail"), remark.alias("remarks"))
 

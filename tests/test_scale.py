@@ -99,3 +99,20 @@ def test_scans_read_only_what_they_need(spark, sf):
 def test_archived_boxes_reach_the_reader(spark, sf):
     text = plan(QUERIES["geo_archive_box"](spark, sf), "formatted")
     assert "GreaterThanOrEqual(bbox.xmax" in text and "PartitionFilters: [isnotnull(layer" in text
+
+
+def test_small_files_are_dealt_out(spark, sf):
+    from assaylake.queries import privacy
+
+    # one file, read by one task: the costly detection must not stay there
+    cores = spark.sparkContext.defaultParallelism
+    guard = privacy.pii.protect(privacy.contacts(spark, sf), privacy.CONTACT_POLICY, "record", privacy.keys(spark), check_ids=False)
+    sizes = guard.vault.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= cores and max(r["count"] for r in sizes) <= sum(r["count"] for r in sizes) / cores
+
+
+def test_a_key_is_read_once(spark):
+    from assaylake.queries import privacy
+
+    ring = privacy.keys(spark, newest=2)
+    assert ring._enc_key(1) is ring._enc_key(1) and ring._enc_key(1) is not ring._enc_key(2)

@@ -248,3 +248,15 @@ def test_problems_need_no_broadcast_of_shapes(spark, monkeypatch):
     assert within == {r["id"]: r["problem"] for r in by_cells.collect()} and len(set(within.values())) > 3
     for found in (plain, by_cells):  # tables stored under way are small in files only
         assert "BroadcastHashJoin" not in found._jdf.queryExecution().toString()
+
+
+def test_known_values_meet_few_cells(spark, monkeypatch):
+    from assaylake.operators import pii
+
+    kept = {}
+    store = pii.stored
+    monkeypatch.setattr(pii, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    ids = spark.range(20000).select(F.concat(F.lit("person."), F.col("id") + 100000, F.lit("@example.org")).alias("mail"))
+    assert pii.leaks(ids, ids.where("mail like '%7@%'")).collect()[0]["cells"] == 2000
+    pairs = kept["held"].join(kept["rarest"], "gram").count()
+    assert 2000 <= pairs <= 20000  # with shorter pieces a value meets hundreds of cells

@@ -8,6 +8,8 @@ shared borders or one shape inside the other: neighbours that only share a borde
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from assaylake.session import stored
 
 STRIP_EDGES = 32  # edges of a polygon in one strip of a pair, about
 TOLERANCE = 1e-9  # of the smaller polygon's area: less counts as rounding
+TRIES = (2, 6, 24)  # partners that a polygon still open is held against, before all that are left
 
 
 def _turn(xs: Column, ys: Column) -> Column:
@@ -100,8 +103,8 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
 
     1. Equal shapes are counted and go on as one.
     2. Filter: extents that share area meet in grids whose cell size doubles per level, each shape in the level of its own size.
-    3. Refine: first every shape against two neighbours in its cells, which settles heaps of overlapping shapes with few pairs;
-       then those still open against all that meet them.
+    3. Refine: in turns, the shapes still open against a few that meet their extents, drawn from a few of each cell. Where shapes
+       crowd that settles nearly all of them with a bounded number of pairs each. Those left are held against all that meet them.
 
     Null keys and null or empty shapes take no part, nor do shapes that are no polygons. Rings should be valid (``shape_problem``).
     """
@@ -120,11 +123,6 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
     sides = sides.where("ax < bx")
     placed, seekers = cells_of(sizes.select("key", "xmin", "ymin", "xmax", "ymax"))
 
-    cell = ("at", "cx", "cy")
-    order = Window.partitionBy(*cell).orderBy("xmin", "key")
-    near = placed.select("key", *[F.lead("key", i).over(order).alias(f"_{i}") for i in (1, 2)])
-    near = near.select(F.col("key").alias("a"), F.explode(F.array("_1", "_2")).alias("b")).where("b is not null").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     areas = sizes.select("key", F.col("_area").alias("size"))
 
     def hits(pairs: DataFrame) -> DataFrame:
@@ -134,23 +132,36 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
         found = found.where(F.col("shared") > F.least("_a", "_b") * TOLERANCE)
         return found.select(F.explode(F.array("a", "b")).alias("key")).distinct()
 
-    heaps = sizes.where("copies > 1").where("_area > 0").select("key")
-    first = stored(hits(near).unionByName(heaps).distinct(), "overlapping-first")
-    still = sizes.select("key").join(first, "key", "left_anti")
-    one, two = seekers.alias("s"), placed.alias("p")
-    meets = [F.col(f"s.{c}") == F.col(f"p.{c}") for c in cell] + [
-        F.col("s.key") != F.col("p.key"), F.col("s.xmin") < F.col("p.xmax"), F.col("p.xmin") < F.col("s.xmax"), F.col("s.ymin") < F.col("p.ymax"), F.col("p.ymin") < F.col("s.ymax")]
-    condition = meets[0]
-    for m in meets[1:]:
-        condition = condition & m
-    found = []
-    # a pair needs a look only if one of its shapes is still open
-    for side in ("s", "p"):
-        open_side = {"s": one, "p": two}[side].join(still.withColumnRenamed("key", "_open"), F.col(f"{side}.key") == F.col("_open"), "left_semi").alias(side)
-        pair = (open_side.join(two, condition) if side == "s" else one.join(open_side, condition))
-        found.append(pair.select(F.least("s.key", "p.key").alias("a"), F.greatest("s.key", "p.key").alias("b")))
-    rest = stored(found[0].unionByName(found[1]).distinct(), "open-pairs")
-    hit = stored(first.unionByName(hits(rest)).distinct(), "overlapping")
+    cell = ("at", "cx", "cy")
+    size = F.pow(F.lit(2.0), F.col("o.at"))
+    # two extents share several cells; only the one with the lower left corner of what they share counts
+    meets = [F.col(f"o.{c}") == F.col(f"p.{c}") for c in cell] + [F.col("o.key") != F.col("p.key")] + [
+        F.col(f"{a}.{d}min") < F.col(f"{b}.{d}max") for d in "xy" for a, b in ("op", "po")] + [
+        F.col(f"o.c{d}") == F.floor(F.greatest(f"o.{d}min", f"p.{d}min") / size).cast("bigint") for d in "xy"]
+    # shapes of one level find each other as seekers
+    finer = seekers.where("own < at")
+
+    def listed(still: DataFrame, turn: int | None = None) -> DataFrame:
+        """Pairs (a, b) with a shape still open and extents that meet: all of them, or those of a turn."""
+        found = []
+        for own, others in ((seekers, placed), (placed, finer)):
+            if turn is not None:
+                few = Window.partitionBy(*cell).orderBy(F.xxhash64("key", F.lit(turn)), "key")
+                others = others.withColumn("_nth", F.row_number().over(few)).where(F.col("_nth") <= 2 * TRIES[turn])
+            found.append(own.join(still, "key", "left_semi").alias("o").join(others.alias("p"), reduce(lambda a, b: a & b, meets)).select(
+                F.col("o.key").alias("a"), F.col("p.key").alias("b")))
+        pairs = found[0].unionByName(found[1])
+        if turn is not None:
+            few = Window.partitionBy("a").orderBy(F.xxhash64("a", "b", F.lit(turn)), "b")
+            pairs = pairs.withColumn("_nth", F.row_number().over(few)).where(F.col("_nth") <= TRIES[turn])
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    hit = stored(sizes.where("copies > 1").where("_area > 0").select("key"), "overlapping-copies")
+    for turn in (*range(len(TRIES)), None):
+        still = stored(sizes.select("key").join(hit, "key", "left_anti"), "still-open")
+        if still.isEmpty():
+            break
+        hit = stored(hit.unionByName(hits(stored(listed(still, turn), "open-pairs"))).distinct(), "overlapping")
     # back to all copies of a shape
     shapes = own.join(hit, "key", "left_semi").select(F.xxhash64("geom.xs", "geom.ys").alias("_look"), F.struct("geom.xs", "geom.ys").alias("_same"))
     again = rows.withColumn("_same", F.struct("geom.xs", "geom.ys"))

@@ -148,6 +148,34 @@ def test_polygons_that_share_area(spark):
     assert "Python" not in plan and "CartesianProduct" not in plan
 
 
+def test_crowded_polygons_meet_few_partners(spark, monkeypatch):
+    from assaylake.operators import polygons
+
+    rng = random.Random(5)
+    halves = [(rng.random() < .5, rng.randrange(320) / 8, rng.randrange(320) / 8, rng.randrange(2, 13)) for _ in range(1500)]
+    halves += [(lower, 100 + 20 * i, 0, 5) for i in range(50) for lower in (True, False)]  # extents are equal, areas are apart
+
+    def meet(a, b):
+        if a[0] and b[0]:
+            return max(a[1], b[1]) + max(a[2], b[2]) < min(sum(a[1:]), sum(b[1:]))
+        if not a[0] and not b[0]:
+            return min(a[1] + a[3], b[1] + b[3]) + min(a[2] + a[3], b[2] + b[3]) > max(sum(a[1:]), sum(b[1:]))
+        low, up = (a, b) if a[0] else (b, a)
+        return low[1] < up[1] + up[3] and low[2] < up[2] + up[3] and max(sum(up[1:]), low[1] + low[2]) < min(sum(low[1:]), sum(up[1:]) + up[3])
+
+    want = {i for i, a in enumerate(halves) if any(j != i and meet(a, b) for j, b in enumerate(halves))}
+    rows = [(i, shape([(x, y), (x + s, y), (x, y + s), (x, y)] if lower else [(x + s, y), (x, y + s), (x + s, y + s), (x + s, y)]))
+            for i, (lower, x, y, s) in enumerate(halves)]
+    pairs, areas = [], polygons.shared_areas
+    monkeypatch.setattr(polygons, "shared_areas", lambda p, *rest: pairs.append(p.count()) or areas(p, *rest))
+    table = spark.createDataFrame(rows, f"id long, geom {geo.SHAPE_TYPE.simpleString()}")
+    assert {r["id"] for r in overlapping_polygons(table, "id").collect()} == want
+    assert 1400 < len(want) < 1600 and sum(pairs) < 4 * len(rows)
+    # with one partner a turn most are left to the last one
+    monkeypatch.setattr(polygons, "TRIES", (1,))
+    assert {r["id"] for r in overlapping_polygons(table, "id").collect()} == want
+
+
 def test_overlapping_spans_are_joined(spark):
     rng = random.Random(11)
     rows = []

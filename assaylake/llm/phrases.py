@@ -13,7 +13,8 @@ document with a smaller id; windows are judged on the input.
    under their own anchor, a document visits just the shards of its anchors. An anchor with more than ``hot`` distinct
    segments is dealt out window by window: each distinct window is searched once, with its smallest id, and its owner is
    joined back to the segments that hold it.
-4. The phrases found lead back to all documents with such segments.
+4. The phrases found lead back to all documents with such segments. Texts are shuffled only where a bitmap of the keys says that
+   they may be needed.
 
 Null ids and null or empty texts take no part and keep all words. Rows that agree in id and text get equal results; rows
 with one id but different texts are judged apart and are no reason to remove words from each other.
@@ -42,6 +43,8 @@ GRAM = 16
 SHARD_SEGMENTS = 4000  # distinct segments of a shard, about
 AUTOMATON_SEGMENTS = 400  # distinct segments compiled at a time
 HOT = 1000
+BITS, BUCKETS = 16, 4096  # of the bitmap of keys: bits a key, and at most so many pieces of 4 KB; only speed depends on them
+BITS, BUCKETS = 16, 4096  # of the bitmap of texts that a join needs: bits a text, and at most so many buckets of 4 KB; only speed depends on it
 
 
 def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -72,6 +75,20 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
         run, "anchor long, content long, doc_id long, digest long, lo int, n int, last int")
 
 
+def _likely(docs: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` with ``_likely``: false only for rows whose keys are not in ``found``, which need not be shuffled to meet it.
+
+    All tasks get a bitmap of hashed keys; a few other rows pass by chance.
+    """
+    pieces = max(1, min(BUCKETS, -(-found.count() * BITS >> 15)))
+    place = F.pmod(F.xxhash64(*keys), F.lit(pieces << 15))
+    piece, bit = F.shiftright(place, 15).alias("_piece"), place.bitwiseAND(F.lit((1 << 15) - 1))
+    bits = found.select(piece, bit.alias("_bit")).groupBy("_piece").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = docs.withColumn("_piece", piece).join(F.broadcast(bits), "_piece", "left")
+    return marked.select(*docs.columns, F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False)).alias("_likely"))
+
+
 def _cut(needed: DataFrame, window: int, hot: int) -> DataFrame:
     """The words of the distinct segments that must be searched: (shard_key, anchor, content, base, owner, words, single).
 
@@ -202,8 +219,9 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, h
         F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest"),
         F.struct("anchor", "content", F.col("first.lo").alias("lo"), F.col("first.n").alias("n"),
                  F.col("first.doc_id").alias("owner"), "variants").alias("w"))
-    wanted = wanted.groupBy("doc_id", "digest").agg(F.collect_list("w").alias("wanted"))
-    needed = docs.select("doc_id", "digest", "text").join(wanted, ["doc_id", "digest"])
+    wanted = stored(wanted.groupBy("doc_id", "digest").agg(F.collect_list("w").alias("wanted")), "wanted-segments")
+    texts = _likely(docs.select("doc_id", "digest", "text"), wanted, ["doc_id", "digest"]).where("_likely")
+    needed = texts.join(wanted, ["doc_id", "digest"])
     cut = stored(_cut(needed, window, hot), "searched-segments")
     # equal windows are combined in the map tasks; the join back to all of them can be split
     columns = ["shard_key", "anchor", "content", "base", "owner", "words"]
@@ -261,7 +279,11 @@ def _applied(docs: DataFrame, options: dict, form: str) -> DataFrame:
     own = docs.select("*", F.col("doc_id").cast("long").alias("_phrase_doc"), F.xxhash64("text").alias("_phrase_digest"))
     spans = repeated_spans(own.select(F.col("_phrase_doc").alias("doc_id"), F.col("_phrase_digest").alias("digest"), "text"), **options)
     spans = stored(spans, "spans").toDF("_phrase_doc", "_phrase_digest", "_phrase_spans")
-    joined = own.join(spans, ["_phrase_doc", "_phrase_digest"], "left").select(*names, "_phrase_spans")
+    keys = ["_phrase_doc", "_phrase_digest"]
+    likely = _likely(own, spans, keys)
+    nothing = F.lit(None).cast(spans.schema["_phrase_spans"].dataType).alias("_phrase_spans")
+    joined = likely.where("_likely").join(spans, keys, "left").select(*names, "_phrase_spans").unionAll(
+        likely.where("not _likely").select(*names, nothing))
     at = names.index("text")
 
     def cut(data: bytes, spans):

@@ -125,3 +125,32 @@ def test_a_repeated_line_makes_no_more_rows_than_segments(spark, monkeypatch, li
     assert got == phrase_truth(texts.items(), 6)
     segments = phrases._segments(table.withColumn("digest", table.doc_id), 6, 3).count()
     assert sum(len(s["spans"]) for s in spans) <= min(segments, most)
+
+
+def test_texts_without_a_match_are_not_shuffled(spark, monkeypatch):
+    unique = [(i, " ".join(f"{i}w{j}" for j in range(60))) for i in range(400)]
+    shared = [(1000 + i, f"own{i} " + " ".join(f"s{j}" for j in range(60))) for i in range(20)]
+    met, likely = [], phrases._likely
+
+    def marks(rows, found, keys):
+        out = likely(rows, found, keys)
+        met.append((out.count(), out.where("_likely").count(), found.count(), out.where("_likely").join(found, keys).count()))
+        return out
+
+    monkeypatch.setattr(phrases, "_likely", marks)
+    rows = unique + shared + [(None, "no id"), (2000, None), (2000, "")]
+    out = phrases.repeat_counts(spark.createDataFrame(rows, "doc_id long, text string"), window=50, gram=16)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(phrase_truth(rows, 50), key=str)
+    assert len(met) == 2 and all(n in (420, 422, 423) and found == same <= kept <= found + 40 for n, kept, found, same in met)
+    # texts that cannot match go past the join
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bitmap_loses_no_key(spark, monkeypatch):
+    rows = spark.range(20000).selectExpr("if(id % 7 = 0, null, id) as a", "id * id as b")
+    found = rows.where("b % 5 = 0 and a is not null")
+    for pieces, most in ((4096, 6200), (1, 20000)):
+        monkeypatch.setattr(phrases, "BUCKETS", pieces)
+        marked = phrases._likely(rows, found, ["a", "b"])
+        assert marked.count() == 20000 and found.join(marked.where("_likely"), ["a", "b"]).count() == found.count()
+        assert marked.where("_likely").count() <= most

@@ -277,16 +277,26 @@ class Encoder:
                 (self.ids_a, flat_a, n_a), (self.ids_b, flat_b, n_b), (self.group_a, np.diff(links.groups_a), groups), (self.group_b, np.diff(links.groups_b), groups),
                 (self.shared, links.overlap[2], overlaps), (self.pairs, flat_a[left].astype(np.int64) << 32 | flat_b[right], groups)):
             store.add(values, sizes)
-        self.groups_text.extend(_groups_text(flat_a, flat_b, links, groups))
+
+    def told(self) -> list[str]:
+        """The groups of every stretch as text, ``a1,a2|b1;a3|b2``; written when they are asked for, as only one pass needs them."""
+        first = len(self.groups_text)
+        if first < len(self.numbers):
+            ids_a, ids_b, group_a, group_b = (rows.values[rows.indptr[first]:rows.used] for rows in (self.ids_a, self.ids_b, self.group_a, self.group_b))
+            self.groups_text.extend(_groups_text(ids_a, ids_b, group_a, group_b, np.diff(self.group_a.matrix().indptr[first:])))
+        return self.groups_text
 
     def stretches(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the stretches of some texts, and the bounds of each text in them; invalid texts have none."""
         split = [CUT.split(t) if t else [] for t in texts]
         every = list(chain.from_iterable(split))
-        new = [s for s in dict.fromkeys(every) if s not in self.numbers]
+        known = list(map(self.numbers.get, every))
+        new = [i for i, k in enumerate(known) if k is None]
         if new:
-            self._learn(new)
-        number = np.fromiter(map(self.numbers.__getitem__, every), np.int64, len(every))
+            self._learn(list(dict.fromkeys([every[i] for i in new])))
+            for i in new:
+                known[i] = self.numbers[every[i]]
+        number = np.array(known, np.int64)
         bound = np.cumsum([0, *map(len, split)])
         if self.invalid:
             bad = np.isin(number, np.array(sorted(self.invalid)))
@@ -296,13 +306,12 @@ class Encoder:
         return number, bound
 
 
-def _groups_text(ids_a: np.ndarray, ids_b: np.ndarray, links: Alignment, groups: np.ndarray) -> list[str]:
-    """The groups of each stretch as text, ``a1,a2|b1;a3|b2``."""
+def _groups_text(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, groups: np.ndarray) -> list[str]:
+    """The groups of each stretch as text, from the ids, how many of them each group has and how many groups each stretch has."""
     a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    cut_a, cut_b = links.groups_a.tolist(), links.groups_b.tolist()
+    cut_a, cut_b, bound = (np.concatenate([[0], np.cumsum(sizes)]).tolist() for sizes in (group_a, group_b, groups))
     every = [f"{a[i]}|{b[j]}" if k == i + 1 and m == j + 1 else f"{','.join(a[i:k])}|{','.join(b[j:m])}"
              for i, k, j, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-    bound = np.concatenate([[0], np.cumsum(groups)]).tolist()
     return [";".join(every[x:y]) for x, y in zip(bound, bound[1:])]
 
 
@@ -452,7 +461,7 @@ def link_strengths(docs: DataFrame, vocabularies: Vocabularies | Broadcast, coun
                 each = np.searchsorted(owner[at], np.arange(last - first + 1)).astype(np.int32)
                 copies = np.diff(np.append(at, len(pair)))
                 rest = pa.ListArray.from_arrays(pa.array(each), pa.StructArray.from_arrays([pa.array(pair[at]), pa.array(copies.astype(np.int64))], ["pair", "n"]))
-                text, parts = encoder.groups_text, number.tolist()
+                text, parts = encoder.told(), number.tolist()
                 digests = [hashlib.sha256(";".join([text[k] for k in parts[x:y]]).encode()).hexdigest() if y > x else "" for x, y in zip(bound.tolist(), bound[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, last - first), *map(pa.array, np.diff(sums[:, bound], axis=1)), pa.array(digests, pa.string()), rest.cast(rest_type)],

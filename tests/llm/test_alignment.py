@@ -133,3 +133,19 @@ def test_products_against_dense_matrices():
 def test_links_are_returned(spark, models):
     row = alignment.alignments(docs(spark, {1: "hello worlds again"}), models).first()
     assert sum(row["shared"]) == len(" hello worlds again") and sum(row["group_a"]) == len(row["a_ids"]) and sum(row["group_b"]) == len(row["b_ids"])
+
+
+def test_group_texts_are_written_when_asked_for(models):
+    texts = ["one two three", "", None, "two  four\u2581five", "Größe ▁ 12,5 three", "one six"]
+    parts, whole = alignment.Encoder(models), alignment.Encoder(models)
+    whole.stretches(texts)
+    assert whole.groups_text == []  # the pass that counts needs none
+    for t in texts:
+        parts.stretches([t])
+        assert len(parts.told()) == len(parts.numbers)
+    assert {s: parts.told()[k] for s, k in parts.numbers.items()} == {s: whole.told()[k] for s, k in whole.numbers.items()}
+    number, bound = whole.stretches(texts)
+    for i, (a, b, bytes_a, bytes_b) in enumerate(tokens(texts)):
+        own = number[bound[i]:bound[i + 1]]
+        told = [g.split("|") for g in ";".join(whole.told()[k] for k in own).split(";") if g]
+        assert not len(own) or [",".join(map(str, ids)) for ids in (a, b)] == [",".join(side) for side in zip(*told)]

@@ -67,14 +67,14 @@ def shared_areas(pairs: DataFrame, sides: DataFrame, sizes: DataFrame) -> DataFr
     both sides meet by (pair, strip). Edges outside the common range do not travel. ``sizes`` has key, extent and number of edges.
     """
     own = {side: sizes.select(*[F.col(c).alias(f"{side}_{c}") for c in sizes.columns]) for side in "ab"}
-    boxed = pairs.join(own["a"], F.col("a") == F.col("a_key")).join(own["b"], F.col("b") == F.col("b_key"))
+    boxed = pairs.join(own["a"].hint("merge"), F.col("a") == F.col("a_key")).join(own["b"].hint("merge"), F.col("b") == F.col("b_key"))
     low, high = F.greatest("a_xmin", "b_xmin"), F.least("a_xmax", "b_xmax")
     strips = F.greatest(F.ceil(F.greatest("a_edges", "b_edges") / STRIP_EDGES), F.lit(1)).cast("double")
     boxed = boxed.select("a", "b", low.alias("low"), high.alias("high"), ((high - low) / strips).alias("width"), strips.alias("strips"),
                          F.least("a_ymin", "b_ymin").alias("base"))
 
     def cut(side: str) -> DataFrame:
-        near = boxed.join(sides, (F.col(side) == F.col("key")) & (F.col("ax") < F.col("high")) & (F.col("bx") > F.col("low")))
+        near = boxed.join(sides.hint("merge"), (F.col(side) == F.col("key")) & (F.col("ax") < F.col("high")) & (F.col("bx") > F.col("low")))
 
         def strip(x: Column) -> Column:
             return F.least(F.greatest(F.floor((x - F.col("low")) / F.col("width")).cast("long"), F.lit(0).cast("long")), F.col("strips").cast("long") - 1)
@@ -85,7 +85,7 @@ def shared_areas(pairs: DataFrame, sides: DataFrame, sizes: DataFrame) -> DataFr
         return out.select("a", "b", "strip", F.struct(F.col("a_").alias("a"), F.col("b_").alias("b"), "sign").alias(side + "_edge"),
                           *(["low", "width", "base"] if side == "a" else []))
 
-    met = cut("a").join(cut("b"), ["a", "b", "strip"])
+    met = cut("a").join(cut("b").hint("merge"), ["a", "b", "strip"])
     left, right = F.col("low") + F.col("strip") * F.col("width"), F.col("low") + (F.col("strip") + 1) * F.col("width")
     met = met.withColumns({"l": F.greatest(left, F.col("a_edge.a.x"), F.col("b_edge.a.x")), "r": F.least(right, F.col("a_edge.b.x"), F.col("b_edge.b.x"))}).where("l < r")
     met = met.withColumns({f"{s}{end}": _height(f"{s}_edge", F.col(end)) - F.col("base") for s in "ab" for end in "lr"})
@@ -107,6 +107,9 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
        crowd that settles nearly all of them with a bounded number of pairs each. Those left are held against all that meet them.
 
     Null keys and null or empty shapes take no part, nor do shapes that are no polygons. Rings should be valid (``shape_problem``).
+
+    All joins are sorted ones: what is stored here takes far more room in memory than in files, so a file's size must not make Spark
+    broadcast it through the driver.
     """
     g = F.col(shape)
     usable = df.where(F.col(key).isNotNull() & g["kind"].isin("Polygon", "MultiPolygon") & ~geo.is_missing(g))
@@ -128,7 +131,7 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
     def hits(pairs: DataFrame) -> DataFrame:
         found = shared_areas(pairs, sides, sizes.drop("copies", "_area"))
         for side in "ab":
-            found = found.join(areas.select(F.col("key").alias(side), F.col("size").alias(f"_{side}")), side)
+            found = found.join(areas.select(F.col("key").alias(side), F.col("size").alias(f"_{side}")).hint("merge"), side)
         found = found.where(F.col("shared") > F.least("_a", "_b") * TOLERANCE)
         return found.select(F.explode(F.array("a", "b")).alias("key")).distinct()
 
@@ -148,7 +151,8 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
             if turn is not None:
                 few = Window.partitionBy(*cell).orderBy(F.xxhash64("key", F.lit(turn)), "key")
                 others = others.withColumn("_nth", F.row_number().over(few)).where(F.col("_nth") <= 2 * TRIES[turn])
-            found.append(own.join(still, "key", "left_semi").alias("o").join(others.alias("p"), reduce(lambda a, b: a & b, meets)).select(
+            mine = own.join(still.hint("merge"), "key", "left_semi")
+            found.append(mine.alias("o").join(others.alias("p").hint("merge"), reduce(lambda a, b: a & b, meets)).select(
                 F.col("o.key").alias("a"), F.col("p.key").alias("b")))
         pairs = found[0].unionByName(found[1])
         if turn is not None:
@@ -158,14 +162,14 @@ def overlapping_polygons(df: DataFrame, key: str, shape: str = "geom") -> DataFr
 
     hit = stored(sizes.where("copies > 1").where("_area > 0").select("key"), "overlapping-copies")
     for turn in (*range(len(TRIES)), None):
-        still = stored(sizes.select("key").join(hit, "key", "left_anti"), "still-open")
+        still = stored(sizes.select("key").join(hit.hint("merge"), "key", "left_anti"), "still-open")
         if still.isEmpty():
             break
         hit = stored(hit.unionByName(hits(stored(listed(still, turn), "open-pairs"))).distinct(), "overlapping")
     # back to all copies of a shape
-    shapes = own.join(hit, "key", "left_semi").select(F.xxhash64("geom.xs", "geom.ys").alias("_look"), F.struct("geom.xs", "geom.ys").alias("_same"))
+    shapes = own.join(hit.hint("merge"), "key", "left_semi").select(F.xxhash64("geom.xs", "geom.ys").alias("_look"), F.struct("geom.xs", "geom.ys").alias("_same"))
     again = rows.withColumn("_same", F.struct("geom.xs", "geom.ys"))
-    return again.join(shapes, ["_look", "_same"], "left_semi").select(F.col("_key").alias(key)).distinct()
+    return again.join(shapes.hint("merge"), ["_look", "_same"], "left_semi").select(F.col("_key").alias(key)).distinct()
 
 
 PROBLEMS = ("too_few_points", "ring_not_closed", "no_area", "self_crossing", "rings_cross", "hole_outside")

@@ -176,6 +176,25 @@ def test_crowded_polygons_meet_few_partners(spark, monkeypatch):
     assert {r["id"] for r in overlapping_polygons(table, "id").collect()} == want
 
 
+def test_overlaps_of_polygons_pass_no_table_through_the_driver(spark, monkeypatch):
+    from assaylake.operators import polygons
+
+    plans, stored = [], polygons.stored
+    monkeypatch.setattr(polygons, "TRIES", (2,))
+    monkeypatch.setattr(polygons, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().toString())) or stored(df, name))
+    # two overlap, two are equal, two stay open until the last turn: their extents meet, they do not
+    rows = {1: shape(square(0, 0, 2)), 2: shape(square(1, 1, 2)), 3: shape(square(9, 0, 1)), 4: shape(square(9, 0, 1)),
+            5: shape([(20, 0), (25, 0), (20, 5), (20, 0)]), 6: shape([(25, 1), (21, 5), (25, 5), (25, 1)]), 7: None}
+    table = spark.createDataFrame(list(rows.items()), f"id long, geom {geo.SHAPE_TYPE.simpleString()}")
+    got = overlapping_polygons(table, "id")
+    plans.append(("result", got._jdf.queryExecution().toString()))
+    assert {r["id"] for r in got.collect()} == {1, 2, 3, 4}
+    assert [name for name, _ in plans].count("still-open") == 2
+    # however small the files are
+    assert [name for name, plan in plans if "Broadcast" in plan] == []
+    assert all("SortMergeJoin" in plan for name, plan in plans if name in ("open-pairs", "overlapping", "still-open", "result"))
+
+
 def test_overlapping_spans_are_joined(spark):
     rng = random.Random(11)
     rows = []
